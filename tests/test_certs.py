@@ -1,0 +1,121 @@
+"""From fifteen source tables to the mart."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.plans import text_plan
+from tidemill.operators import certs, quality
+from tidemill.plans import mart as mart_job
+from tidemill.sources import catalog, versions
+
+MARK = "ĐÌNH CHỈ"
+
+
+def source(spark, n, cells=None, key="bigint"):
+    """One certificate table with `n` rows."""
+    filled = {"giam_sat_lan_1": "Đình chỉ 1/2/2023", "tcn2_cnl2": "5/3/24"} | (cells or {})
+    columns = [F.lit(filled.get(c)).cast("string").alias(c) for c in certs.DATE_COLUMNS]
+    return spark.range(n).select(
+        F.col("id").cast(key).alias("id"), F.lit("company").alias("cong_ty"), *columns
+    )
+
+
+@pytest.fixture(scope="module")
+def sources(spark):
+    return {tag: source(spark, n) for n, tag in enumerate(certs.CERTIFICATE_TABLES, start=1)}
+
+
+def test_columns_have_fixed_places():
+    assert len(certs.DATE_COLUMNS) == 27
+    assert len(set(certs.SHORT_NAMES)) == 27
+    assert certs.SHORT_NAMES.index("cnl1") + 1 == 10
+    assert certs.SHORT_NAMES.index("cnl2") + 1 == 19
+    assert len(certs.CERTIFICATE_TABLES) == 15
+
+
+def test_union_keeps_every_row(sources):
+    united = certs.coerce(sources)
+    assert united.columns == ["id", "cong_ty", certs.KIND, *certs.RAW_COLUMNS]
+    counts = {r[0]: r[1] for r in united.groupBy(certs.KIND).count().collect()}
+    assert counts == {tag: n for n, tag in enumerate(certs.CERTIFICATE_TABLES, start=1)}
+
+
+def test_union_of_mixed_types_becomes_text(spark):
+    united = certs.coerce({"a": source(spark, 2), "b": source(spark, 1, key="string")})
+    assert united.schema["id"].dataType.simpleString() == "string"
+    assert united.count() == 3
+    wide = certs.union_tagged({"a": spark.range(2), "b": spark.range(1).selectExpr("int(id) x")})
+    assert wide.schema["id"].dataType.simpleString() == "bigint"
+
+
+def test_cells_of_another_type_are_read_as_text(spark):
+    odd = source(spark, 1).withColumn("cnl_2", F.lit(20240101))
+    assert certs.coerce({"a": odd}).head()["cnl2_raw_col"] == "20240101"
+
+
+def test_union_refuses_other_shapes(spark):
+    with pytest.raises(ValueError):
+        certs.union_tagged({"a": spark.range(1), "b": spark.range(1).selectExpr("id", "id x")})
+
+
+def test_mart_values(sources):
+    row = certs.status_mart(certs.coerce(sources)).filter("loai_chung_nhan = '9001'").head()
+    assert (row["gs1"], row["tcn2_cnl2"], row["gs2"]) == (MARK, "05-03-2024", "")
+    assert (row["last_dc_pos"], row["first_dc_pos"]) == (2, 2)
+    assert row["co_dinh_chi"] is True and row["vi_tri_dinh_chi_dau_tien"] == 2
+
+
+def test_issue_date_is_never_suspended(spark):
+    cells = {"ngay_cap": "Đình chỉ 1/2/2023", "giam_sat_lan_1": None}
+    row = certs.status_mart(certs.coerce({"gmp": source(spark, 1, cells)})).head()
+    assert row["ngay_cap"] == "01-02-2023"
+    assert (row["last_dc_pos"], row["first_dc_pos"]) == (0, 28)
+    assert row["co_dinh_chi"] is False and row["vi_tri_dinh_chi_dau_tien"] is None
+
+
+def test_steps_agree_with_the_single_pass(sources):
+    raw = certs.coerce(sources)
+    steps = certs.mart_columns(certs.format_dates(certs.extract_dates(raw)))
+    fused = certs.status_mart(raw)
+    assert steps.schema == fused.schema
+    assert steps.exceptAll(fused).count() == 0 and fused.exceptAll(steps).count() == 0
+    wide = certs.format_dates(certs.extract_dates(raw))
+    assert len(wide.columns) == 3 + 27 * 3
+
+
+def test_strict_reports_impossible_dates(spark):
+    raw = certs.coerce({"5s": source(spark, 1, {"cnl_1": "31/2/2024", "cnl_2": "32/1/2024"})})
+    loose, strict = certs.status_mart(raw).head(), certs.status_mart(raw, strict=True).head()
+    assert (loose["cnl1"], loose["cnl2"]) == (None, "02-01-2024")
+    assert (strict["cnl1"], strict["cnl2"]) == ("SAI", "SAI")
+
+
+def test_mart_is_one_narrow_pass(spark, tmp_path):
+    for tag, table in list(certs.CERTIFICATE_TABLES.items())[:3]:
+        source(spark, 3).write.parquet(f"{tmp_path}/{table}")
+    tables = dict(list(certs.CERTIFICATE_TABLES.items())[:3])
+    mart = mart_job.build_mart(catalog.cert_folders(spark, str(tmp_path), tables))
+    plan = text_plan(mart)
+    assert "Exchange" not in plan and "Python" not in plan
+    # A reader who filters on the kind scans that kind's table alone.
+    only = text_plan(mart.filter(F.col(certs.KIND) == "14001"))
+    assert only.count("FileScan parquet") == 1
+    # One who wants the kind alone reads no cell.
+    assert "giam_sat" not in text_plan(mart.select(certs.KIND))
+
+
+def test_build_store_and_test_the_mart(spark, sources, tmp_path):
+    base = f"{tmp_path}/mart"
+    report = {
+        (r["test"], r["column"]): r["failures"]
+        for r in mart_job.run_mart(sources, base, strict=True).collect()
+    }
+    stored = versions.current(spark, base)
+    assert stored.count() == sum(range(1, 16))
+    assert len(stored.columns) == 35
+    assert report[("not_null", "last_dc_pos")] == 0
+    assert report[("accepted_values", certs.KIND)] == 0
+    # Ids repeat between the source tables: reported, not repaired.
+    assert report[("unique", "id")] == 14
+    with pytest.raises(quality.QualityFailure, match="unique"):
+        quality.enforce(mart_job.mart_report(stored))

@@ -49,60 +49,75 @@ def is_blank(raw: Column) -> Column:
     return F.coalesce(F.trim(raw), F.lit("")) == ""
 
 
-def _pad_day(date: Column) -> Column:
-    return F.when(F.substring(date, 2, 1) == "/", F.concat(F.lit("0"), date)).otherwise(date)
+def _insert(text: Column, what: str, at: int, over: int = 0) -> Column:
+    """Put `what` at a position, over so many characters. Cheaper than `concat` when a
+    lambda is interpreted."""
+    return F.overlay(text, F.lit(what), at, over)
 
 
-def _pad_month(date: Column) -> Column:
-    padded = F.concat(F.substring(date, 1, 3), F.lit("0"), F.substring(date, 4, 6))
-    return F.when(F.substring(date, 5, 1) == "/", padded).otherwise(date)
+def _pad(date: Column) -> Column:
+    """`d/M/y` to `dd/MM/y`; text of any other shape stays as it is."""
+    return (
+        F.when(
+            F.substring(date, 2, 1) == "/",
+            F.when(
+                F.substring(date, 4, 1) == "/", _insert(_insert(date, "0", 3), "0", 1)
+            ).otherwise(_insert(date, "0", 1)),
+        )
+        .when(F.substring(date, 5, 1) == "/", _insert(date, "0", 4))
+        .otherwise(date)
+    )
 
 
 def _full_year(date: Column) -> Column:
     """`dd/MM/yy` and `dd/MM/00yy` to `dd/MM/20yy`; a three-digit year to NULL."""
-    start = F.substring(date, 1, 6)
-    short = F.concat(start, F.lit("20"), F.substring(date, 7, 2))
-    zeros = F.concat(start, F.lit("20"), F.substring(date, 9, 2))
     width = F.octet_length(date)
+    century_missing = F.substring(date, 7, 2) == "00"
     return (
-        F.when(width == 10, F.when(F.substring(date, 7, 2) == "00", zeros).otherwise(date))
-        .when(width == 8, short)
+        F.when(width == 10, F.when(century_missing, _insert(date, "20", 7, 2)).otherwise(date))
+        .when(width == 8, _insert(date, "20", 7))
         .when(width == 0, "")
     )
 
 
-def _existing_day(date: Column) -> Column:
-    """NULL for a day its month does not have."""
-    leap_day_missing = (F.substring(date, 1, 5) == "29/02") & F.concat(
-        F.substring(date, 7, 4), F.lit("-02-29")
-    ).try_cast("date").isNull()
-    impossible = (F.substring(date, 1, 2) >= "29") & (
-        F.substring(date, 1, 5).isin(*_IMPOSSIBLE_DAYS) | leap_day_missing
+def _impossible(date: Column) -> Column:
+    """A padded date whose month does not have that day."""
+    full = (F.octet_length(date) == 10) & (F.substring(date, 7, 2) != "00")
+    no_leap_year = F.when(
+        full, F.concat(F.substring(date, 7, 4), F.lit("-02-29")).try_cast("date").isNull()
+    ).otherwise(F.substring(date, -2, 2).cast("int") % 4 != 0)
+    return (F.substring(date, 1, 2) >= "29") & (
+        F.substring(date, 1, 5).isin(*_IMPOSSIBLE_DAYS)
+        | ((F.substring(date, 1, 5) == "29/02") & no_leap_year)
     )
-    return F.when(~impossible, F.replace(date, F.lit("/"), F.lit("-")))
 
 
-_NORMALISE = (_pad_day, _pad_month, _full_year, _existing_day)
+def _finish(date: Column) -> Column:
+    """A padded date to `dd-MM-yyyy`; NULL if there is no such day."""
+    return F.when(~_impossible(date), F.replace(_full_year(date), F.lit("/"), F.lit("-")))
 
 
 def expand_year(extracted: Column) -> Column:
     """Padded `dd/MM/yyyy` text of an extracted date; short years mean 20yy."""
-    return bind(extracted, _pad_day, _pad_month, _full_year)
+    return bind(extracted, _pad, _full_year)
 
 
 def normalise_date(extracted: Column) -> Column:
     """`dd-MM-yyyy` text of an extracted date; NULL if there is no such day."""
-    return bind(extracted, *_NORMALISE)
+    return bind(extracted, _pad, _finish)
 
 
-def _classify(raw: Column, date: Column, suspended: Column | None, strict: bool) -> Column:
+def _choose(raw: Column, date: Column, check_suspended: bool | Column, strict: bool) -> Column:
     cell = F.when(is_blank(raw), "")
-    if suspended is not None:
-        cell = cell.when(suspended, SUSPENDED)
-    found = cell.when(date != "", date)
-    if strict:
-        return found.otherwise(INVALID)
-    return found.when(date.isNull(), F.lit(None)).otherwise(INVALID)
+    if check_suspended is not False:
+        suspended = is_suspended(raw)
+        cell = cell.when(
+            suspended if check_suspended is True else check_suspended & suspended, SUSPENDED
+        )
+    cell = cell.when(date != "", date)
+    if not strict:
+        cell = cell.when(date.isNull(), F.lit(None))
+    return cell.otherwise(INVALID)
 
 
 def classify_cell(
@@ -114,17 +129,8 @@ def classify_cell(
     `strict` reports it as invalid instead. A suspension wins over a date in the
     same cell.
     """
-    suspended = is_suspended(raw) if check_suspended else None
-    # The date is used more than once, so it is bound before the choice is made.
-    return bind(
-        F.struct(raw.alias("raw"), normalise_date(extracted).alias("date")),
-        lambda cell: _classify(
-            cell["raw"],
-            cell["date"],
-            None if suspended is None else is_suspended(cell["raw"]),
-            strict,
-        ),
-    )
+    pair = F.struct(raw.alias("raw"), normalise_date(extracted).alias("date"))
+    return bind(pair, lambda cell: _choose(cell["raw"], cell["date"], check_suspended, strict))
 
 
 def classify_cells(
@@ -134,16 +140,46 @@ def classify_cells(
 
     The first `unchecked` elements skip the test for a suspension.
     """
-    dates = through(extracted, *_NORMALISE)
+    dates = through(extracted, _pad, _finish)
     cells = F.arrays_zip(raws.alias("raw"), dates.alias("date"))
     return F.transform(
-        cells,
-        lambda cell, at: _classify(
-            cell["raw"], cell["date"], (at >= unchecked) & is_suspended(cell["raw"]), strict
-        ),
+        cells, lambda cell, at: _choose(cell["raw"], cell["date"], at >= unchecked, strict)
     )
 
 
+def format_cells(raws: Column, unchecked: int = 0, strict: bool = False) -> Column:
+    """Extract and classify an array of raw cells, keeping nothing in between.
+
+    Gives what `classify_cells(raws, <extracted>)` gives. Cells that need no date are
+    settled first; every later step passes them on, because they have no slash where a
+    date has one.
+    """
+    absent = F.lit(INVALID) if strict else F.lit(None)
+
+    def settle(raw: Column, at: Column) -> Column:
+        return (
+            F.when(is_blank(raw), F.lit(None))
+            .when((at >= unchecked) & is_suspended(raw), SUSPENDED)
+            .when(raw.contains("/"), raw)
+            .otherwise(INVALID)
+        )
+
+    def find(cell: Column) -> Column:
+        return F.when(cell.contains("/"), extract_date(cell, strict)).otherwise(cell)
+
+    def pad(cell: Column) -> Column:
+        return F.when(cell == "", INVALID).otherwise(_pad(cell))
+
+    def finish(cell: Column) -> Column:
+        return (
+            F.when(cell.isNull(), "")
+            .when(F.substring(cell, 3, 1) != "/", cell)
+            .otherwise(F.coalesce(_finish(cell), absent))
+        )
+
+    return through(F.transform(raws, settle), find, pad, finish)
+
+
 def last_position(cells: Column, value: str = SUSPENDED) -> Column:
     """One-based position of the last element equal to `value`; 0 if none is."""
     from_end = F.array_position(F.reverse(cells), F.lit(value))

@@ -5,24 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: how a date directory starts.
-DATE_START = r"^\d{4}-\d{2}-\d{2}"
-
-
-def directories(path: Column) -> Column:
-    """Path components without the file name."""
-    parts = F.split(path, "/")
-    return F.slice(parts, 1, F.size(parts) - 1)
+# A folder whose name starts with a date, with the two folders above it. The leading
+# part is greedy, so the last such folder is found; the file name is never one.
+_DATED = r"^(?:.*/)?([^/]*/[^/]*/\d{4}-\d{2}-\d{2}[^/]*)/"
 
 
 def directory(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 
 
-def date_index(parts: Column) -> Column:
-    """Zero-based index of the last component that starts with a date; 0 if none."""
-    marked = F.transform(parts, lambda part, i: F.when(part.rlike(DATE_START), i).otherwise(0))
-    return F.array_max(marked)
+def dated_folders(path: Column) -> Column:
+    """`<namespace>/<table>/<date...>` of a path; `''` if it has no such folders."""
+    return F.regexp_extract(path, _DATED, 1)
 
 
 def table_name(raw: Column) -> Column:

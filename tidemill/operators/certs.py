@@ -210,10 +210,5 @@ def status_mart(df: DataFrame, run_ts: Column | None = None, strict: bool = Fals
     in one array from the scan to the last projection instead of being spread out
     and gathered again between the steps.
     """
-    raw = df.select("id", "cong_ty", KIND, _array(RAW_COLUMNS).alias("_raw"))
-    found = raw.select(
-        "*",
-        F.transform("_raw", lambda cell: dates.extract_date(cell, strict)).alias("_found"),
-    )
-    formatted = dates.classify_cells(F.col("_raw"), F.col("_found"), unchecked=1, strict=strict)
-    return _mart(found.select("id", "cong_ty", KIND, formatted.alias("_cells")), run_ts)
+    cells = dates.format_cells(_array(RAW_COLUMNS), unchecked=1, strict=strict)
+    return _mart(df.select("id", "cong_ty", KIND, cells.alias("_cells")), run_ts)

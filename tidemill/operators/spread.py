@@ -1,0 +1,17 @@
+"""Enough tasks for a projection that costs much per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan one task per core if its files make fewer splits than that.
+
+    For small or badly split files only: where the scan has enough splits, as at any
+    real size, it comes back as it is and nothing is shuffled. Select the columns that
+    are needed first, so a shuffle moves no more than those.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan if splits >= cores else scan.repartition(cores)

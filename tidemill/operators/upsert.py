@@ -73,7 +73,8 @@ def upsert(
     a key that repeats in the target stays repeated. With `newer_than` a target row is
     replaced only by a source row that is not older in that column.
 
-    Both joins keep the large side on the left, where Spark splits a hot key over
+    The source is read up to three times: store it first (`scratch.stage`) unless it is
+    a plain scan. Both joins keep the large side on the left, where Spark splits a hot key over
     several tasks and where a source under the broadcast threshold needs no shuffle of
     the target. The second pass reads only the target's keys and stops at those the
     source has.

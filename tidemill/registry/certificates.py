@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators import certs
+from tidemill.operators.spread import spread
 from tidemill.registry import Entry, table
 
 
@@ -39,7 +40,8 @@ _KINDS = tuple(certs.CERTIFICATE_TABLES)
 
 def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as coerced certificate rows."""
-    orders = table(spark, sf_dir, "orders").select(
+    scan = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread(scan).select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("company "), F.col("o_custkey").cast("string")).alias("cong_ty"),
         F.get(F.array(*map(F.lit, _KINDS)), (F.col("o_orderkey") % len(_KINDS)).cast("int")).alias(

@@ -79,8 +79,9 @@ _LATEST_EVENT_SQL = (
 
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    # Unique by construction: one newest order per customer, suppliers below zero.
-    return upsert(customer, changed_customers(spark, sf_dir), ["c_custkey"], check_source=False)
+    # Stored first: the upsert reads its source more than once.
+    changes, _ = scratch.stage(changed_customers(spark, sf_dir), "changes")
+    return upsert(customer, changes, ["c_custkey"])
 
 
 def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:

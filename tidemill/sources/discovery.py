@@ -43,24 +43,26 @@ def parse_path(files: DataFrame, root: str = "") -> DataFrame:
     the table and the namespace. Paths without that shape are left out. Only folders
     count, so a file named after a date does not shift the rest.
     """
-    at = F.col("_at")
+    parts = F.split("_dated", "/")
     return (
-        files.withColumn("_dirs", paths.directories(F.col("path")))
-        .withColumn("_at", paths.date_index(F.col("_dirs")))
-        .filter(at >= 2)
-        .withColumn("namespace", F.get("_dirs", at - 2))
-        .withColumn("table", F.get("_dirs", at - 1))
-        .withColumn("date", F.get("_dirs", at))
-        .withColumn("folder", paths.directory(F.col("path")))
+        files.withColumn("_dated", paths.dated_folders(F.col("path")))
+        .filter("_dated <> ''")
+        .withColumns(
+            {
+                "namespace": F.get(parts, F.lit(0)),
+                "table": F.get(parts, F.lit(1)),
+                "date": F.get(parts, F.lit(2)),
+                "folder": paths.directory(F.col("path")),
+            }
+        )
         .withColumn("target", paths.target_name(F.col("namespace"), F.col("table"), root))
-        .drop("_dirs", "_at")
+        .drop("_dated")
     )
 
 
 def unparsed(files: DataFrame) -> DataFrame:
     """The files `parse_path` leaves out."""
-    at = paths.date_index(paths.directories(F.col("path")))
-    return files.filter(F.coalesce(at, F.lit(0)) < 2)
+    return files.filter(paths.dated_folders(F.col("path")) == "")
 
 
 def group_files(parsed: DataFrame) -> DataFrame:
