@@ -10,6 +10,7 @@ TARGET_BYTES = 128 * 1024 * 1024
 # Default selection: a file is left alone between 75 % and 180 % of the target size,
 # and a group is worth rewriting from five files on.
 MIN_INPUT_FILES = 5
+TARGETS_PER_GROUP = 8
 MAX_FILES_PER_SLICE = 1_000_000
 
 
@@ -31,13 +32,15 @@ def assign_groups(
     files: DataFrame,
     target_bytes: int = TARGET_BYTES,
     rewrite_all: bool = False,
+    targets_per_group: int = TARGETS_PER_GROUP,
     max_files_per_slice: int = MAX_FILES_PER_SLICE,
 ) -> DataFrame:
     """Candidate files with their slice and group number.
 
-    Within a slice, files in path order fill one group per `target_bytes`. A table is
-    cut into as many slices as keep each under `max_files_per_slice`, so the running
-    sum of one huge table is spread over many tasks; tables below that stay whole.
+    Within a slice, files in path order fill groups of `targets_per_group` times the
+    target size. A table is cut into as many slices as keep each near
+    `max_files_per_slice`, so the running sum of one huge table is spread over many
+    tasks; tables below that stay whole.
     """
     wanted = files if rewrite_all else files.filter(_outside(F.col("length"), target_bytes))
     wanted = wanted.select("table", "path", "length")
@@ -51,7 +54,7 @@ def assign_groups(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     start = F.coalesce(F.sum("length").over(before), F.lit(0))
-    return cut.withColumn("group_no", _div(start, target_bytes)).drop("_slices")
+    return cut.withColumn("group_no", _div(start, target_bytes * targets_per_group)).drop("_slices")
 
 
 def compaction_plan(
@@ -59,17 +62,18 @@ def compaction_plan(
     target_bytes: int = TARGET_BYTES,
     min_input_files: int = MIN_INPUT_FILES,
     rewrite_all: bool = False,
+    targets_per_group: int = TARGETS_PER_GROUP,
     max_files_per_slice: int = MAX_FILES_PER_SLICE,
 ) -> DataFrame:
     """Groups to rewrite: files in, bytes, files out.
 
     A group qualifies with enough files, with more than a target's worth of bytes in
     at least two files, or with one file so large that it should be split. The number
-    of files out is rounded, which keeps each of them within the range that the next
-    run leaves alone.
+    of files out is rounded; over several targets per group that keeps each of them
+    within the range that the next run leaves alone.
     """
     groups = (
-        assign_groups(files, target_bytes, rewrite_all, max_files_per_slice)
+        assign_groups(files, target_bytes, rewrite_all, targets_per_group, max_files_per_slice)
         .groupBy("table", "slice", "group_no")
         .agg(F.count(F.lit(1)).alias("files_in"), F.sum("length").alias("bytes"))
     )

@@ -48,7 +48,7 @@ def _groups_sql(listing: str, candidates: str, keep: str) -> str:
         f"CAST(ceil(n / {_PER_SLICE}.0) AS BIGINT) AS slice FROM counted), "
         "placed AS (SELECT *, CAST(sum(length) OVER (PARTITION BY \"table\", slice ORDER BY path) "
         f"AS BIGINT) - length AS start FROM cut), "
-        f"numbered AS (SELECT *, start // {_TARGET} AS group_no FROM placed), "
+        f"numbered AS (SELECT *, start // {_TARGET * compaction.TARGETS_PER_GROUP} AS group_no FROM placed), "
         "plan AS (SELECT \"table\", slice, group_no, count(*) AS files_in, "
         "CAST(sum(length) AS BIGINT) AS bytes FROM numbered GROUP BY ALL), "
         f"chosen AS (SELECT *, greatest(1, (2 * bytes + {_TARGET}) // {2 * _TARGET}) AS files_out "
