@@ -78,6 +78,8 @@ def test_discover_lists_without_reading(spark, tmp_path):
     assert "content" not in text_plan(found)
     only = discovery.discover_files(spark, base, day=DAY)
     assert [r["path"].endswith(f"{DAY}/a.json") for r in only.collect()] == [True]
+    assert discovery.discover_files(spark, base, day="1999-01-01").count() == 0
+    assert discovery.discover_files(spark, base, day=DAY, day_depth=1).count() == 0
 
 
 def test_group_files(spark):
@@ -166,6 +168,23 @@ def test_rows_without_key_can_be_loaded_as_they_are(spark, tmp_path):
     assert rows.filter("id = 1").count() == 1
 
 
+def test_known_schema_and_depth(spark, tmp_path):
+    put(tmp_path, f"in/a/t/{DAY}/a.json", [{"id": 1, "v": 5, "other": "x"}])
+    put(tmp_path, f"in/a/t/{DAY}/b.json", '{"id": 2, "v"')
+    put(tmp_path, f"in/deep/a/t/{DAY}/a.json", [{"id": 2, "v": 5}])
+    schema = spark.createDataFrame([], "id bigint, v string").schema
+    root = f"{tmp_path}/out"
+    ingest.ingest_to_folders(
+        spark, f"{tmp_path}/in", DAY, root, day_depth=2, schemas={"stg_a.tbl_t": schema}
+    )
+    table = versions.current(spark, f"{root}/stg_a/tbl_t")
+    assert table.schema == schema and [tuple(r) for r in table.collect()] == [(1, "5")]
+    assert versions.current(spark, f"{root}/_aside/stg_a/tbl_t").count() == 1
+    assert ingest.ingest_to_folders(spark, f"{tmp_path}/in", "1999-01-01", root, day_depth=2) == []
+    ingest.ingest_to_folders(spark, f"{tmp_path}/in", DAY, root)
+    assert versions.current(spark, f"{root}/stg_a/tbl_t").count() == 2
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
     put(tmp_path, f"in/a/bad/{DAY}/a.json", {"id": 1})
     put(tmp_path, f"in/a/good/{DAY}/a.json", {"id": 1})

@@ -11,7 +11,9 @@ _DATED = r"^(?:.*/)?([^/]*/[^/]*/\d{4}-\d{2}-\d{2}[^/]*)/"
 
 
 def directory(path: Column) -> Column:
-    return F.regexp_replace(path, "/[^/]*$", "")
+    """Everything before the last slash."""
+    name = F.length(F.substring_index(path, "/", -1))
+    return F.substring(path, F.lit(1), F.length(path) - name - 1)
 
 
 def dated_folders(path: Column) -> Column:

@@ -66,12 +66,15 @@ def upsert(
     keys: Sequence[str],
     newer_than: str | None = None,
     check_source: bool = True,
+    on_new: str = "add",
+    on_missing: str = "null",
 ) -> DataFrame:
     """Replace target rows whose key is in the source; add source rows that match none.
 
     As MERGE does: the whole row is replaced, NULLs included; NULL keys match nothing;
     a key that repeats in the target stays repeated. With `newer_than` a target row is
-    replaced only by a source row that is not older in that column.
+    replaced only by a source row that is not older in that column. `on_new` and
+    `on_missing` say what happens to columns only one side has (`align_columns`).
 
     The source is read up to three times: store it first (`scratch.stage`) unless it is
     a plain scan. Both joins keep the large side on the left, where Spark splits a hot key over
@@ -81,7 +84,7 @@ def upsert(
     """
     if check_source:
         check_unique(source, keys)
-    target, source = align_columns(target, source)
+    target, source = align_columns(target, source, on_new, on_missing)
     columns = target.columns
     marked = source.select(F.struct(*columns).alias(_MATCH), *[F.col(k).alias(f"_k_{k}") for k in keys])
     on = reduce(and_, [target[k] == marked[f"_k_{k}"] for k in keys])

@@ -20,7 +20,11 @@ def full_refresh(df: DataFrame, base: str) -> DataFrame:
 
 
 def upsert_table(
-    source: DataFrame, base: str, keys: Sequence[str], newer_than: str | None = None
+    source: DataFrame,
+    base: str,
+    keys: Sequence[str],
+    newer_than: str | None = None,
+    check_source: bool = True,
 ) -> DataFrame:
     """Upsert into a versioned table, creating it if need be.
 
@@ -29,7 +33,8 @@ def upsert_table(
     """
     spark = source.sparkSession
     staged, path = scratch.stage(source, "upsert")
-    check_unique(staged, keys)
+    if check_source:
+        check_unique(staged, keys)
     if versions.table_exists(spark, base):
         held = versions.current(spark, base)
         result = versions.publish(
@@ -87,7 +92,8 @@ class BucketedTable:
     def upsert(self, source: DataFrame, newer_than: str | None = None) -> None:
         """Merge into the touched buckets, beside the table, then swap them in.
 
-        The merged rows are complete and stored before any bucket is replaced. If the
+        New columns are refused: the buckets left alone would not have them. The merged
+        rows are complete and stored before any bucket is replaced. If the
         swap is interrupted, running the upsert again gives the same table, provided
         the merged rows, named in the error, are swapped in first.
         """
@@ -100,7 +106,10 @@ class BucketedTable:
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
         held = self.read(spark).filter(F.col(BUCKET).isin(touched))
         merged, merged_path = scratch.stage(
-            upsert(held, staged, (*self.keys, BUCKET), newer_than, check_source=False), "merged"
+            upsert(
+                held, staged, (*self.keys, BUCKET), newer_than, check_source=False, on_new="fail"
+            ),
+            "merged",
         )
         try:
             self._write(merged)

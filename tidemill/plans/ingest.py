@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.util import inheritable_thread_target
 
 from tidemill.operators.latest import choose_order_column, dedup_any, dedup_latest
 from tidemill.plans import change
-from tidemill.sources import catalog, discovery, documents, versions
+from tidemill.plans.runbook import expire_sql
+from tidemill.sources import catalog, discovery, documents, files, scratch, versions
 
 DEFAULT_KEY = "id"
 
@@ -49,9 +51,10 @@ def newest_rows(
 def load_folder_table(
     df: DataFrame, base: str, key: str = DEFAULT_KEY, newer_than: str | None = None
 ) -> str:
-    """Upsert (or, without the key, append) into a versioned parquet table."""
+    """Upsert rows that are unique by key into a versioned parquet table; without the
+    key append them."""
     if key in df.columns:
-        change.upsert_table(df, base, [key], newer_than)
+        change.upsert_table(df, base, [key], newer_than, check_source=False)
         return "upsert"
     change.append_table(df, base)
     return "append"
@@ -68,16 +71,10 @@ def load_catalog_table(df: DataFrame, name: str, key: str = DEFAULT_KEY) -> str:
     else:
         catalog.append_to(df, name)
         mode = "append"
-    spark.sql(catalog_expire(name))
+    spark.sql(expire_sql(name, retain_last=2))
     return mode
 
 
-def catalog_expire(name: str) -> str:
-    from tidemill.plans.runbook import expire_sql
-
-    return expire_sql(name, retain_last=2)
-
-
 def folder_target(root: str) -> Callable[[str], str]:
     """Target names to folders: `stg_a.tbl_b` to `<root>/stg_a/tbl_b`."""
     return lambda target: f"{root.rstrip('/')}/{target.replace('.', '/')}"
@@ -95,6 +92,8 @@ def ingest_day(
     suffix: str = ".json",
     parallel: int = 4,
     only: Sequence[str] | None = None,
+    schemas: Mapping[str, StructType] | None = None,
+    day_depth: int | None = None,
 ) -> list[TableResult]:
     """Load the files of one day, or of all days, table by table.
 
@@ -103,15 +102,22 @@ def ingest_day(
     are, one per run. Tables are independent: one that fails does not stop the others,
     and `IngestFailed` is raised at the end. Only one row per folder and table comes to
     the driver.
+
+    Two settings matter for large lakes. `schemas` gives the columns of a target, which
+    saves the pass that infers them. `day_depth` says how many levels below `base` the
+    day's folders lie, so that only these are listed; without it everything is, and a
+    day's folder counts at any depth.
     """
     if null_keys == "aside" and set_aside is None:
         set_aside = _refuse_aside
-    files = discovery.filter_day(
-        discovery.discover_files(spark, base, suffix=suffix), ds, full_scan, suffix
-    )
+    if full_scan or day_depth is None:
+        found = discovery.discover_files(spark, base, suffix=suffix)
+    else:
+        found = discovery.discover_files(spark, base, ds, suffix, day_depth)
+    listing = discovery.filter_day(found, ds, full_scan, suffix)
     folders: dict[str, list[str]] = {}
     counts: dict[str, int] = {}
-    for row in discovery.group_files(discovery.parse_path(files)).toLocalIterator():
+    for row in discovery.group_files(discovery.parse_path(listing)).toLocalIterator():
         if only is None or row["target"] in only:
             folders.setdefault(row["target"], []).append(row["folder"])
             counts[row["target"]] = counts.get(row["target"], 0) + row["n_files"]
@@ -119,12 +125,16 @@ def ingest_day(
     def one(target: str) -> TableResult:
         try:
             paths = documents.folder_globs(sorted(folders[target]), suffix)
-            rows = documents.read_json(spark, paths)
+            schema = (schemas or {}).get(target)
+            read = documents.read_json(spark, paths, schema, keep_corrupt=True)
+            # Parsed once; what follows reads columns of the stored rows.
+            rows, staged = scratch.stage(read, "parsed")
             if key in rows.columns and null_keys == "aside":
                 rows, broken = documents.split_corrupt(rows, [key])
                 set_aside(broken, target)
-            rows = newest_rows(documents.drop_corrupt(rows), key)
-            return TableResult(target, counts[target], load(rows, target))
+            mode = load(newest_rows(documents.drop_corrupt(rows), key), target)
+            files.remove(spark, staged)
+            return TableResult(target, counts[target], mode)
         except Exception as error:  # reported per table, raised below
             return TableResult(target, counts[target], "failed", str(error))
 

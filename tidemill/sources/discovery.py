@@ -6,19 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import paths
+from tidemill.sources import files
+
+
+_LISTING = "path string, length bigint, modificationTime timestamp"
 
 
 def discover_files(
-    spark: SparkSession, base: str, day: str | None = None, suffix: str = ".json"
+    spark: SparkSession,
+    base: str,
+    day: str | None = None,
+    suffix: str = ".json",
+    day_depth: int = 2,
 ) -> DataFrame:
     """(path, length, modificationTime) of the files under `base`.
 
-    Contents are never read. With `day`, only `<namespace>/<table>/<day>` folders are
-    listed, so a daily run does not walk the history; leave it out for other layouts
-    and filter with `filter_day`.
+    Contents are never read. With `day`, only the day's folders `day_depth` levels
+    below `base` are listed, so a daily run does not walk the history. Without it all
+    files are, whatever the layout; narrow them down with `filter_day`.
     """
-    root = base.rstrip("/")
-    start = f"{root}/*/*/{day}" if day else root
+    start = base.rstrip("/")
+    if day is not None:
+        start = "/".join([start, *["*"] * day_depth, day])
+        if not files.children(spark, start):
+            return spark.createDataFrame([], _LISTING)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -29,14 +40,14 @@ def discover_files(
 
 
 def filter_day(
-    files: DataFrame, ds: str, full_scan: bool = False, suffix: str = ".json"
+    listing: DataFrame, ds: str, full_scan: bool = False, suffix: str = ".json"
 ) -> DataFrame:
     """Keep files with the suffix that lie under the day's folder, or all of them."""
-    wanted = files.filter(F.col("path").endswith(suffix))
+    wanted = listing.filter(F.col("path").endswith(suffix))
     return wanted if full_scan else wanted.filter(F.col("path").contains(f"/{ds}/"))
 
 
-def parse_path(files: DataFrame, root: str = "") -> DataFrame:
+def parse_path(listing: DataFrame, root: str = "") -> DataFrame:
     """Add namespace, table, date, folder and target table name.
 
     The date is the last folder that starts with one; the two folders above it are
@@ -45,7 +56,7 @@ def parse_path(files: DataFrame, root: str = "") -> DataFrame:
     """
     parts = F.split("_dated", "/")
     return (
-        files.withColumn("_dated", paths.dated_folders(F.col("path")))
+        listing.withColumn("_dated", paths.dated_folders(F.col("path")))
         .filter("_dated <> ''")
         .withColumns(
             {
@@ -60,9 +71,9 @@ def parse_path(files: DataFrame, root: str = "") -> DataFrame:
     )
 
 
-def unparsed(files: DataFrame) -> DataFrame:
+def unparsed(listing: DataFrame) -> DataFrame:
     """The files `parse_path` leaves out."""
-    return files.filter(paths.dated_folders(F.col("path")) == "")
+    return listing.filter(paths.dated_folders(F.col("path")) == "")
 
 
 def group_files(parsed: DataFrame) -> DataFrame:

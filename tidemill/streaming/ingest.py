@@ -40,7 +40,8 @@ def upsert_stream(
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        upsert_table(dedup_latest(batch, keys, order_by, tie), base, keys, newer_than=order_by)
+        newest = dedup_latest(batch, keys, order_by, tie)
+        upsert_table(newest, base, keys, newer_than=order_by, check_source=False)
 
     query = (
         rows.writeStream.foreachBatch(apply)
