@@ -161,6 +161,26 @@ def test_bucketed_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     assert got.filter("v = 'new'").head()["id"] == 5
 
 
+def test_interrupted_swap_is_repeated(spark, tmp_path, monkeypatch):
+    stored = change.BucketedTable(f"{tmp_path}/b", ("id",), buckets=4)
+    stored.create(spark.range(100).selectExpr("id", "'old' v"))
+    source = spark.range(50, 150).selectExpr("id", "'new' v")
+
+    def stop(self, df):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(change.BucketedTable, "_write", stop)
+        with pytest.raises(OSError):
+            stored.upsert(source)
+    assert stored.read(spark).filter("v = 'new'").count() == 0
+    assert stored.resume(spark) is True and stored.resume(spark) is False
+    got = stored.read(spark)
+    assert (got.count(), got.filter("v = 'new'").count()) == (150, 100)
+    with pytest.raises(ValueError, match="new columns"):
+        stored.upsert(source.withColumn("w", F.lit(1)))
+
+
 def test_full_refresh_replaces_columns_too(spark, tmp_path):
     base = f"{tmp_path}/t"
     change.full_refresh(spark.range(5), base)

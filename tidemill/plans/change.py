@@ -89,15 +89,32 @@ class BucketedTable:
     def create(self, df: DataFrame) -> None:
         self._write(with_bucket(df, self.keys, self.buckets))
 
+    @property
+    def _pending(self) -> str:
+        return f"{self.base}/_pending"
+
+    def resume(self, spark: SparkSession) -> bool:
+        """Finish a swap that was interrupted, if there is one."""
+        if not files.exists(spark, self._pending):
+            return False
+        self._swap(spark, files.read_marker(spark, self._pending))
+        return True
+
+    def _swap(self, spark: SparkSession, merged_path: str) -> None:
+        self._write(spark.read.parquet(merged_path))
+        files.remove(spark, self._pending)
+        files.remove(spark, merged_path)
+
     def upsert(self, source: DataFrame, newer_than: str | None = None) -> None:
         """Merge into the touched buckets, beside the table, then swap them in.
 
-        New columns are refused: the buckets left alone would not have them. The merged
-        rows are complete and stored before any bucket is replaced. If the
-        swap is interrupted, running the upsert again gives the same table, provided
-        the merged rows, named in the error, are swapped in first.
+        The merged rows are complete and stored before any bucket is replaced, and a
+        marker names them: if the swap is interrupted, `resume` or the next upsert
+        repeats it. New columns are refused, because the buckets left alone would not
+        have them.
         """
         spark = source.sparkSession
+        self.resume(spark)
         staged, staged_path = scratch.stage(
             with_bucket(source, self.keys, self.buckets), "upsert"
         )
@@ -105,15 +122,10 @@ class BucketedTable:
         # At most one row per bucket reaches the driver.
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
         held = self.read(spark).filter(F.col(BUCKET).isin(touched))
-        merged, merged_path = scratch.stage(
-            upsert(
-                held, staged, (*self.keys, BUCKET), newer_than, check_source=False, on_new="fail"
-            ),
-            "merged",
+        merged = upsert(
+            held, staged, (*self.keys, BUCKET), newer_than, check_source=False, on_new="fail"
         )
-        try:
-            self._write(merged)
-        except Exception as error:
-            raise RuntimeError(f"swap incomplete; merged rows are in {merged_path}") from error
+        merged_path = scratch.stage(merged, "merged")[1]
+        files.write_marker(spark, self._pending, merged_path)
+        self._swap(spark, merged_path)
         files.remove(spark, staged_path)
-        files.remove(spark, merged_path)

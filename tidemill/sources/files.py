@@ -23,6 +23,14 @@ def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
     stream.close()
 
 
+def read_marker(spark: SparkSession, path: str) -> str:
+    fs, jpath = _open(spark, path)
+    stream = fs.open(jpath)
+    text = bytes(stream.readAllBytes()).decode("utf-8")
+    stream.close()
+    return text
+
+
 def children(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     """(path, modification time in ms) of what a glob matches; for short listings."""
     fs, jpath = _open(spark, pattern)
