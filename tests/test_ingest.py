@@ -168,6 +168,20 @@ def test_rows_without_key_can_be_loaded_as_they_are(spark, tmp_path):
     assert rows.filter("id = 1").count() == 1
 
 
+def test_only_broken_documents(spark, tmp_path):
+    put(tmp_path, f"in/a/t/{DAY}/a.json", '{"id": 1,')
+    put(tmp_path, f"in/a/notes/{DAY}/a.json", '{"text"')
+    put(tmp_path, f"in/a/notes/{DAY}/b.json", {"text": "x"})
+    done = ingest.ingest_to_folders(spark, f"{tmp_path}/in", DAY, f"{tmp_path}/out")
+    assert {(r.target, r.mode) for r in done} == {
+        ("stg_a.tbl_t", "nothing"),
+        ("stg_a.tbl_notes", "append"),
+    }
+    assert versions.current(spark, f"{tmp_path}/out/stg_a/tbl_notes").count() == 1
+    for name in ("tbl_t", "tbl_notes"):
+        assert versions.current(spark, f"{tmp_path}/out/_aside/stg_a/{name}").count() == 1
+
+
 def test_known_schema_and_depth(spark, tmp_path):
     put(tmp_path, f"in/a/t/{DAY}/a.json", [{"id": 1, "v": 5, "other": "x"}])
     put(tmp_path, f"in/a/t/{DAY}/b.json", '{"id": 2, "v"')
@@ -227,8 +241,10 @@ def test_stream_takes_up_new_files_only(spark, tmp_path):
     put(tmp_path, "in/a/t/2024-01-29/b.json", [
         {"id": 1, "updated_at": "2024-01-29", "v": "late"},
         {"id": 2, "updated_at": "2024-01-29", "v": "c"},
+        {"updated_at": "2024-01-29", "v": "no key"},
     ])
     assert run() == {1: "a", 2: "c"}
+    assert [r["v"] for r in spark.read.parquet(f"{base}/_aside").collect()] == ["no key"]
     assert run() == {1: "a", 2: "c"}
     assert versions.snapshots(spark, base).count() == 2
 

@@ -164,8 +164,10 @@ def format_cells(raws: Column, unchecked: int = 0, strict: bool = False) -> Colu
             .otherwise(INVALID)
         )
 
+    pattern = STRICT_DATE_PATTERN if strict else DATE_PATTERN
+
     def find(cell: Column) -> Column:
-        return F.when(cell.contains("/"), extract_date(cell, strict)).otherwise(cell)
+        return F.when(cell.contains("/"), F.regexp_extract(cell, pattern, 0)).otherwise(cell)
 
     def pad(cell: Column) -> Column:
         return F.when(cell == "", INVALID).otherwise(_pad(cell))

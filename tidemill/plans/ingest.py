@@ -129,10 +129,13 @@ def ingest_day(
             read = documents.read_json(spark, paths, schema, keep_corrupt=True)
             # Parsed once; what follows reads columns of the stored rows.
             rows, staged = scratch.stage(read, "parsed")
-            if key in rows.columns and null_keys == "aside":
-                rows, broken = documents.split_corrupt(rows, [key])
+            if null_keys == "aside":
+                keys = [key] if key in rows.columns else []
+                rows, broken = documents.split_corrupt(rows, keys)
                 set_aside(broken, target)
-            mode = load(newest_rows(documents.drop_corrupt(rows), key), target)
+            rows = documents.drop_corrupt(rows)
+            # Without columns every document was broken, and there is nothing to load.
+            mode = load(newest_rows(rows, key), target) if rows.columns else "nothing"
             files.remove(spark, staged)
             return TableResult(target, counts[target], mode)
         except Exception as error:  # reported per table, raised below

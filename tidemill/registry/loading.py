@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.latest import dedup_any, dedup_latest
+from tidemill.operators.spread import spread
 from tidemill.operators.upsert import append, upsert
 from tidemill.plans import change, ingest
 from tidemill.registry import Entry, table
@@ -122,7 +123,7 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file listing with one file per event; errors lie outside any day's folder."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value"))
     day = F.when(F.col("event_type") == "error", "late").otherwise(
         F.date_format("ts", "yyyy-MM-dd")
     )

@@ -22,11 +22,16 @@ def read_json(
     """Multi-line JSON: one object or one array of objects per file.
 
     Without `schema` Spark reads everything once to infer one and again for the rows.
-    `keep_corrupt` makes sure that the text of broken documents has a column.
+    `keep_corrupt` makes sure that the text of broken documents has a column. Where
+    every document is broken that is the only one.
     """
     reader = spark.read.option("multiLine", True)
     if schema is None:
-        return reader.json(list(paths))
+        rows = reader.json(list(paths))
+        if rows.columns == [CORRUPT]:
+            # Spark refuses to read this column alone, and here it is the whole file.
+            return spark.read.text(list(paths), wholetext=True).toDF(CORRUPT)
+        return rows
     if keep_corrupt and CORRUPT not in schema.names:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     return reader.schema(schema).json(list(paths))

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidemill.operators.latest import dedup_latest
 from tidemill.plans.change import upsert_table
+from tidemill.sources import documents, files, scratch
 
 
 def stream_json(
@@ -36,12 +37,18 @@ def upsert_stream(
     """Take up all rows that are new since the last run, then stop.
 
     Each batch keeps its newest row per key and is upserted with `order_by` as guard.
-    A batch that is repeated after a failure changes nothing, so rows arrive once.
+    Rows without a key are kept in `<base>/_aside/batch=<n>`. A batch that is repeated
+    after a failure changes nothing, so rows arrive once.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        newest = dedup_latest(batch, keys, order_by, tie)
+    def apply(batch: DataFrame, number: int) -> None:
+        rows, staged = scratch.stage(batch, "batch")
+        load, broken = documents.split_corrupt(rows, keys)
+        if broken.head() is not None:
+            broken.write.mode("overwrite").parquet(f"{base}/_aside/batch={number}")
+        newest = dedup_latest(load, keys, order_by, tie)
         upsert_table(newest, base, keys, newer_than=order_by, check_source=False)
+        files.remove(batch.sparkSession, staged)
 
     query = (
         rows.writeStream.foreachBatch(apply)
