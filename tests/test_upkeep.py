@@ -67,6 +67,20 @@ def test_a_huge_table_is_cut_into_slices(spark):
     assert "Exchange" not in text[: text.index("Window [")]
 
 
+def test_files_are_not_shuffled_by_table(spark, tmp_path):
+    spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id as string)) AS table", "cast(id as string) path", "id length"
+    ).write.parquet(f"{tmp_path}/f")
+    listed = spark.read.parquet(f"{tmp_path}/f")
+    plan = compaction.assign_groups(listed, max_files_per_slice=10_000)
+    text = text_plan(plan)
+    # One shuffle of files, by table and slice; the other is over counts per table.
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert plan.count() == 30_000
+    assert plan.filter("table = 'hot'").select("slice").distinct().count() == 1
+
+
 def snaps(spark, *rows):
     return spark.createDataFrame(list(rows), "table string, snapshot_id bigint, committed_at timestamp")
 

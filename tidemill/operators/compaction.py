@@ -12,6 +12,7 @@ TARGET_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 5
 TARGETS_PER_GROUP = 8
 MAX_FILES_PER_SLICE = 1_000_000
+_BROADCAST_FROM = 10_000
 
 
 def _outside(length: Column, target_bytes: int) -> Column:
@@ -44,10 +45,21 @@ def assign_groups(
     """
     wanted = files if rewrite_all else files.filter(_outside(F.col("length"), target_bytes))
     wanted = wanted.select("table", "path", "length")
-    slices = wanted.groupBy("table").agg(
-        F.ceil(F.count(F.lit(1)) / max_files_per_slice).alias("_slices")
+    large = (
+        wanted.groupBy("table")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > max_files_per_slice)
+        .select("table", F.ceil(F.col("_n") / max_files_per_slice).alias("_slices"))
+    )
+    # At most one row per `max_files_per_slice` files: a billion files give a list of
+    # some megabytes at the limit below. The files then need no shuffle by table, which
+    # would put all files of the largest table into one task.
+    if max_files_per_slice >= _BROADCAST_FROM:
+        large = F.broadcast(large)
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    cut = wanted.join(large, "table", "left").withColumn(
+        "slice", F.when(slices > 1, slice_of(F.col("path"), slices)).otherwise(F.lit(0))
     )
-    cut = wanted.join(slices, "table").withColumn("slice", slice_of(F.col("path"), F.col("_slices")))
     before = (
         Window.partitionBy("table", "slice")
         .orderBy("path")

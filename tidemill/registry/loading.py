@@ -89,8 +89,9 @@ def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same upsert into a stored table, run twice: the second run changes nothing."""
     base = scratch.scratch_path(spark, "customer")
     versions.publish(table(spark, sf_dir, "customer"), base)
+    changes, _ = scratch.stage(changed_customers(spark, sf_dir), "changes")
     for _ in range(2):
-        change.upsert_table(changed_customers(spark, sf_dir), base, ["c_custkey"])
+        change.upsert_table(changes, base, ["c_custkey"])
     return versions.current(spark, base)
 
 
@@ -114,9 +115,9 @@ def append_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders' stored table replaced whole by conversations, columns included."""
+    """A stored table of labels replaced whole by conversations, columns included."""
     base = scratch.scratch_path(spark, "conversations")
-    change.full_refresh(table(spark, sf_dir, "orders"), base)
+    change.full_refresh(table(spark, sf_dir, "labels"), base)
     change.full_refresh(table(spark, sf_dir, "conversations"), base)
     return versions.current(spark, base)
 
