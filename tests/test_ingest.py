@@ -265,6 +265,15 @@ def test_jdbc_options():
         jdbc.jdbc_options("u", "t", partition_column="id")
 
 
+def test_upkeep_after_a_load_only_warns(spark, monkeypatch, caplog):
+    stored = []
+    monkeypatch.setattr(ingest.catalog, "replace_table", lambda df, name: stored.append(name))
+    ingest.refresh_catalog_table(spark.range(1), "spark_catalog.ns.t")
+    assert stored == ["spark_catalog.ns.t"]
+    # This catalog has neither procedure.
+    assert caplog.text.count("upkeep failed") == 2
+
+
 def test_duplicate_keys_are_named(spark, tmp_path):
     from tidemill.plans.change import upsert_table
 

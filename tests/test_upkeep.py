@@ -209,7 +209,7 @@ def test_statements_in_order():
     assert "older_than => TIMESTAMP '2024-02-01 00:00:00.000000+00:00'" in steps["snapshots"]
     assert "TIMESTAMP '2024-01-31 00:00:00.000000+00:00'" in steps["orphans"]
     assert "'write.metadata.previous-versions-max'='2'" in steps["properties"]
-    weekly = runbook.rewrite_sql("lake.ns.t", min_input_files=2)
+    weekly = runbook.statements("lake.ns.t", runbook.WEEKLY, NOW)["data"]
     assert "'min-input-files', '2'" in weekly and "rewrite-all" not in weekly
     assert runbook.expire_sql("lake.t").endswith("retain_last => 2)")
     assert runbook.orphans_sql("lake.t") == "CALL `lake`.system.remove_orphan_files(table => 'lake.t')"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,11 @@ from pyspark.util import inheritable_thread_target
 
 from tidemill.operators.latest import choose_order_column, dedup_any, dedup_latest
 from tidemill.plans import change
-from tidemill.plans.runbook import expire_sql
+from tidemill.plans.runbook import expire_sql, orphans_sql
 from tidemill.sources import catalog, discovery, documents, files, scratch, versions
 
+log = logging.getLogger(__name__)
+
 DEFAULT_KEY = "id"
 
 
@@ -71,10 +75,27 @@ def load_catalog_table(df: DataFrame, name: str, key: str = DEFAULT_KEY) -> str:
     else:
         catalog.append_to(df, name)
         mode = "append"
-    spark.sql(expire_sql(name, retain_last=2))
+    _tidy(spark, expire_sql(name, retain_last=2))
     return mode
 
 
+def refresh_catalog_table(df: DataFrame, name: str, now: datetime | None = None) -> None:
+    """Replace a catalog table by `df` (such as `jdbc.read_jdbc` gives), then drop what
+    the replacement left behind."""
+    catalog.replace_table(df, name)
+    now = now or datetime.now(timezone.utc)
+    _tidy(df.sparkSession, expire_sql(name, retain_last=2, older_than=now), orphans_sql(name))
+
+
+def _tidy(spark: SparkSession, *statements: str) -> None:
+    """Upkeep after a load: the rows are in, so a failure is only reported."""
+    for statement in statements:
+        try:
+            spark.sql(statement)
+        except Exception as error:
+            log.warning("upkeep failed: %s: %s", statement, error)
+
+
 def folder_target(root: str) -> Callable[[str], str]:
     """Target names to folders: `stg_a.tbl_b` to `<root>/stg_a/tbl_b`."""
     return lambda target: f"{root.rstrip('/')}/{target.replace('.', '/')}"

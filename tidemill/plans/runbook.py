@@ -26,8 +26,10 @@ class Policy:
     orphan_age: timedelta | None = None
 
 
-# Daily keeps one snapshot and rewrites everything; weekly only packs small files.
+# Daily rewrites everything and keeps one snapshot; weekly, with its own steps, packs
+# small files only; the policy for a single table keeps two snapshots.
 DAILY = Policy(rewrite_all=True, retain_last=1, orphan_age=timedelta(days=1))
+WEEKLY = Policy(min_input_files=2)
 SINGLE_TABLE = Policy()
 WEEKLY_STEPS = ("data", "orphans")
 ALL_STEPS = ("properties", "data", "manifests", "snapshots", "orphans")
@@ -122,8 +124,10 @@ def maintain_table(
             return status
         for step, sql in statements(table, policy, now).items():
             if step in steps:
-                row = spark.sql(sql).head() if step != "orphans" else spark.sql(sql) and None
-                status.steps[step] = row.asDict() if row is not None else {}
+                result = spark.sql(sql)
+                # Orphan removal answers with a row per file, the others with counts.
+                row = None if step == "orphans" else result.head()
+                status.steps[step] = {} if row is None else row.asDict()
     except Exception as error:  # reported per table, raised by maintain_all
         status.error = str(error)
     return status
