@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, lang_id, mixing, packing, quality_model, quality_rules, token_files
+from tidemill.llm import chat, lang_id, mixing, near_dups, packing, quality_model, quality_rules, token_files
 from tidemill.llm.common import table
 from tidemill.sources.scratch import scratch_path
 
@@ -22,6 +22,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation rendered and read back; each row is one message."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -74,6 +79,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language,
+        op2_near_dups,
         op3_chat_format,
         op6_token_output,
         op7_best_fit_packing,
