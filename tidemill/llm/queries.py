@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, lang_id, mixing, near_dups, packing, quality_model, quality_rules, token_files
+from tidemill.llm import ann, chat, lang_id, mixing, near_dups, packing, quality_model, quality_rules, token_files
 from tidemill.llm.common import table
 from tidemill.sources.scratch import scratch_path
 
@@ -44,6 +44,12 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.render(folded)))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to files and read back from them."""
     path = scratch_path(spark, "tokens")
@@ -81,6 +87,7 @@ QUERIES = {
         op1_language,
         op2_near_dups,
         op3_chat_format,
+        op4_nearest,
         op6_token_output,
         op7_best_fit_packing,
         op8_quality_rules,
