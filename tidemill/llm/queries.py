@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm import ann, chat, lang_id, mixing, near_dups, packing, quality_model, quality_rules, token_files
+from tidemill.llm import ann, chat, html_text, lang_id, mixing, near_dups, packing, quality_model, quality_rules, token_files
 from tidemill.llm.common import table
 from tidemill.sources.scratch import scratch_path
 
@@ -50,6 +50,12 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.fit_sample(pages)).drop("html")
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to files and read back from them."""
     path = scratch_path(spark, "tokens")
@@ -88,6 +94,7 @@ QUERIES = {
         op2_near_dups,
         op3_chat_format,
         op4_nearest,
+        op5_main_text,
         op6_token_output,
         op7_best_fit_packing,
         op8_quality_rules,
