@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import column
+from tidemill.llm.common import column, free_name
 
 # Elements by their part in a page.
 RAW = ("script", "style", "textarea", "title", "xmp", "noframes", "iframe", "noembed")
@@ -162,7 +162,7 @@ class Weights:
 
 
 # How many pages' worth of tags the expectation counts for, and what surprise costs.
-PRIOR, SCALE, DEAREST = 20.0, 1.5, -6.0
+PRIOR, SCALE, DEAREST = 20.0, 0.4, -6.0
 
 
 def _expected(tag: str) -> float:
@@ -277,6 +277,7 @@ def extract(pages: DataFrame, weights: Weights, source: str = "html") -> DataFra
         for batch in batches:
             yield pd.Series([main_text(h, weights) for h in batch], dtype=object)
 
-    others = [column(c) for c in pages.columns if c not in ("text", "n_chars")]
-    out = pages.withColumn("text", pull(column(source)))
-    return out.select(*others, "text", F.length("text").cast("long").alias("n_chars"))
+    others = [column(c) for c in pages.columns if c.lower() not in ("text", "n_chars")]
+    held = free_name(pages, "pulled")
+    out = pages.withColumn(held, pull(column(source)))
+    return out.select(*others, F.col(held).alias("text"), F.length(held).cast("long").alias("n_chars"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import column
+from tidemill.llm.common import column, free_name
 
 # Families of languages by code. A code not listed is its own family.
 FAMILIES = {
@@ -157,7 +157,7 @@ def fit_sample(docs: DataFrame, per_language: int = 1000, doc_id: str = "doc_id"
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score.
+    """`docs` with lang_pred and score, which replace columns of those names.
 
     `und` and 0 for a null text, a text without letters, or where nothing was learned.
     """
@@ -175,6 +175,6 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                     langs[some], score[some] = model.predict(vectors([batch.iat[k] for k in some]))
             yield pd.DataFrame({"lang_pred": langs, "score": np.clip(score, 0, 1)})
 
-    return docs.withColumn("guess", guess(column(text))).select(
-        *(column(c) for c in docs.columns if c not in ("lang_pred", "score")), "guess.lang_pred", "guess.score"
-    )
+    held = free_name(docs, "guess")
+    others = [column(c) for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return docs.withColumn(held, guess(column(text))).select(*others, f"{held}.lang_pred", f"{held}.score")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import column
+from tidemill.llm.common import column, free_name
 
 DIMENSIONS = 1 << 18
 GRADES = 3
@@ -183,6 +183,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id
 def score(docs: DataFrame, model: Model | None, least: float = 0.5, text: str = "text") -> DataFrame:
     """`docs` with expected_grade, tail_prob (of the top grade) and accepted.
 
+    These replace columns of the same names.
     Null texts are scored as empty ones. Without a model nothing is known: the grade
     and the probability are null and every document is accepted.
     """
@@ -193,15 +194,14 @@ def score(docs: DataFrame, model: Model | None, least: float = 0.5, text: str =
             above = model.above(batch.tolist())
             yield pd.DataFrame({"expected_grade": above.sum(axis=1), "tail_prob": above[:, -1]})
 
-    if model is None:
-        nothing = F.lit(None).cast("double")
-        out = docs.withColumn("rating", F.struct(nothing.alias("expected_grade"), nothing.alias("tail_prob")))
-    else:
-        out = docs.withColumn("rating", rate(column(text)))
+    held = free_name(docs, "rating")
+    nothing = F.lit(None).cast("double")
+    unknown = F.struct(nothing.alias("expected_grade"), nothing.alias("tail_prob"))
+    out = docs.withColumn(held, unknown if model is None else rate(column(text)))
     added = ("expected_grade", "tail_prob", "accepted")
     return out.select(
-        *(column(c) for c in docs.columns if c not in added),
-        F.col("rating.expected_grade"),
-        F.col("rating.tail_prob"),
-        F.coalesce(F.col("rating.tail_prob") >= least, F.lit(True)).alias("accepted"),
+        *(column(c) for c in docs.columns if c.lower() not in added),
+        F.col(f"{held}.expected_grade"),
+        F.col(f"{held}.tail_prob"),
+        F.coalesce(F.col(f"{held}.tail_prob") >= least, F.lit(True)).alias("accepted"),
     )
