@@ -73,31 +73,39 @@ def test_classify_one_cell(cells, strict):
 
 
 def gathered(cells):
-    # `collect_list` leaves NULLs out, so they travel inside structs.
-    pairs = F.array_sort(F.collect_list(F.struct("i", "raw")))
-    return cells.agg(F.transform(pairs, lambda p: p["raw"]).alias("raws"))
+    """All cells as columns of one row, behind a first that is not asked for a suspension."""
+    raws = [r["raw"] for r in cells.orderBy("i").collect()]
+    schema = ", ".join(f"c{i} string" for i in range(len(raws) + 1))
+    return cells.sparkSession.createDataFrame([("", *raws)], schema)
 
 
 @pytest.mark.parametrize("strict", [False, True])
 def test_arrays_agree_with_single_cells(cells, strict):
     row = gathered(cells)
-    found = F.transform("raws", lambda c: dates.extract_date(c, strict))
-    wanted = [c[3 if strict else 2] for c in CASES]
-    both = row.select(
-        dates.classify_cells(F.col("raws"), found, strict=strict),
-        dates.format_cells(F.col("raws"), strict=strict),
-    ).head()
-    assert both[0] == wanted
-    assert both[1] == wanted
+    raws = [F.col(c) for c in row.columns]
+    picked = lambda array: [dates.absent_cell(F.get(array, F.lit(i))) for i in range(1, len(raws))]
+    formatted = row.select(*picked(dates.format_cells(raws, strict=strict))).head()
+    assert list(formatted) == [c[3 if strict else 2] for c in CASES]
+    if not strict:
+        found = row.select(*picked(dates.extract_cells(raws))).head()
+        assert list(found) == [c[1] for c in CASES]
 
 
 def test_unchecked_cells_have_no_suspended_state(spark):
-    df = spark.createDataFrame([(["Đình chỉ 12/03/2023", "ĐÌNH CHỈ", "ĐÌNH CHỈ"],)], "c array<string>")
-    found = F.transform("c", lambda c: dates.extract_date(c))
-    one, other = df.select(
-        dates.format_cells(F.col("c"), unchecked=2), dates.classify_cells(F.col("c"), found, 2)
-    ).head()
-    assert one == other == ["12-03-2023", "SAI", "ĐÌNH CHỈ"]
+    texts = ["Đình chỉ 12/03/2023", "ĐÌNH CHỈ", "ĐÌNH CHỈ"]
+    df = spark.createDataFrame([tuple(texts)], "a string, b string, c string")
+    cells = [F.col(c) for c in "abc"]
+    row = df.select(dates.format_cells(cells), dates.format_cells(cells, unchecked=0)).head()
+    assert row[0] == ["12-03-2023", "ĐÌNH CHỈ", "ĐÌNH CHỈ"]
+    assert row[1] == ["ĐÌNH CHỈ"] * 3
+
+
+def test_signs_in_the_texts_change_nothing(spark):
+    texts = ["\x1f1/2/2024\x1e", "\x01", "\x02 5/3/24", "\x03", "$1 \\\\ 1/2/2024"]
+    df = spark.createDataFrame([tuple(texts)], ", ".join(f"c{i} string" for i in range(5)))
+    cells = [F.col(c) for c in df.columns]
+    got = df.select(dates.format_cells(cells)).head()[0]
+    assert got == ["01-02-2024", "SAI", "05-03-2024", "SAI", "01-02-2024"]
 
 
 @pytest.mark.parametrize("raw, found, value", TOUCHING)

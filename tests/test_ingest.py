@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.plans import text_plan
 from tidemill.operators.upsert import DuplicateKeys
-from tidemill.plans import ingest
-from tidemill.sources import discovery, documents, jdbc, versions
+from tidemill.plans import change, ingest
+from tidemill.sources import catalog, discovery, documents, jdbc
 from tidemill.streaming.ingest import stream_json, upsert_stream
 
 DAY = "2024-01-31"
@@ -137,17 +137,19 @@ def test_daily_load(spark, tmp_path):
         ("stg_app_1.TBL_notes", "append", 1),
         ("stg_app_1.tbl_any", "upsert", 1),
     }
-    users = lambda: versions.current(spark, f"{root}/stg_app_1/tbl_users")
+    users = lambda: change.read_table(spark, f"{root}/stg_app_1/tbl_users")
     assert {r["id"]: r["v"] for r in users().collect()} == {1: "new", 2: "only"}
-    assert versions.current(spark, f"{root}/stg_app_1/tbl_any").head()["v"] == "a"
+    assert change.read_table(spark, f"{root}/stg_app_1/tbl_any").head()["v"] == "a"
     # The broken document is kept, beside the table.
-    aside = versions.current(spark, f"{root}/_aside/stg_app_1/tbl_users")
+    aside = change.read_table(spark, f"{root}/_aside/stg_app_1/tbl_users")
     assert '\\"id\\": 9' in aside.head()["document"]
 
-    # The same day again: upserts change nothing, appends add again.
-    ingest.ingest_to_folders(spark, base, DAY, root)
+    # The same day again changes nothing, in tables with keys or without.
+    for _ in range(2):
+        ingest.ingest_to_folders(spark, base, DAY, root)
     assert users().count() == 2
-    assert versions.current(spark, f"{root}/stg_app_1/TBL_notes").count() == 4
+    assert change.read_table(spark, f"{root}/stg_app_1/TBL_notes").count() == 2
+    assert change.read_table(spark, f"{root}/_aside/stg_app_1/tbl_users").count() == 1
 
     # Another day brings a new field; the rows that lack it keep NULL.
     ingest.ingest_to_folders(spark, base, "2024-02-01", root)
@@ -157,13 +159,32 @@ def test_daily_load(spark, tmp_path):
     done = ingest.ingest_to_folders(spark, base, "", root, full_scan=True)
     assert sum(r.n_files for r in done) == 5
     assert users().count() == 3
+    assert change.read_table(spark, f"{root}/stg_app_1/TBL_notes").count() == 2
+    # Once the broken document is gone, so is what was set aside of its day.
+    put(tmp_path, f"in/app-1/users/{DAY}/b.json", {"id": 9, "v": "mended"})
+    ingest.ingest_to_folders(spark, base, DAY, root)
+    assert users().count() == 4
+    assert not list((tmp_path / "tables/_aside/stg_app_1/tbl_users").rglob("*.parquet"))
+
+
+def test_fields_named_like_helpers(spark, tmp_path):
+    odd = {"_row": "r", "_day": "d", "_source": {"x": 1}, "a.b": "p", "bucket_of_64": "q", "load": "l"}
+    put(tmp_path, f"in/a/t/{DAY}/a.json", [{"id": 1, "updated_at": "1", **odd}])
+    put(tmp_path, f"in/a/n/{DAY}/a.json", [odd])
+    for _ in range(2):
+        ingest.ingest_to_folders(spark, f"{tmp_path}/in", DAY, f"{tmp_path}/out")
+    for name in ("t", "n"):
+        rows = change.read_table(spark, f"{tmp_path}/out/stg_a/tbl_{name}").collect()
+        assert len(rows) == 1
+        got = rows[0].asDict(recursive=True)
+        assert {k: got[k] for k in odd} == odd
 
 
 def test_rows_without_key_can_be_loaded_as_they_are(spark, tmp_path):
     put(tmp_path, f"in/a/t/{DAY}/a.json", [{"id": 1, "v": "x"}, {"id": None, "v": "y"}])
     for _ in range(2):
         ingest.ingest_to_folders(spark, f"{tmp_path}/in", DAY, f"{tmp_path}/out", null_keys="load")
-    rows = versions.current(spark, f"{tmp_path}/out/stg_a/tbl_t")
+    rows = change.read_table(spark, f"{tmp_path}/out/stg_a/tbl_t")
     assert rows.filter("id is null").count() == 2
     assert rows.filter("id = 1").count() == 1
 
@@ -177,9 +198,9 @@ def test_only_broken_documents(spark, tmp_path):
         ("stg_a.tbl_t", "nothing"),
         ("stg_a.tbl_notes", "append"),
     }
-    assert versions.current(spark, f"{tmp_path}/out/stg_a/tbl_notes").count() == 1
+    assert change.read_table(spark, f"{tmp_path}/out/stg_a/tbl_notes").count() == 1
     for name in ("tbl_t", "tbl_notes"):
-        assert versions.current(spark, f"{tmp_path}/out/_aside/stg_a/{name}").count() == 1
+        assert change.read_table(spark, f"{tmp_path}/out/_aside/stg_a/{name}").count() == 1
 
 
 def test_known_schema_and_depth(spark, tmp_path):
@@ -191,12 +212,12 @@ def test_known_schema_and_depth(spark, tmp_path):
     ingest.ingest_to_folders(
         spark, f"{tmp_path}/in", DAY, root, day_depth=2, schemas={"stg_a.tbl_t": schema}
     )
-    table = versions.current(spark, f"{root}/stg_a/tbl_t")
+    table = change.read_table(spark, f"{root}/stg_a/tbl_t")
     assert table.schema == schema and [tuple(r) for r in table.collect()] == [(1, "5")]
-    assert versions.current(spark, f"{root}/_aside/stg_a/tbl_t").count() == 1
+    assert change.read_table(spark, f"{root}/_aside/stg_a/tbl_t").count() == 1
     assert ingest.ingest_to_folders(spark, f"{tmp_path}/in", "1999-01-01", root, day_depth=2) == []
-    ingest.ingest_to_folders(spark, f"{tmp_path}/in", DAY, root)
-    assert versions.current(spark, f"{root}/stg_a/tbl_t").count() == 2
+    ingest.ingest_to_folders(spark, f"{tmp_path}/in", DAY, root, day_depth=None)
+    assert change.read_table(spark, f"{root}/stg_a/tbl_t").count() == 2
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
@@ -231,7 +252,7 @@ def test_stream_takes_up_new_files_only(spark, tmp_path):
     def run():
         rows = stream_json(spark, f"{tmp_path}/in", schema)
         upsert_stream(rows, base, ["id"], "updated_at", progress)
-        return {r["id"]: r["v"] for r in versions.current(spark, base).collect()}
+        return {r["id"]: r["v"] for r in change.read_table(spark, base).collect()}
 
     put(tmp_path, f"in/a/t/{DAY}/a.json", [
         {"id": 1, "updated_at": "2024-01-31", "v": "a"},
@@ -246,7 +267,10 @@ def test_stream_takes_up_new_files_only(spark, tmp_path):
     assert run() == {1: "a", 2: "c"}
     assert [r["v"] for r in spark.read.parquet(f"{base}/_aside").collect()] == ["no key"]
     assert run() == {1: "a", 2: "c"}
-    assert versions.snapshots(spark, base).count() == 2
+    # Another checkpoint numbers its batches anew and takes up everything again.
+    put(tmp_path, "in/a/t/2024-01-29/b.json", [{"updated_at": "2024-01-29", "v": "other"}])
+    upsert_stream(stream_json(spark, f"{tmp_path}/in", schema), base, ["id"], "updated_at", f"{progress}2")
+    assert {r["v"] for r in spark.read.parquet(f"{base}/_aside").collect()} == {"no key", "other"}
 
 
 def test_jdbc_options():
@@ -279,3 +303,21 @@ def test_duplicate_keys_are_named(spark, tmp_path):
 
     with pytest.raises(DuplicateKeys):
         upsert_table(spark.createDataFrame([(1,), (1,)], "id int"), f"{tmp_path}/t", ["id"])
+
+
+def test_columns_are_fitted_before_a_merge(spark, tmp_path, monkeypatch):
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS tidemill_fit LOCATION '{tmp_path}/wh'")
+    name = "spark_catalog.tidemill_fit.t"
+    merged = []
+    monkeypatch.setattr(ingest.catalog, "merge_into", lambda df, table, keys: merged.append(df))
+    try:
+        first = spark.createDataFrame([(1, ("x",))], "id bigint, nested struct<`user-id`:string>")
+        catalog.create_like(first, name, "parquet", {})
+        assert spark.table(name).schema == first.schema
+        other = spark.createDataFrame([("2", 5)], "id string, `new-field` int")
+        ingest.load_catalog_table(other, name)
+        assert spark.table(name).columns == ["id", "nested", "new-field"]
+        assert merged[0].schema.names == ["id", "nested", "new-field"]
+        assert tuple(merged[0].head()) == (2, None, 5)
+    finally:
+        spark.sql("DROP NAMESPACE tidemill_fit CASCADE")

@@ -1,5 +1,6 @@
 """Maintenance plans and their application; catalog helpers."""
 
+import hashlib
 import os
 from datetime import datetime, timedelta, timezone
 
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from tests.plans import text_plan
 from tidemill.functions.paths import unified
 from tidemill.operators import compaction, retention, upkeep
-from tidemill.plans import change, runbook
-from tidemill.sources import catalog, versions
+from tidemill.plans import runbook
+from tidemill.sources import catalog
 
 NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
@@ -19,11 +20,11 @@ def files(spark, *rows):
     return spark.createDataFrame(list(rows), "table string, path string, length bigint")
 
 
-def test_small_files_are_grouped_in_path_order(spark):
+def test_small_files_are_grouped(spark):
     df = files(spark, *[("t", f"f{i}", 30) for i in range(8)], ("t", "ok", 100), ("u", "one", 10))
     grouped = compaction.assign_groups(df, target_bytes=100, targets_per_group=1)
-    got = {r["path"]: r["group_no"] for r in grouped.filter("table = 't'").collect()}
-    assert got == {f"f{i}": i * 30 // 100 for i in range(8)}
+    got = sorted(r["group_no"] for r in grouped.filter("table = 't'").collect())
+    assert got == [i * 30 // 100 for i in range(8)]
     plan = compaction.compaction_plan(df, 100, min_input_files=2, targets_per_group=1).collect()
     assert {(r["table"], r["group_no"], r["files_in"]) for r in plan} == {
         ("t", 0, 4),
@@ -53,32 +54,25 @@ def test_compaction_settles(spark):
     assert sum(1 for size in after if not 75 <= size <= 180) <= 1
 
 
-def test_a_huge_table_is_cut_into_slices(spark):
+def test_running_sums_are_made_in_parts(spark):
+    """A table of any size gives the groups of one running sum, without one big task."""
     df = spark.range(5000).select(
-        F.lit("hot").alias("table"), F.format_string("%05d", "id").alias("path"), F.lit(10).alias("length")
+        F.lit("hot").alias("table"), F.format_string("%05d", "id").alias("path"), (F.col("id") % 7 + 1).alias("length")
     )
-    grouped = compaction.assign_groups(df, 100, max_files_per_slice=500)
-    sizes = [r["count"] for r in grouped.groupBy("slice").count().collect()]
-    assert len(sizes) == 10 and max(sizes) < 700
-    plan = compaction.compaction_plan(df, 100, 2, max_files_per_slice=500)
-    assert plan.agg(F.sum("files_in")).head()[0] > 4990
-    # Counting a group's files needs no shuffle after the running sum.
-    text = text_plan(plan)
-    assert "Exchange" not in text[: text.index("Window [")]
-
-
-def test_files_are_not_shuffled_by_table(spark, tmp_path):
-    spark.range(30_000).selectExpr(
-        "if(id % 3 = 0, 'hot', cast(id as string)) AS table", "cast(id as string) path", "id length"
-    ).write.parquet(f"{tmp_path}/f")
-    listed = spark.read.parquet(f"{tmp_path}/f")
-    plan = compaction.assign_groups(listed, max_files_per_slice=10_000)
-    text = text_plan(plan)
-    # One shuffle of files, by table and slice; the other is over counts per table.
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert plan.count() == 30_000
-    assert plan.filter("table = 'hot'").select("slice").distinct().count() == 1
+    grouped = compaction.assign_groups(df, 100, rewrite_all=True, targets_per_group=1)
+    order = sorted((r["path"] for r in df.collect()), key=lambda p: (hashlib.md5(p.encode()).hexdigest(), p))
+    want, start = {}, 0
+    for path in order:
+        want[path] = start // 100
+        start += int(path) % 7 + 1
+    assert {r["path"]: r["group_no"] for r in grouped.collect()} == want
+
+
+def test_groups_stay_inside_a_partition(spark):
+    rows = [("t", f"p={i % 3}", f"f{i}", 30) for i in range(30)]
+    df = spark.createDataFrame(rows, "table string, partition string, path string, length bigint")
+    plan = compaction.compaction_plan(df, 100, min_input_files=2).collect()
+    assert {(r["partition"], r["files_in"]) for r in plan} == {(f"p={i}", 10) for i in range(3)}
 
 
 def snaps(spark, *rows):
@@ -130,15 +124,15 @@ def test_unified_paths(spark, path, same):
 
 
 def test_delete_files(spark, tmp_path):
-    paths = [tmp_path / n for n in ("a", "b c", "keep")]
+    paths = [tmp_path / n for n in ("a", "b c", "d%3Ae", "keep")]
     for p in paths:
         p.write_text("x")
-    df = spark.createDataFrame([(f"file:{p}",) for p in [*paths[:2], tmp_path / "gone"]], "path string")
-    assert not any(r["deleted"] for r in retention.delete_files(df).collect())
+    df = spark.createDataFrame([(f"file:{p}",) for p in [*paths[:3], tmp_path / "gone"]], "path string")
+    assert {r["outcome"] for r in retention.delete_files(df).collect()} == {"planned"}
     assert all(p.exists() for p in paths)
-    got = {os.path.basename(r["path"]): r["deleted"] for r in retention.delete_files(df, dry_run=False).collect()}
-    assert got == {"a": True, "b c": True, "gone": False}
-    assert [p.exists() for p in paths] == [False, False, True]
+    got = {os.path.basename(r["path"]): r["outcome"] for r in retention.delete_files(df, dry_run=False).collect()}
+    assert got == {"a": "deleted", "b c": "deleted", "d%3Ae": "deleted", "gone": "absent"}
+    assert [p.exists() for p in paths] == [False, False, False, True]
 
 
 def test_summary(spark):
@@ -156,46 +150,29 @@ def test_summary(spark):
         upkeep.maintenance_summary()
 
 
-def test_compact_a_stored_table(spark, tmp_path):
-    base = f"{tmp_path}/t"
-    df = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
-    versions.publish(df.repartition(40), base)
-    size = sum(p.stat().st_size for p in (tmp_path / "t").rglob("*.parquet"))
-    packed = runbook.compact(spark, base, target_bytes=size // 4)
-    assert packed.count() == 20_000
-    assert packed.exceptAll(df).count() == 0
-    assert 3 <= len(packed.inputFiles()) <= 6
-    # What was compacted is left alone.
-    assert runbook.compact(spark, base, target_bytes=size // 4) is None
-    # The session's own settings are untouched.
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(size // 4)
-
-
-def test_expire_and_clean_a_stored_table(spark, tmp_path):
-    base = f"{tmp_path}/t"
-    for n in (1, 2, 3, 4):
-        change.full_refresh(spark.range(n), base)
-    spark.range(9).write.parquet(f"{base}/version=5")  # a write that died
-    later = datetime.now(timezone.utc) + timedelta(minutes=1)
-    gone = runbook.expire_versions(spark, base, 2, later)
-    assert len(gone) == 2 and versions.snapshots(spark, base).count() == 4
-    assert runbook.expire_versions(spark, base, 2, later, dry_run=False) == gone
-    assert versions.snapshots(spark, base).count() == 2
-    # Young files may belong to a running write.
-    assert runbook.remove_orphans(spark, base).count() == 0
-    orphans = runbook.remove_orphans(spark, base, later)
-    assert orphans.count() > 0 and orphans.filter("path not like '%version=5/%'").count() == 0
-    assert runbook.remove_orphans(spark, base, later, dry_run=False).filter("deleted").count() > 0
-    assert versions.current(spark, base).count() == 4
-    assert runbook.remove_orphans(spark, base, later).count() == 0
-
-
-def test_current_version_is_never_removed(spark, tmp_path):
+def test_compact_rewrites_chosen_partitions_only(spark, tmp_path):
     base = f"{tmp_path}/t"
-    versions.publish(spark.range(1), base)
-    newest = versions.snapshots(spark, base).head()["snapshot_id"]
-    assert versions.remove_versions(spark, base, [newest]) == []
-    assert versions.current(spark, base).count() == 1
+    df = spark.range(30_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 3).alias("p"))
+    df.filter("p < 2").repartition(20).write.partitionBy("p").parquet(base)
+    df.filter("p = 2").coalesce(1).write.mode("append").partitionBy("p").parquet(base)
+    files_of = lambda p: {f.name: f.read_bytes() for f in (tmp_path / "t").glob(f"p={p}/*.parquet")}
+    before = [files_of(p) for p in range(3)]
+    size = sum(map(len, before[0].values()))
+    assert runbook.compact(spark, base, target_bytes=size) == ["p=0", "p=1"]
+    after = [files_of(p) for p in range(3)]
+    assert after[2] == before[2]
+    assert all(1 <= len(a) <= 4 and not set(a) & set(b) for a, b in zip(after[:2], before[:2]))
+    assert spark.read.parquet(base).select(*df.columns).exceptAll(df.withColumn("p", F.col("p").cast("int"))).count() == 0
+    assert spark.read.parquet(base).count() == 30_000
+    # What was compacted is left alone, and so are the session's own settings.
+    assert runbook.compact(spark, base, target_bytes=size) == []
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(size)
+
+
+def test_a_flat_folder_is_not_compacted(spark, tmp_path):
+    spark.range(100).repartition(10).write.parquet(f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="outside partition folders"):
+        runbook.compact(spark, f"{tmp_path}/t")
 
 
 def test_statements_in_order():

@@ -138,35 +138,24 @@ def coerce(sources: Mapping[str, DataFrame]) -> DataFrame:
     return united.select("id", "cong_ty", KIND, *RAW_COLUMNS)
 
 
-def _array(names: Sequence[str]) -> Column:
-    return F.array(*[F.col(n) for n in names])
+def _raws() -> list[Column]:
+    return [F.col(n) for n in RAW_COLUMNS]
 
 
 def _spread(cells: Column, names: Sequence[str]) -> list[Column]:
-    return [F.get(cells, F.lit(i)).alias(name) for i, name in enumerate(names)]
+    return [dates.absent_cell(F.get(cells, F.lit(i))).alias(name) for i, name in enumerate(names)]
 
 
 def extract_dates(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Add the first date of each raw cell as text.
-
-    The 27 cells are handled as one array: one expression tree to plan and run
-    instead of 27 copies, which together would outgrow what the JVM compiles.
-    """
-    dates_in = F.transform(_array(RAW_COLUMNS), lambda cell: dates.extract_date(cell, strict))
-    return df.select("*", dates_in.alias("_cells")).select(
+    """Add the first date of each raw cell as text, NULL for a NULL cell."""
+    return df.select("*", dates.extract_cells(_raws(), strict).alias("_cells")).select(
         *df.columns, *_spread(F.col("_cells"), EXTRACTED_COLUMNS)
     )
 
 
-def _formatted(strict: bool) -> Column:
-    return dates.classify_cells(
-        _array(RAW_COLUMNS), _array(EXTRACTED_COLUMNS), unchecked=1, strict=strict
-    )
-
-
 def format_dates(df: DataFrame, strict: bool = False) -> DataFrame:
     """Add each cell's formatted value. The issue date has no suspended state."""
-    return df.select("*", _formatted(strict).alias("_cells")).select(
+    return df.select("*", dates.format_cells(_raws(), strict=strict).alias("_cells")).select(
         *df.columns, *_spread(F.col("_cells"), FORMATTED_COLUMNS)
     )
 
@@ -185,7 +174,8 @@ def mart_columns(df: DataFrame, run_ts: Column | None = None) -> DataFrame:
     `first_dc_pos` keeps 28 where nothing is suspended; the nullable column beside
     it says the same with NULL.
     """
-    return _mart(df.select("id", "cong_ty", KIND, _array(FORMATTED_COLUMNS).alias("_cells")), run_ts)
+    cells = F.array(*[F.col(n) for n in FORMATTED_COLUMNS])
+    return _mart(df.select("id", "cong_ty", KIND, cells.alias("_cells")), run_ts)
 
 
 def _mart(df: DataFrame, run_ts: Column | None) -> DataFrame:
@@ -207,8 +197,8 @@ def status_mart(df: DataFrame, run_ts: Column | None = None, strict: bool = Fals
     """Extract, format and narrow in one pass from the coerced rows.
 
     Same rows as `mart_columns(format_dates(extract_dates(df)))`, but the cells stay
-    in one array from the scan to the last projection instead of being spread out
-    and gathered again between the steps.
+    together from the scan to the last projection instead of being spread out and
+    gathered again between the steps.
     """
-    cells = dates.format_cells(_array(RAW_COLUMNS), unchecked=1, strict=strict)
+    cells = dates.format_cells(_raws(), strict=strict)
     return _mart(df.select("id", "cong_ty", KIND, cells.alias("_cells")), run_ts)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +14,6 @@ TARGET_BYTES = 128 * 1024 * 1024
 # and a group is worth rewriting from five files on.
 MIN_INPUT_FILES = 5
 TARGETS_PER_GROUP = 8
-MAX_FILES_PER_SLICE = 1_000_000
-_BROADCAST_FROM = 10_000
 
 
 def _outside(length: Column, target_bytes: int) -> Column:
@@ -23,50 +24,41 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by))
 
 
-def slice_of(path: Column, slices: Column) -> Column:
-    """Even, repeatable spread of paths over a number of slices."""
-    number = F.conv(F.substring(F.md5(path), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(number, slices)
-
-
 def assign_groups(
     files: DataFrame,
     target_bytes: int = TARGET_BYTES,
     rewrite_all: bool = False,
     targets_per_group: int = TARGETS_PER_GROUP,
-    max_files_per_slice: int = MAX_FILES_PER_SLICE,
 ) -> DataFrame:
-    """Candidate files with their slice and group number.
+    """Candidate files with the number of their group.
 
-    Within a slice, files in path order fill groups of `targets_per_group` times the
-    target size. A table is cut into as many slices as keep each near
-    `max_files_per_slice`, so the running sum of one huge table is spread over many
-    tasks; tables below that stay whole.
+    Within a partition of a table, files in the order of their paths' digests fill
+    groups of `targets_per_group` times the target size. The running sum is made in two
+    steps, inside parts of the digest's range and over the sums of the parts, so no task
+    takes all files of a partition; the result is that of one running sum. Without a
+    column `partition` a table is one partition.
     """
     wanted = files if rewrite_all else files.filter(_outside(F.col("length"), target_bytes))
-    wanted = wanted.select("table", "path", "length")
-    large = (
-        wanted.groupBy("table")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_files_per_slice)
-        .select("table", F.ceil(F.col("_n") / max_files_per_slice).alias("_slices"))
-    )
-    # At most one row per `max_files_per_slice` files: a billion files give a list of
-    # some megabytes at the limit below. The files then need no shuffle by table, which
-    # would put all files of the largest table into one task.
-    if max_files_per_slice >= _BROADCAST_FROM:
-        large = F.broadcast(large)
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    cut = wanted.join(large, "table", "left").withColumn(
-        "slice", F.when(slices > 1, slice_of(F.col("path"), slices)).otherwise(F.lit(0))
+    partition = F.col("partition") if "partition" in files.columns else F.lit("")
+    digest = F.md5("path")
+    part = F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")  # 0 to 255
+    of = ["table", "partition"]
+    wanted = wanted.select(
+        "table", partition.alias("partition"), "path", "length", digest.alias("digest"), part.alias("part")
     )
-    before = (
-        Window.partitionBy("table", "slice")
-        .orderBy("path")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.unboundedPreceding, -1)
+    sums = wanted.groupBy(*of, "part").agg(F.sum("length").alias("bytes"))
+    over_parts = Window.partitionBy(*of).orderBy("part").rowsBetween(*before)
+    bases = sums.select(*of, "part", F.coalesce(F.sum("bytes").over(over_parts), F.lit(0)).alias("base"))
+    inside = Window.partitionBy(*of, "part").orderBy("digest", "path").rowsBetween(*before)
+    placed = wanted.withColumn("inside", F.coalesce(F.sum("length").over(inside), F.lit(0)))
+    start = F.col("base") + F.col("inside")
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*of, "part")]
+    return (
+        placed.alias("f")
+        .join(bases.alias("b"), reduce(and_, same))
+        .select(*[f"f.{c}" for c in (*of, "path", "length")], _div(start, target_bytes * targets_per_group).alias("group_no"))
     )
-    start = F.coalesce(F.sum("length").over(before), F.lit(0))
-    return cut.withColumn("group_no", _div(start, target_bytes * targets_per_group)).drop("_slices")
 
 
 def compaction_plan(
@@ -75,9 +67,8 @@ def compaction_plan(
     min_input_files: int = MIN_INPUT_FILES,
     rewrite_all: bool = False,
     targets_per_group: int = TARGETS_PER_GROUP,
-    max_files_per_slice: int = MAX_FILES_PER_SLICE,
 ) -> DataFrame:
-    """Groups to rewrite: files in, bytes, files out.
+    """Groups to rewrite: table, partition, group, files in, bytes, files out.
 
     A group qualifies with enough files, with more than a target's worth of bytes in
     at least two files, or with one file so large that it should be split. The number
@@ -85,8 +76,8 @@ def compaction_plan(
     within the range that the next run leaves alone.
     """
     groups = (
-        assign_groups(files, target_bytes, rewrite_all, targets_per_group, max_files_per_slice)
-        .groupBy("table", "slice", "group_no")
+        assign_groups(files, target_bytes, rewrite_all, targets_per_group)
+        .groupBy("table", "partition", "group_no")
         .agg(F.count(F.lit(1)).alias("files_in"), F.sum("length").alias("bytes"))
     )
     if not rewrite_all:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions.names import col, fresh_name
+
 # Names that hold a change time, best first.
 TIME_COLUMNS = ("updated_at", "modified_at", "created_at", "timestamp", "time")
 
@@ -40,7 +42,7 @@ def row_order(df: DataFrame, skip: Iterable[str] = ()) -> list[Column]:
     for field in df.schema.fields:
         if field.name in skipped:
             continue
-        column = F.col(f"`{field.name}`")
+        column = col(field.name)
         if not _orderable(field.dataType):
             column = F.to_json(column)
         keys.append(column.asc_nulls_last())
@@ -67,13 +69,17 @@ def dedup_latest(
     depend on how rows are spread. Spark limits each key to one row per task before
     the shuffle, so a key with a third of all rows costs no more than one with few.
     """
-    newest = (F.col(order_by) if isinstance(order_by, str) else order_by).desc_nulls_last()
+    newest = (col(order_by) if isinstance(order_by, str) else order_by).desc_nulls_last()
     ties = row_order(df, keys) if tie is None else list(tie)
-    window = Window.partitionBy(*keys).orderBy(newest, *ties)
-    return df.withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
+    return _first(df, keys, [newest, *ties])
 
 
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key where nothing says which: the first by its own values."""
-    window = Window.partitionBy(*keys).orderBy(*(row_order(df, keys) or keys))
-    return df.withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
+    return _first(df, keys, row_order(df, keys) or [col(k) for k in keys])
+
+
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    row = fresh_name(df.columns, "_row")
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)
+    return df.withColumn(row, F.row_number().over(window)).filter(F.col(row) == 1).drop(row)

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.names import fresh_name
 from tidemill.functions.paths import unified
 
 # Public defaults: snapshots expire after five days, orphans go after three.
@@ -33,8 +34,9 @@ def retained(snaps: DataFrame, retain_last: int) -> DataFrame:
     newest = Window.partitionBy("table").orderBy(
         F.col("committed_at").desc_nulls_last(), F.col("snapshot_id").desc()
     )
-    ranked = snaps.withColumn("_row", F.row_number().over(newest))
-    return ranked.filter(F.col("_row") <= retain_last).drop("_row")
+    row = fresh_name(snaps.columns, "_row")
+    ranked = snaps.withColumn(row, F.row_number().over(newest))
+    return ranked.filter(F.col(row) <= retain_last).drop(row)
 
 
 def expire_plan(
@@ -65,33 +67,64 @@ def orphan_plan(
     reduced to one row before the join.
     """
     limit = _column(cutoff(ORPHAN_AGE) if older_than is None else older_than)
-    known = live.select(unified(F.col("path")).alias("_key")).distinct()
+    key = fresh_name(listing.columns, "_key")
+    known = live.select(unified(F.col("path")).alias(key)).distinct()
     old = listing.filter(F.col("modificationTime") < limit)
-    return old.withColumn("_key", unified(F.col("path"))).join(known, "_key", "left_anti").drop("_key")
+    return old.withColumn(key, unified(F.col("path"))).join(known, key, "left_anti").drop(key)
 
 
-def _delete_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+# Settings of the object store client, and their names for the deleting one.
+_STORE_SETTINGS = {
+    "fs.s3a.endpoint": "endpoint_override",
+    "fs.s3a.access.key": "access_key",
+    "fs.s3a.secret.key": "secret_key",
+    "fs.s3a.session.token": "session_token",
+    "fs.s3a.endpoint.region": "region",
+}
+
+
+def store_options(spark: SparkSession) -> dict[str, str]:
+    """The session's own object store settings, for the client that the tasks use."""
+    conf = spark._jsc.hadoopConfiguration()
+    found = {name: conf.get(key) for key, name in _STORE_SETTINGS.items()}
+    return {name: value for name, value in found.items() if value}
+
+
+def _delete(path: str, options: dict[str, str]) -> str:
+    """`deleted`, `absent`, or what went wrong. The path is taken as it is listed."""
     from pyarrow import fs
 
-    for batch in batches:
-        done = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
-            try:
-                system.delete_file(inner)
-                done.append(True)
-            except FileNotFoundError:
-                # Another attempt at this task got there first.
-                done.append(False)
-        yield pd.DataFrame({"path": batch["path"], "deleted": done})
+    scheme, mark, rest = path.partition(":")
+    try:
+        if not mark or scheme == "file":
+            system, inner = fs.LocalFileSystem(), "/" + (rest if mark else path).lstrip("/")
+        elif scheme in ("s3", "s3a", "s3n"):
+            system, inner = fs.S3FileSystem(**options), rest.lstrip("/")
+        else:
+            host, _, inner = rest.lstrip("/").partition("/")
+            system, inner = fs.FileSystem.from_uri(f"{scheme}://{host}/")[0], "/" + inner
+        system.delete_file(inner)
+    except FileNotFoundError:
+        return "absent"
+    except Exception as error:  # a row per file, whatever became of it
+        return f"failed: {error}"
+    return "deleted"
 
 
 def delete_files(files: DataFrame, dry_run: bool = True) -> DataFrame:
-    """(path, deleted) per file. Deletes only without `dry_run`, and inside the tasks.
+    """(path, outcome) per file: planned, deleted, absent (as when another attempt of
+    the task got there first), or failed and why.
 
-    As with any DataFrame nothing happens until the result is read.
+    Deletes only without `dry_run`, and inside the tasks. As with any DataFrame nothing
+    happens until the result is read.
     """
-    paths = files.select(unified(F.col("path")).alias("path"))
+    paths = files.select("path")
     if dry_run:
-        return paths.withColumn("deleted", F.lit(False))
-    return paths.mapInPandas(_delete_batch, "path string, deleted boolean")
+        return paths.withColumn("outcome", F.lit("planned"))
+    options = store_options(files.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(outcome=[_delete(p, options) for p in batch["path"]])
+
+    return paths.mapInPandas(run, "path string, outcome string")

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MATCH = "_source"
+from tidemill.functions.names import col, fresh_name
 
 
 class DuplicateKeys(ValueError):
@@ -18,10 +18,11 @@ class DuplicateKeys(ValueError):
 
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     """Raise `DuplicateKeys` if a key repeats. NULL keys match nothing and may repeat."""
-    has_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    has_key = reduce(and_, [col(k).isNotNull() for k in keys])
     # Counts are combined before the shuffle, so one hot key is one row per task.
-    repeated = source.filter(has_key).groupBy(*keys).count().filter("count > 1")
-    example = repeated.select(*keys).head()
+    n = fresh_name(keys, "n")
+    counted = source.filter(has_key).groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias(n))
+    example = counted.filter(F.col(n) > 1).select(*map(col, keys)).head()
     if example is not None:
         raise DuplicateKeys(f"source repeats key {example.asDict()}")
 
@@ -48,14 +49,14 @@ def align_columns(
 
     def of_source(field):
         name = have.get(field.name.lower())
-        value = F.lit(None) if name is None else F.col(f"`{name}`")
+        value = F.lit(None) if name is None else col(name)
         return value.cast(field.dataType).alias(field.name)
 
     wide_target = target.select(
-        "*", *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in added]
+        *map(col, target.columns), *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in added]
     )
     wide_source = source.select(
-        *[of_source(f) for f in target.schema.fields], *[F.col(f"`{c}`") for c in added]
+        *[of_source(f) for f in target.schema.fields], *map(col, added)
     )
     return wide_target, wide_source
 
@@ -86,19 +87,29 @@ def upsert(
         check_unique(source, keys)
     target, source = align_columns(target, source, on_new, on_missing)
     columns = target.columns
-    marked = source.select(F.struct(*columns).alias(_MATCH), *[F.col(k).alias(f"_k_{k}") for k in keys])
-    on = reduce(and_, [target[k] == marked[f"_k_{k}"] for k in keys])
+    # Key columns by the target's spelling; helper names that neither side has.
+    spelled = {c.lower(): c for c in columns}
+    keys = [spelled[k.lower()] for k in keys]
+    match = fresh_name(columns, "_source")
+    helpers = [fresh_name([*columns, match], f"_key{i}_") for i in range(len(keys))]
+    marked = source.select(
+        F.struct(*map(col, columns)).alias(match), *[col(k).alias(h) for k, h in zip(keys, helpers)]
+    )
+    on = reduce(and_, [col(k) == F.col(h) for k, h in zip(keys, helpers)])
     joined = target.join(marked, on, "left")
-    replace = F.col(_MATCH).isNotNull()
+    replace = F.col(match).isNotNull()
     if newer_than is not None:
-        held, offered = F.col(newer_than), F.col(f"{_MATCH}.{newer_than}")
+        time = spelled[newer_than.lower()]
+        held, offered = col(time), F.col(match).getField(time)
         replace = replace & (held.isNull() | F.coalesce(offered >= held, F.lit(False)))
     kept = joined.select(
-        *[F.when(replace, F.col(f"{_MATCH}.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in columns]
+        *[F.when(replace, F.col(match).getField(c)).otherwise(col(c)).alias(c) for c in columns]
     )
-    wanted = source.select(*keys)
-    held_keys = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
-    inserted = source.join(held_keys, list(keys), "left_anti").select(*columns)
+    asked = source.select(*[col(k).alias(h) for k, h in zip(keys, helpers)])
+    same = reduce(and_, [col(k) == F.col(h) for k, h in zip(keys, helpers)])
+    held_keys = target.select(*map(col, keys)).join(asked, same, "left_semi").distinct()
+    held_keys = held_keys.toDF(*helpers)
+    inserted = source.join(held_keys, same, "left_anti").select(*map(col, columns))
     return kept.unionByName(inserted)
 
 

@@ -1,17 +1,30 @@
-"""Apply changes to stored parquet tables."""
+"""Apply changes to stored parquet tables, at the cost of what changes.
+
+A table with keys is stored in one folder per bucket of its keys: an upsert rewrites the
+buckets it touches, once. A table without is stored in one folder per load: a load
+writes its own folder, and a load that is repeated replaces it. Both are dynamic
+overwrites of partition folders. Repeating a change that died puts right what it left.
+Tables with several writers at a time belong into a catalog.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.upsert import append, check_unique, upsert
+from tidemill.functions.names import col, fresh_name
+from tidemill.operators.upsert import align_columns, check_unique, upsert
 from tidemill.sources import files, scratch, versions
 
-BUCKET = "bucket"
+LOAD = "load"
+_LAYOUT = re.compile(r"((?:bucket_of_(\d+)|load)_*)=")
+_LOCK = "_writing"
 
 
 def full_refresh(df: DataFrame, base: str) -> DataFrame:
@@ -19,113 +32,147 @@ def full_refresh(df: DataFrame, base: str) -> DataFrame:
     return versions.publish(df, base)
 
 
-def upsert_table(
-    source: DataFrame,
-    base: str,
-    keys: Sequence[str],
-    newer_than: str | None = None,
-    check_source: bool = True,
-) -> DataFrame:
-    """Upsert into a versioned table, creating it if need be.
+def _layout(spark: SparkSession, base: str) -> tuple[str, int | None] | None:
+    """Name of the folders' column and number of buckets, as the folders show them."""
+    for path, _ in files.children(spark, f"{base}/*=*"):
+        found = _LAYOUT.match(path.rsplit("/", 1)[1])
+        if found:
+            return found[1], found[2] and int(found[2])
+    return None
+
+
+def stored(spark: SparkSession, base: str) -> bool:
+    return _layout(spark, base) is not None
 
-    The source is staged first: it is read several times, and once stored its size is
-    known, so a small change set is broadcast and the table is not shuffled.
-    """
-    spark = source.sparkSession
-    staged, path = scratch.stage(source, "upsert")
-    if check_source:
-        check_unique(staged, keys)
-    if versions.table_exists(spark, base):
-        held = versions.current(spark, base)
-        result = versions.publish(
-            upsert(held, staged, keys, newer_than, check_source=False), base
-        )
-    else:
-        result = versions.publish(staged, base)
-    files.remove(spark, path)
-    return result
-
-
-def append_table(source: DataFrame, base: str) -> DataFrame:
-    """Add rows to a versioned table, creating it if need be."""
-    spark = source.sparkSession
-    if not versions.table_exists(spark, base):
-        return versions.publish(source, base)
-    return versions.publish(append(versions.current(spark, base), source), base)
 
+def _scan(spark: SparkSession, base: str) -> DataFrame:
+    """All rows with the folders' column; columns that came later are NULL before."""
+    return spark.read.option("mergeSchema", True).parquet(base)
 
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(
-        BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), buckets).cast("int")
+
+def read_table(spark: SparkSession, base: str) -> DataFrame:
+    """The rows of a stored table, whichever way it is stored."""
+    layout = _layout(spark, base)
+    return versions.current(spark, base) if layout is None else _scan(spark, base).drop(layout[0])
+
+
+def _overwrite(df: DataFrame, base: str, by: str) -> None:
+    # Rebalanced by folder: small ones share a task, large ones are split.
+    (
+        df.hint("rebalance", col(by))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(by)
+        .parquet(base)
     )
 
 
+@contextmanager
+def _writing(spark: SparkSession, base: str, owner: str | None) -> Iterator[None]:
+    """Refuse a second writer. A writer of the same name takes over what died."""
+    owner = owner or uuid.uuid4().hex
+    lock = f"{base}/{_LOCK}"
+    if not files.create(spark, lock, owner) and files.read_marker(spark, lock) != owner:
+        raise versions.Conflict(f"{base} is being written; if that writer died, remove {lock}")
+    try:
+        yield
+    finally:
+        files.remove(spark, lock)
+
+
 @dataclass(frozen=True)
 class BucketedTable:
     """A parquet table in one folder per key bucket.
 
-    An upsert reads and rewrites only the buckets its source touches. Use it for large
-    tables with small, clustered change sets; `upsert_table` rewrites everything but
-    switches in one step.
+    `buckets` counts for a new table; the folders' name then keeps the number.
     """
 
     base: str
     keys: tuple[str, ...]
-    buckets: int = 256
+    buckets: int = 64
+
+    def _bucketed(self, df: DataFrame, name: str, buckets: int) -> DataFrame:
+        number = F.pmod(F.xxhash64(*[col(k).cast("string") for k in self.keys]), F.lit(buckets))
+        return df.withColumn(name, number.cast("int"))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.base)
-
-    def _write(self, df: DataFrame) -> None:
-        # Rebalanced by bucket: small buckets share a task, large ones are split.
-        (
-            df.hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(self.base)
-        )
+        return read_table(spark, self.base)
 
     def create(self, df: DataFrame) -> None:
-        self._write(with_bucket(df, self.keys, self.buckets))
-
-    @property
-    def _pending(self) -> str:
-        return f"{self.base}/_pending"
-
-    def resume(self, spark: SparkSession) -> bool:
-        """Finish a swap that was interrupted, if there is one."""
-        if not files.exists(spark, self._pending):
-            return False
-        self._swap(spark, files.read_marker(spark, self._pending))
-        return True
-
-    def _swap(self, spark: SparkSession, merged_path: str) -> None:
-        self._write(spark.read.parquet(merged_path))
-        files.remove(spark, self._pending)
-        files.remove(spark, merged_path)
-
-    def upsert(self, source: DataFrame, newer_than: str | None = None) -> None:
-        """Merge into the touched buckets, beside the table, then swap them in.
-
-        The merged rows are complete and stored before any bucket is replaced, and a
-        marker names them: if the swap is interrupted, `resume` or the next upsert
-        repeats it. New columns are refused, because the buckets left alone would not
-        have them.
+        name = fresh_name(df.columns, f"bucket_of_{self.buckets}")
+        _overwrite(self._bucketed(df, name, self.buckets), self.base, name)
+
+    def upsert(
+        self,
+        source: DataFrame,
+        newer_than: str | None = None,
+        check_source: bool = True,
+        owner: str | None = None,
+    ) -> None:
+        """Merge into the touched buckets and replace these.
+
+        The source is staged first: it is read several times, and once stored its size
+        is known. Its values are cast to the table's types before keys are hashed, so a
+        key finds its bucket however the source spells it. Columns the table lacks are
+        added; buckets left alone read as NULL there.
         """
         spark = source.sparkSession
-        self.resume(spark)
-        staged, staged_path = scratch.stage(
-            with_bucket(source, self.keys, self.buckets), "upsert"
-        )
-        check_unique(staged, self.keys)
-        # At most one row per bucket reaches the driver.
-        touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
-        held = self.read(spark).filter(F.col(BUCKET).isin(touched))
-        merged = upsert(
-            held, staged, (*self.keys, BUCKET), newer_than, check_source=False, on_new="fail"
-        )
-        merged_path = scratch.stage(merged, "merged")[1]
-        files.write_marker(spark, self._pending, merged_path)
-        self._swap(spark, merged_path)
-        files.remove(spark, staged_path)
+        staged, path = scratch.stage(source, "upsert")
+        try:
+            if check_source:
+                check_unique(staged, self.keys)
+            with _writing(spark, self.base, owner):
+                layout = _layout(spark, self.base)
+                if layout is None:
+                    self.create(staged)
+                    return
+                name, buckets = layout
+                if name.lower() in {c.lower() for c in staged.columns}:
+                    raise ValueError(f"{self.base} keeps its buckets under the name {name}")
+                table = _scan(spark, self.base)
+                source = self._bucketed(align_columns(table.drop(name), staged)[1], name, buckets)
+                # At most one row per bucket reaches the driver.
+                touched = [r[0] for r in source.select(name).distinct().collect()]
+                held = table.filter(F.col(name).isin(touched))
+                merged = upsert(held, source, (*self.keys, name), newer_than, check_source=False)
+                _overwrite(merged, self.base, name)
+        finally:
+            files.remove(spark, path)
+
+
+def upsert_table(
+    source: DataFrame,
+    base: str,
+    keys: Sequence[str],
+    newer_than: str | None = None,
+    check_source: bool = True,
+    owner: str | None = None,
+) -> DataFrame:
+    """Upsert into a table in key buckets, creating it if need be."""
+    table = BucketedTable(base, tuple(keys))
+    table.upsert(source, newer_than, check_source, owner)
+    return table.read(source.sparkSession)
+
+
+def append_table(source: DataFrame, base: str, load: str, by: str | None = None) -> DataFrame:
+    """Store rows as one load, creating the table if need be.
+
+    Only the new rows are written. A load of the same name is replaced, so a repeated
+    load changes nothing. With `by` the column of that name holds each row's load.
+    """
+    spark = source.sparkSession
+    layout = _layout(spark, base)
+    rows = source if by is None else source.drop(by)
+    name = layout[0] if layout else fresh_name(rows.columns, LOAD)
+    if layout and name.lower() in {c.lower() for c in rows.columns}:
+        raise ValueError(f"{base} keeps its loads under the name {name}")
+    value = F.lit(load) if by is None else F.coalesce(F.col(by), F.lit(load))
+    _overwrite(source.withColumn(name, value).select(*map(col, rows.columns), name), base, name)
+    return read_table(spark, base)
+
+
+def drop_load(spark: SparkSession, base: str, load: str) -> None:
+    """Remove one load, if it is there."""
+    layout = _layout(spark, base)
+    if layout:
+        files.remove(spark, f"{base}/{layout[0]}={load}")

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.util import inheritable_thread_target
 
+from tidemill.functions.names import col, fresh_name
 from tidemill.operators.latest import choose_order_column, dedup_any, dedup_latest
 from tidemill.plans import change
 from tidemill.plans.runbook import expire_sql, orphans_sql
-from tidemill.sources import catalog, discovery, documents, files, scratch, versions
+from tidemill.sources import catalog, discovery, documents, files, scratch
 
 log = logging.getLogger(__name__)
 
@@ -53,14 +54,20 @@ def newest_rows(
 
 
 def load_folder_table(
-    df: DataFrame, base: str, key: str = DEFAULT_KEY, newer_than: str | None = None
+    df: DataFrame,
+    base: str,
+    load: str,
+    key: str = DEFAULT_KEY,
+    newer_than: str | None = None,
+    day: str | None = None,
 ) -> str:
-    """Upsert rows that are unique by key into a versioned parquet table; without the
-    key append them."""
+    """Upsert rows that are unique by key into a parquet table; without the key store
+    them as the load of their day."""
     if key in df.columns:
-        change.upsert_table(df, base, [key], newer_than, check_source=False)
+        rows = df if day is None else df.drop(day)
+        change.upsert_table(rows, base, [key], newer_than, check_source=False, owner=load)
         return "upsert"
-    change.append_table(df, base)
+    change.append_table(df, base, load, by=day)
     return "append"
 
 
@@ -69,6 +76,7 @@ def load_catalog_table(df: DataFrame, name: str, key: str = DEFAULT_KEY) -> str:
     spark = df.sparkSession
     if not catalog.table_exists(spark, name):
         catalog.create_like(df, name)
+    df = catalog.fit_columns(df, name)
     if key in df.columns:
         catalog.merge_into(df, name, [key])
         mode = "upsert"
@@ -105,16 +113,17 @@ def ingest_day(
     spark: SparkSession,
     base: str,
     ds: str,
-    load: Callable[[DataFrame, str], str],
+    load: Callable[..., str],
     full_scan: bool = False,
     key: str = DEFAULT_KEY,
     null_keys: str = "aside",
-    set_aside: Callable[[DataFrame, str], None] | None = None,
+    set_aside: Callable[..., None] | None = None,
     suffix: str = ".json",
     parallel: int = 4,
     only: Sequence[str] | None = None,
     schemas: Mapping[str, StructType] | None = None,
-    day_depth: int | None = None,
+    day_depth: int | None = 2,
+    with_day: bool = False,
 ) -> list[TableResult]:
     """Load the files of one day, or of all days, table by table.
 
@@ -126,8 +135,11 @@ def ingest_day(
 
     Two settings matter for large lakes. `schemas` gives the columns of a target, which
     saves the pass that infers them. `day_depth` says how many levels below `base` the
-    day's folders lie, so that only these are listed; without it everything is, and a
+    day's folders lie, so that only these are listed; with None everything is, and a
     day's folder counts at any depth.
+
+    `with_day` hands `load` and `set_aside` a third value: the name of a column with the
+    day of each row's file.
     """
     if null_keys == "aside" and set_aside is None:
         set_aside = _refuse_aside
@@ -148,17 +160,23 @@ def ingest_day(
             paths = documents.folder_globs(sorted(folders[target]), suffix)
             schema = (schemas or {}).get(target)
             read = documents.read_json(spark, paths, schema, keep_corrupt=True)
+            day = [fresh_name(read.columns, "_day")] if with_day else []
+            for name in day:
+                read = documents.with_day(read, name)
             # Parsed once; what follows reads columns of the stored rows.
             rows, staged = scratch.stage(read, "parsed")
-            if null_keys == "aside":
-                keys = [key] if key in rows.columns else []
-                rows, broken = documents.split_corrupt(rows, keys)
-                set_aside(broken, target)
-            rows = documents.drop_corrupt(rows)
-            # Without columns every document was broken, and there is nothing to load.
-            mode = load(newest_rows(rows, key), target) if rows.columns else "nothing"
-            files.remove(spark, staged)
-            return TableResult(target, counts[target], mode)
+            try:
+                if null_keys == "aside":
+                    keys = [key] if key in rows.columns else []
+                    rows, broken = documents.split_corrupt(rows, keys)
+                    set_aside(broken, target, *day)
+                rows = documents.drop_corrupt(rows)
+                # Without columns every document was broken, and there is nothing to load.
+                some = set(rows.columns) - set(day)
+                mode = load(newest_rows(rows, key), target, *day) if some else "nothing"
+                return TableResult(target, counts[target], mode)
+            finally:
+                files.remove(spark, staged)
         except Exception as error:  # reported per table, raised below
             return TableResult(target, counts[target], "failed", str(error))
 
@@ -171,7 +189,7 @@ def ingest_day(
     return results
 
 
-def _refuse_aside(broken: DataFrame, target: str) -> None:
+def _refuse_aside(broken: DataFrame, target: str, day: str | None = None) -> None:
     if broken.head() is not None:
         raise ValueError(f"{target} has rows without a key and no place to set them aside")
 
@@ -179,23 +197,25 @@ def _refuse_aside(broken: DataFrame, target: str) -> None:
 def ingest_to_folders(
     spark: SparkSession, base: str, ds: str, root: str, key: str = DEFAULT_KEY, **options
 ) -> list[TableResult]:
-    """`ingest_day` into versioned parquet tables under `root`.
+    """`ingest_day` into parquet tables under `root`.
 
-    Rows without a key are kept in `<root>/_aside/<target>`.
+    Rows without a key are kept in `<root>/_aside/<target>`, by the day of their file; a
+    day that is loaded again replaces its rows there.
     """
     place = folder_target(root)
 
-    def set_aside(broken: DataFrame, target: str) -> None:
+    def set_aside(broken: DataFrame, target: str, day: str) -> None:
         folder = place(f"_aside.{target}")
-        if broken.head() is not None or versions.table_exists(spark, folder):
-            change.append_table(broken.select(F.to_json(F.struct("*")).alias("document")), folder)
+        if broken.isEmpty():
+            if ds:
+                change.drop_load(spark, folder, ds)
+            return
+        document = F.to_json(F.struct(*[col(c) for c in broken.columns if c != day]))
+        change.append_table(broken.select(document.alias("document"), col(day)), folder, ds or "undated", by=day)
+
+    def load(rows: DataFrame, target: str, day: str) -> str:
+        return load_folder_table(rows, place(target), ds or "undated", key, day=day)
 
     return ingest_day(
-        spark,
-        base,
-        ds,
-        lambda rows, target: load_folder_table(rows, place(target), key),
-        key=key,
-        set_aside=set_aside,
-        **options,
+        spark, base, ds, load, key=key, set_aside=set_aside, with_day=True, **options
     )

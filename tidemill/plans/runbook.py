@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from tidemill.operators import compaction, retention
-from tidemill.sources import catalog, versions
+from tidemill.operators import compaction
+from tidemill.sources import catalog
 
 
 @dataclass(frozen=True)
@@ -126,7 +128,10 @@ def maintain_table(
             if step in steps:
                 result = spark.sql(sql)
                 # Orphan removal answers with a row per file, the others with counts.
-                row = None if step == "orphans" else result.head()
+                if step == "orphans":
+                    status.steps[step] = {"orphan_files": result.count()}
+                    continue
+                row = result.head()
                 status.steps[step] = {} if row is None else row.asDict()
     except Exception as error:  # reported per table, raised by maintain_all
         status.error = str(error)
@@ -139,9 +144,13 @@ def maintain_all(
     policy: Policy = DAILY,
     steps: Sequence[str] = ALL_STEPS,
     maintain: Callable[..., TableStatus] = maintain_table,
+    parallel: int = 4,
 ) -> list[TableStatus]:
-    """Every table under the namespace; raise at the end if any of them failed."""
-    done = [maintain(spark, t, policy, steps) for t in catalog.list_tables(spark, root)]
+    """Every table under the namespace, several at a time; raise at the end if any of
+    them failed."""
+    one = lambda table: maintain(spark, table, policy, steps)
+    with ThreadPoolExecutor(parallel) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(one), catalog.list_tables(spark, root)))
     failed = [s for s in done if s.error]
     if failed:
         raise MaintenanceFailed("; ".join(f"{s.table}: {s.error}" for s in failed))
@@ -149,23 +158,19 @@ def maintain_all(
 
 
 def listing(spark: SparkSession, base: str) -> DataFrame:
-    """Data files under a folder as (table, path, length, modificationTime)."""
+    """Data files under a folder as (table, partition, path, length, modificationTime).
+
+    The partition is the path of the file's folder below the base.
+    """
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    below = F.regexp_extract(folder, r"/([^/=]+=[^/]*(?:/[^/=]+=[^/]*)*)$", 1)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(base)
-        .select(F.lit(base).alias("table"), "path", "length", "modificationTime")
-    )
-
-
-def live_files(spark: SparkSession, base: str) -> DataFrame:
-    """Data files of the published versions of a parquet table."""
-    ids = versions.snapshots(spark, base).select(
-        F.concat(F.lit("version="), F.col("snapshot_id")).alias("_version")
+        .select(F.lit(base).alias("table"), below.alias("partition"), "path", "length", "modificationTime")
     )
-    version = F.regexp_extract("path", r"/(version=\d+)/", 1)
-    return listing(spark, base).withColumn("_version", version).join(ids, "_version", "left_semi")
 
 
 def compact(
@@ -174,45 +179,32 @@ def compact(
     target_bytes: int = compaction.TARGET_BYTES,
     min_input_files: int = compaction.MIN_INPUT_FILES,
     rewrite_all: bool = False,
-) -> DataFrame | None:
-    """Rewrite the current version into files of about the target size.
+) -> list[str]:
+    """Rewrite the partition folders whose files are worth it; gives these.
 
-    Nothing happens, and None is returned, when the plan finds no group worth it. The
-    scan packs small files into splits of the target size and each split becomes one
-    file, so rows are rewritten without a shuffle.
+    Planning is a query over the listing. Only folders that hold a group worth rewriting
+    are read and replaced, by a dynamic overwrite; all other files keep name and bytes.
+    The scan packs small files into splits of the target size and each split becomes one
+    file, so rows are rewritten without a shuffle. The table must be partitioned.
     """
-    newest = versions.snapshots(spark, base).agg(F.max("snapshot_id")).head()[0]
-    path = versions.version_path(base, newest)
-    plan = compaction.compaction_plan(
-        listing(spark, path), target_bytes, min_input_files, rewrite_all
-    )
-    if plan.head() is None:
-        return None
+    plan = compaction.compaction_plan(listing(spark, base), target_bytes, min_input_files, rewrite_all)
+    # A row per folder, as many as the scan's own file index holds.
+    chosen = sorted(r["partition"] for r in plan.select("partition").distinct().collect())
+    if not chosen:
+        return []
+    if "" in chosen:
+        raise ValueError(f"{base} has data files outside partition folders")
+    names = [part.partition("=")[0] for part in chosen[0].split("/")]
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     packing.conf.set("spark.sql.files.openCostInBytes", "0")
     packing.conf.set("spark.sql.files.minPartitionNum", "1")
-    rows = packing.read.parquet(path)
-    versions.publish(rows, base, expected=rows.count())
-    return versions.current(spark, base)
-
-
-def expire_versions(
-    spark: SparkSession,
-    base: str,
-    retain_last: int = 2,
-    older_than: datetime | None = None,
-    dry_run: bool = True,
-) -> list[int]:
-    """Versions the plan lets go; deleted unless `dry_run`."""
-    plan = retention.expire_plan(versions.snapshots(spark, base), retain_last, older_than)
-    gone = sorted(r["snapshot_id"] for r in plan.select("snapshot_id").toLocalIterator())
-    return gone if dry_run else versions.remove_versions(spark, base, gone)
-
-
-def remove_orphans(
-    spark: SparkSession, base: str, older_than: datetime | None = None, dry_run: bool = True
-) -> DataFrame:
-    """Files of versions that were never published or have been expired."""
-    plan = retention.orphan_plan(listing(spark, base), live_files(spark, base), older_than)
-    return retention.delete_files(plan, dry_run)
+    reader = packing.read.option("basePath", base).option("mergeSchema", True)
+    rows = reader.parquet(*[f"{base}/{part}" for part in chosen])
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*names)
+        .parquet(base)
+    )
+    return chosen

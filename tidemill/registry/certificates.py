@@ -1,5 +1,5 @@
 """Certificate queries. Orders stand in for certificates: each order gives a row of 27
-cells, picked from nine spellings of its date."""
+cells, picked from fifteen spellings, most of them of its date."""
 
 from __future__ import annotations
 
@@ -7,96 +7,130 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators import certs
-from tidemill.operators.spread import spread
+from tidemill.plans.mart import build_mart, write_mart_folder
 from tidemill.registry import Entry, table
+from tidemill.sources import scratch
+
+
+# Texts that stay as they are. The third is a suspension in decomposed letters, which
+# does not count as one.
+_FIXED = (None, "   ", "\u0111i\u0300nh chi\u0309", "ĐÌNH CHỈ", "\t", "\u00a0", "1/2/024", "32/1/2024")
+_DAY_SPELLINGS = (
+    ("'Đình chỉ '", "dd/MM/yyyy", "%d/%m/%Y", ""),
+    ("", "dd/MM/yy", "%d/%m/%y", ""),
+    ("", "d/M/'00'yy", "%-d/%-m/00%y", ""),
+    ("'cap '", "d/M/yyyy", "%-d/%-m/%Y", "' roi 06/04/2024'"),
+    ("", "dd-MM-yyyy", "%d-%m-%Y", ""),
+    ("'29/2/'", "yyyy", "%Y", ""),
+    ("", "dd/MM/yyyy", "%d/%m/%Y", ""),
+)
+_SPELLINGS = len(_FIXED) + len(_DAY_SPELLINGS)
 
 
 def _spellings() -> list:
-    day = lambda pattern: F.date_format("o_orderdate", pattern)
-    return [
-        F.lit(None).cast("string"),
-        F.lit("   "),
-        F.concat(F.lit("Đình chỉ "), day("dd/MM/yyyy")),
-        day("dd/MM/yy"),
-        F.concat(day("d/M/"), F.lit("00"), day("yy")),
-        F.concat(F.lit("cap "), day("d/M/yyyy"), F.lit(" roi 06/04/2024")),
-        day("dd-MM-yyyy"),
-        F.concat(F.lit("29/2/"), day("yyyy")),
-        day("dd/MM/yyyy"),
+    fixed = [F.lit(t).cast("string") for t in _FIXED]
+    day = [
+        F.concat(F.lit(before.strip("'")), F.date_format("o_orderdate", pattern), F.lit(after.strip("'")))
+        for before, pattern, _, after in _DAY_SPELLINGS
     ]
+    return fixed + day
 
 
-_SPELLINGS_SQL = """[NULL, '   ',
-  'Đình chỉ ' || strftime(o_orderdate, '%d/%m/%Y'),
-  strftime(o_orderdate, '%d/%m/%y'),
-  strftime(o_orderdate, '%-d/%-m/') || '00' || strftime(o_orderdate, '%y'),
-  'cap ' || strftime(o_orderdate, '%-d/%-m/%Y') || ' roi 06/04/2024',
-  strftime(o_orderdate, '%d-%m-%Y'),
-  '29/2/' || strftime(o_orderdate, '%Y'),
-  strftime(o_orderdate, '%d/%m/%Y')]"""
+_SPELLINGS_SQL = "[" + ", ".join(
+    ["NULL" if t is None else "'" + t + "'" for t in _FIXED]
+    + [
+        " || ".join(filter(None, (before, f"strftime(o_orderdate, '{pattern}')", after)))
+        for before, _, pattern, after in _DAY_SPELLINGS
+    ]
+) + "]"
 
 _KINDS = tuple(certs.CERTIFICATE_TABLES)
+_FOREIGN = "khac"
+# Which spelling a cell gets: a hash of its row and place, the same in both engines.
+_PICK = "(({id} * 2654435761 + {i} * 40503) % 1000003) % {n}"
+
+
+def _pick(i: int) -> str:
+    return _PICK.format(id="o_orderkey", i=i, n=_SPELLINGS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All orders as fifteen raw tables, with number or text ids, and one of a foreign
+    kind that repeats the ids of some customers."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+
+    def raw(rows: DataFrame, id_type: str) -> DataFrame:
+        spelled = rows.withColumn("_spelled", F.array(*_spellings()))
+        company = F.when(
+            F.col("o_custkey") % 50 != 0, F.concat(F.lit("company "), F.col("o_custkey").cast("string"))
+        )
+        return spelled.select(
+            F.col("o_orderkey").cast(id_type).alias("id"),
+            company.alias("cong_ty"),
+            *[
+                F.get("_spelled", F.expr(_pick(i)).cast("int")).alias(source)
+                for i, source in enumerate(certs.DATE_COLUMNS)
+            ],
+        )
+
+    found = {
+        kind: raw(orders.filter(F.col("o_orderkey") % len(_KINDS) == i), "string" if i % 2 else "bigint")
+        for i, kind in enumerate(_KINDS)
+    }
+    return found | {_FOREIGN: raw(orders.filter("o_custkey % 97 = 0"), "bigint")}
 
 
 def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders as coerced certificate rows."""
-    scan = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    orders = spread(scan).select(
-        F.col("o_orderkey").alias("id"),
-        F.concat(F.lit("company "), F.col("o_custkey").cast("string")).alias("cong_ty"),
-        F.get(F.array(*map(F.lit, _KINDS)), (F.col("o_orderkey") % len(_KINDS)).cast("int")).alias(
-            certs.KIND
-        ),
-        F.array(*_spellings()).alias("_spelled"),
-    )
-    return orders.select(
-        "id",
-        "cong_ty",
-        certs.KIND,
-        *[
-            F.get("_spelled", ((F.col("id") + i) % 9).cast("int")).alias(name)
-            for i, name in enumerate(certs.RAW_COLUMNS)
-        ],
-    )
+    """The raw tables as one."""
+    return certs.coerce(raw_tables(spark, sf_dir))
 
 
 _COERCED_SQL = (
-    "WITH spelled AS (SELECT o_orderkey AS id, 'company ' || o_custkey AS cong_ty, "
-    f"[{', '.join(repr(k) for k in _KINDS)}][(o_orderkey % {len(_KINDS)}) + 1] AS {certs.KIND}, "
-    f"{_SPELLINGS_SQL} AS s FROM orders), cells AS (SELECT id, cong_ty, {certs.KIND}, "
-    + ", ".join(f"s[((id + {i}) % 9) + 1] AS {n}" for i, n in enumerate(certs.RAW_COLUMNS))
+    f"WITH kinds AS (SELECT *, [{', '.join(repr(k) for k in _KINDS)}][(o_orderkey % {len(_KINDS)}) + 1] "
+    f"AS {certs.KIND} FROM orders UNION ALL SELECT *, '{_FOREIGN}' FROM orders WHERE o_custkey % 97 = 0), "
+    f"spelled AS (SELECT *, {_SPELLINGS_SQL} AS s FROM kinds), "
+    "cells AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, "
+    f"CASE WHEN o_custkey % 50 <> 0 THEN 'company ' || o_custkey END AS cong_ty, {certs.KIND}, "
+    + ", ".join(f"s[({_pick(i)}) + 1] AS {n}" for i, n in enumerate(certs.RAW_COLUMNS))
     + " FROM spelled)"
 )
-_EXTRACT_SQL = r"regexp_extract({raw}, '((0?[1-9]|[12][0-9]|3[01])/(0?[1-9]|1[0-2])/([0-9]{{2,4}}))', 1)"
+# Day, month and year of the first date, as texts; all empty if there is none.
+_PARTS_SQL = (
+    "regexp_extract({raw}, '(0?[1-9]|[12]\\d|3[01])/(0?[1-9]|1[0-2])/(\\d{{2,4}})', ['d', 'm', 'y'])"
+)
+
+
+def _parts_sql() -> str:
+    picks = ", ".join(f"{_PARTS_SQL.format(raw=raw)} AS p{i}" for i, raw in enumerate(certs.RAW_COLUMNS))
+    return f"{_COERCED_SQL}, parts AS (SELECT *, {picks} FROM cells)"
 
 
 def _extracted_sql() -> str:
     picks = ", ".join(
-        f"{_EXTRACT_SQL.format(raw=raw)} AS {found}"
+        f"CASE WHEN p{i}.d = '' THEN '' ELSE concat_ws('/', p{i}.d, p{i}.m, p{i}.y) END AS {found}"
+        for i, found in enumerate(certs.EXTRACTED_COLUMNS)
+    )
+    nulls = ", ".join(
+        f"CASE WHEN {raw} IS NOT NULL THEN {found} END AS {found}"
         for raw, found in zip(certs.RAW_COLUMNS, certs.EXTRACTED_COLUMNS)
     )
-    return f"{_COERCED_SQL}, found AS (SELECT *, {picks} FROM cells)"
+    return f"{_parts_sql()}, texts AS (SELECT *, {picks} FROM parts), found AS (SELECT id, {nulls} FROM texts)"
 
 
 def _formatted_sql() -> str:
+    """Every date as numbers: the year below 100 is of this century, three digits are no
+    year, and a day that no calendar has gives no date."""
     picks = []
-    for raw, found, out in zip(
-        certs.RAW_COLUMNS, certs.EXTRACTED_COLUMNS, certs.FORMATTED_COLUMNS
-    ):
-        year = (
-            f"CASE WHEN regexp_matches({found}, '/[0-9]{{2}}$') THEN "
-            f"regexp_replace({found}, '/([0-9]{{2}})$', '/20\\1') "
-            f"WHEN regexp_matches({found}, '/00[0-9]{{2}}$') THEN "
-            f"regexp_replace({found}, '/00([0-9]{{2}})$', '/20\\1') ELSE {found} END"
-        )
-        suspended = (
-            "" if raw == certs.ISSUE_DATE else f"WHEN lower({raw}) LIKE '%đình chỉ%' THEN 'ĐÌNH CHỈ' "
-        )
+    for i, (raw, out) in enumerate(zip(certs.RAW_COLUMNS, certs.FORMATTED_COLUMNS)):
+        number = f"try_cast(p{i}.y AS INTEGER)"
+        year = f"CASE WHEN length(p{i}.y) <> 3 THEN {number} + CASE WHEN {number} < 100 THEN 2000 ELSE 0 END END"
+        day = f"try_cast(printf('%04d-%02d-%02d', {year}, try_cast(p{i}.m AS INTEGER), try_cast(p{i}.d AS INTEGER)) AS DATE)"
+        suspended = "" if i == 0 else f"WHEN contains(lower({raw}), 'đình chỉ') THEN 'ĐÌNH CHỈ' "
         picks.append(
-            f"CASE WHEN trim(coalesce({raw}, '')) = '' THEN '' {suspended}WHEN {found} <> '' "
-            f"THEN strftime(try_strptime({year}, '%d/%m/%Y'), '%d-%m-%Y') ELSE 'SAI' END AS {out}"
+            f"CASE WHEN replace(coalesce({raw}, ''), ' ', '') = '' THEN '' {suspended}"
+            f"WHEN p{i}.d = '' THEN 'SAI' ELSE strftime({day}, '%d-%m-%Y') END AS {out}"
         )
-    return f"{_extracted_sql()}, formatted AS (SELECT *, {', '.join(picks)} FROM found)"
+    return f"{_parts_sql()}, formatted AS (SELECT *, {', '.join(picks)} FROM parts)"
 
 
 def _mart_sql() -> str:
@@ -123,7 +157,18 @@ MART_SQL = _mart_sql()
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return certs.status_mart(certificates(spark, sf_dir))
+    """The mart as it is built from the raw tables, without the time of the run."""
+    built = build_mart(raw_tables(spark, sf_dir), F.lit("2024-01-01").cast("timestamp"))
+    return built.drop("dbt_updated_at")
+
+
+def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart stored and read back."""
+    return write_mart_folder(mart(spark, sf_dir), scratch.scratch_path(spark, "mart"))
+
+
+def cert_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return certificates(spark, sf_dir)
 
 
 def cert_date_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,5 +220,6 @@ ENTRIES = {
         cert_date_format,
         f"{_formatted_sql()} SELECT id, {', '.join(certs.FORMATTED_COLUMNS)} FROM formatted",
     ),
-    "cert_status_mart": Entry(mart, f"{MART_SQL} SELECT * FROM mart"),
+    "cert_coerce": Entry(cert_coerce, f"{_COERCED_SQL} SELECT * FROM cells"),
+    "cert_status_mart": Entry(stored_mart, f"{MART_SQL} SELECT * FROM mart"),
 }

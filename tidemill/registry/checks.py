@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import certs, quality
 from tidemill.plans.mart import TESTED_NOT_NULL, mart_report
 from tidemill.registry import Entry, table
-from tidemill.registry.certificates import MART_SQL, mart
+from tidemill.registry.certificates import MART_SQL, mart, stored_mart
 
 _EXPECTED_EVENTS = ("click", "view", "error", "purchase")
 
@@ -38,7 +38,7 @@ def dq_no_invalid_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart_report(mart(spark, sf_dir), strict=True)
+    return mart_report(stored_mart(spark, sf_dir), strict=True)
 
 
 def avg_count(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.latest import dedup_any, dedup_latest
-from tidemill.operators.spread import spread
 from tidemill.operators.upsert import append, upsert
 from tidemill.plans import change, ingest
 from tidemill.registry import Entry, table
-from tidemill.sources import discovery, scratch, versions
+from tidemill.sources import discovery, scratch
 from tidemill.streaming.ingest import upsert_stream
 
 
@@ -35,8 +34,8 @@ def dedup_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_any_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value")
-    return dedup_any(events, ["user_id", "event_type"])
+    events = dedup_any(table(spark, sf_dir, "events"), ["user_id", "event_type"])
+    return events.withColumn("ts", _text(F.col("ts")))
 
 
 def changed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,40 +77,57 @@ _LATEST_EVENT_SQL = (
 )
 
 
+# Columns as JSON exports name them; no helper column may get in their way.
+_ODD = {"c_name": "_source", "c_nationkey": "bucket", "c_acctbal": "a.b", "c_mktsegment": "_row"}
+
+
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
+    customer = table(spark, sf_dir, "customer").withColumnsRenamed(_ODD)
     # Stored first: the upsert reads its source more than once.
-    changes, _ = scratch.stage(changed_customers(spark, sf_dir), "changes")
-    return upsert(customer, changes, ["c_custkey"])
+    changes, _ = scratch.stage(changed_customers(spark, sf_dir).withColumnsRenamed(_ODD), "changes")
+    merged = upsert(customer, changes, ["c_custkey"])
+    return merged.toDF(*["c_custkey", *_ODD])
 
 
 def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same upsert into a stored table, run twice: the second run changes nothing."""
+    """The upsert as a replacement of the whole stored table, run twice."""
     base = scratch.scratch_path(spark, "customer")
-    versions.publish(table(spark, sf_dir, "customer"), base)
+    change.full_refresh(table(spark, sf_dir, "customer"), base)
     changes, _ = scratch.stage(changed_customers(spark, sf_dir), "changes")
     for _ in range(2):
-        change.upsert_table(changes, base, ["c_custkey"])
-    return versions.current(spark, base)
+        change.full_refresh(upsert(change.read_table(spark, base), changes, ["c_custkey"]), base)
+    return change.read_table(spark, base)
 
 
 def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same upsert into a table stored in key buckets."""
+    """The upsert into a table stored in key buckets, the keys spelled as decimals."""
     stored = change.BucketedTable(scratch.scratch_path(spark, "customer"), ("c_custkey",), 16)
     stored.create(table(spark, sf_dir, "customer"))
-    stored.upsert(changed_customers(spark, sf_dir))
-    return stored.read(spark).drop(change.BUCKET)
+    changes = changed_customers(spark, sf_dir)
+    stored.upsert(changes.withColumn("c_custkey", F.col("c_custkey").cast("decimal(20,2)")))
+    return stored.read(spark)
 
 
 def append_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers added to customers by name only: no key, one column missing."""
-    customers = table(spark, sf_dir, "customer").drop("c_custkey")
+    """Suppliers added to stored customers by name only: no key, one column missing. The
+    load of suppliers is repeated, which changes nothing."""
+    base = scratch.scratch_path(spark, "names")
+    change.append_table(table(spark, sf_dir, "customer").drop("c_custkey"), base, "2024-01-30")
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_acctbal").alias("c_acctbal"),
         F.col("s_name").alias("c_name"),
         F.col("s_nationkey").alias("c_nationkey"),
     )
-    return append(customers, suppliers)
+    for _ in range(2):
+        change.append_table(suppliers, base, "2024-01-31")
+    return change.read_table(spark, base)
+
+
+def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers under customers without storing either."""
+    customers = table(spark, sf_dir, "customer").select("c_name", "c_nationkey")
+    suppliers = table(spark, sf_dir, "supplier")
+    return append(customers, suppliers.select(F.col("s_name").alias("c_name")))
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,12 +135,12 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch.scratch_path(spark, "conversations")
     change.full_refresh(table(spark, sf_dir, "labels"), base)
     change.full_refresh(table(spark, sf_dir, "conversations"), base)
-    return versions.current(spark, base)
+    return change.read_table(spark, base)
 
 
 def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file listing with one file per event; errors lie outside any day's folder."""
-    e = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value"))
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     day = F.when(F.col("event_type") == "error", "late").otherwise(
         F.date_format("ts", "yyyy-MM-dd")
     )
@@ -181,36 +197,70 @@ def incremental_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PER_FILE = 5000
 
 
-def json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written as JSON arrays, found, read, reduced to the newest per user and
-    upserted into a stored table."""
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Two days of JSON files of two tables, loaded, the second day twice; the folder.
+
+    Users are keyed by id; one row in 101 has none, one document a day is broken.
+    Notes have no id at all. An event's day is its number's parity.
+    """
     base = scratch.scratch_path(spark, "documents")
-    row = F.struct(
-        F.col("user_id").alias("id"),
+    events = table(spark, sf_dir, "events").withColumn(
+        "day", F.when(F.col("event_id") % 2 == 0, "2024-01-30").otherwise("2024-01-31")
+    )
+    user = F.struct(
+        F.when(F.col("event_id") % 101 != 0, F.col("user_id")).alias("id"),
         _text(F.col("ts")).alias("updated_at"),
         "event_id",
         "event_type",
         "value",
         "props",
     )
-    # One array per file, of at most _PER_FILE rows: event ids are unique.
-    arrays = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.floor(F.col("event_id") / _PER_FILE))
-        .agg(F.to_json(F.collect_list(row)).alias("value"))
-        .select("value")
-    )
-    arrays.write.option("maxRecordsPerFile", 1).text(f"{base}/in/app-log/events/2024-01-31")
-    ingest.ingest_to_folders(
-        spark, f"{base}/in", "2024-01-31", f"{base}/tables", suffix=".txt", parallel=1
-    )
-    return versions.current(spark, f"{base}/tables/stg_app_log/tbl_events")
+    note = F.struct(F.col("event_type").alias("kind"), "value")
+
+    def put(row: Column, name: str) -> None:
+        # One array per file, of at most _PER_FILE rows: event ids are unique.
+        arrays = events.groupBy("day", F.floor(F.col("event_id") / (2 * _PER_FILE)))
+        arrays = arrays.agg(F.to_json(F.collect_list(row), {"ignoreNullFields": "false"}).alias("value"))
+        for day in ("2024-01-30", "2024-01-31"):
+            own = arrays.filter(F.col("day") == day).select("value")
+            own.write.option("maxRecordsPerFile", 1).text(f"{base}/in/app-log/{name}/{day}")
+
+    put(user, "events")
+    put(note, "notes")
+    for day in ("2024-01-30", "2024-01-31"):
+        broken = events.filter(F.col("day") == day).agg(F.max("event_id").cast("string").alias("id"))
+        broken = broken.select(F.concat(F.lit('{"id": '), "id", F.lit(", ")).alias("value"))
+        broken.write.mode("append").text(f"{base}/in/app-log/events/{day}")
+    for day in ("2024-01-30", "2024-01-31", "2024-01-31"):
+        ingest.ingest_to_folders(spark, f"{base}/in", day, f"{base}/tables", suffix=".txt", parallel=4)
+    return f"{base}/tables"
 
 
+def json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users: of each day the newest row per key, the second day over the first."""
+    return change.read_table(spark, f"{_ingested(spark, sf_dir)}/stg_app_log/tbl_events")
+
+
+def json_ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes, which have no key: every day once, however often it is loaded."""
+    return change.read_table(spark, f"{_ingested(spark, sf_dir)}/stg_app_log/tbl_notes")
+
+
+def json_ingest_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was set aside: rows without a key and broken documents."""
+    aside = change.read_table(spark, f"{_ingested(spark, sf_dir)}/_aside/stg_app_log/tbl_events")
+    event = F.get_json_object("document", "$.event_id").cast("bigint")
+    return aside.select(event.alias("event_id"), event.isNull().alias("broken"))
+
+
+_DAILY_SQL = (
+    "WITH daily AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_id % 2 "
+    "ORDER BY ts DESC, event_id) AS rn, event_id % 2 AS day FROM events WHERE event_id % 101 <> 0) "
+)
 _JSON_SQL = (
-    "SELECT user_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS updated_at, event_id, "
+    _DAILY_SQL + "SELECT user_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS updated_at, event_id, "
     "event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
-    "ORDER BY ts DESC, event_id) AS rn FROM events) WHERE rn = 1"
+    "ORDER BY day DESC) AS last FROM daily WHERE rn = 1) WHERE last = 1"
 )
 
 
@@ -218,15 +268,12 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events taken up as a stream into a table of the newest event per user."""
     base = scratch.scratch_path(spark, "stream")
     schema = table(spark, sf_dir, "events").schema
-    rows = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    # A pattern, so that a file and a folder of part files are read alike.
+    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     upsert_stream(
         rows, f"{base}/table", ["user_id"], "ts", f"{base}/progress", [F.col("event_id").desc()]
     )
-    newest = versions.current(spark, f"{base}/table")
+    newest = change.read_table(spark, f"{base}/table")
     return newest.withColumn("ts", _text(F.col("ts")))
 
 
@@ -234,8 +281,9 @@ ENTRIES = {
     "dedup_latest": Entry(dedup_latest_events, _LATEST_EVENT_SQL),
     "dedup_any": Entry(
         dedup_any_events,
-        "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) WHERE rn = 1",
+        "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, "
+        "props FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type "
+        "ORDER BY event_id) AS rn FROM events) WHERE rn = 1",
     ),
     "upsert_merge": Entry(upsert_merge, _UPSERT_SQL),
     "upsert_versioned": Entry(upsert_versioned, _UPSERT_SQL),
@@ -245,6 +293,10 @@ ENTRIES = {
         "SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer UNION ALL "
         "SELECT s_name, s_nationkey, s_acctbal, NULL FROM supplier",
     ),
+    "append_rows": Entry(
+        append_rows,
+        "SELECT c_name, c_nationkey FROM customer UNION ALL SELECT s_name, NULL FROM supplier",
+    ),
     "full_refresh": Entry(full_refresh, "SELECT * FROM conversations"),
     "path_discovery": Entry(
         path_discovery,
@@ -263,5 +315,13 @@ ENTRIES = {
         "AND path LIKE '%/2024-01-15/%'",
     ),
     "json_ingest": Entry(json_ingest, _JSON_SQL),
+    "json_ingest_append": Entry(
+        json_ingest_append, "SELECT event_type AS kind, value FROM events"
+    ),
+    "json_ingest_aside": Entry(
+        json_ingest_aside,
+        "SELECT event_id, false AS broken FROM events WHERE event_id % 101 = 0 UNION ALL "
+        "SELECT NULL, true FROM range(2)",
+    ),
     "stream_upsert": Entry(stream_upsert, _LATEST_EVENT_SQL),
 }

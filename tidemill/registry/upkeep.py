@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from tidemill.operators import compaction, retention, upkeep
 from tidemill.plans import runbook
 from tidemill.registry import Entry, table
-from tidemill.sources import scratch, versions
+from tidemill.sources import scratch
 
 _TARGET = 20_000
-_PER_SLICE = 100
 
 
 def _instant(text: str) -> Column:
@@ -19,9 +18,10 @@ def _instant(text: str) -> Column:
 
 
 def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a data file of its language's table."""
+    """Every document as a data file of its language's table, by source."""
     return table(spark, sf_dir, "documents").select(
         F.col("lang").alias("table"),
+        F.col("source").alias("partition"),
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("path"),
         F.col("n_chars").alias("length"),
     )
@@ -29,27 +29,23 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.compaction_plan(
-        document_files(spark, sf_dir), _TARGET, min_input_files=2, max_files_per_slice=_PER_SLICE
+        document_files(spark, sf_dir), _TARGET, min_input_files=2
     )
 
 
 def compaction_rewrite_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.compaction_plan(
-        document_files(spark, sf_dir), _TARGET, rewrite_all=True, max_files_per_slice=_PER_SLICE
+        document_files(spark, sf_dir), _TARGET, rewrite_all=True
     )
 
 
 def _groups_sql(listing: str, candidates: str, keep: str) -> str:
     return (
         f"WITH listing AS ({listing}), wanted AS (SELECT * FROM listing WHERE {candidates}), "
-        "counted AS (SELECT *, count(*) OVER (PARTITION BY \"table\") AS n FROM wanted), "
-        "cut AS (SELECT \"table\", path, length, "
-        "CAST('0x' || substr(md5(path), 1, 8) AS BIGINT) % "
-        f"CAST(ceil(n / {_PER_SLICE}.0) AS BIGINT) AS slice FROM counted), "
-        "placed AS (SELECT *, CAST(sum(length) OVER (PARTITION BY \"table\", slice ORDER BY path) "
-        f"AS BIGINT) - length AS start FROM cut), "
+        "placed AS (SELECT *, CAST(sum(length) OVER (PARTITION BY \"table\", \"partition\" "
+        "ORDER BY md5(path), path) AS BIGINT) - length AS start FROM wanted), "
         f"numbered AS (SELECT *, start // {_TARGET * compaction.TARGETS_PER_GROUP} AS group_no FROM placed), "
-        "plan AS (SELECT \"table\", slice, group_no, count(*) AS files_in, "
+        "plan AS (SELECT \"table\", \"partition\", group_no, count(*) AS files_in, "
         "CAST(sum(length) AS BIGINT) AS bytes FROM numbered GROUP BY ALL), "
         f"chosen AS (SELECT *, greatest(1, (2 * bytes + {_TARGET}) // {2 * _TARGET}) AS files_out "
         f"FROM plan WHERE {keep})"
@@ -57,7 +53,8 @@ def _groups_sql(listing: str, candidates: str, keep: str) -> str:
 
 
 _DOCUMENTS_SQL = (
-    "SELECT lang AS \"table\", 'doc-' || doc_id AS path, n_chars AS length FROM documents"
+    "SELECT lang AS \"table\", source AS \"partition\", 'doc-' || doc_id AS path, "
+    "n_chars AS length FROM documents"
 )
 _SMALL_OR_LARGE = f"length < {_TARGET} * 0.75 OR length > {_TARGET} * 1.8"
 _WORTH_IT = (
@@ -75,6 +72,16 @@ def expire_snapshots_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("table", "snapshot_id")
 
 
+def expire_keep_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one snapshot kept, as the daily upkeep does."""
+    snaps = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("table"),
+        F.col("event_id").alias("snapshot_id"),
+        F.col("ts").alias("committed_at"),
+    )
+    return retention.expire_plan(snaps, 1, _instant("2024-01-25 00:00:00")).select("table", "snapshot_id")
+
+
 def orphan_files_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files, one minute apart; those under https are live, and are named with
     another spelling of the same store."""
@@ -111,7 +118,7 @@ def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = _instant("2024-01-25 00:00:00")
     return upkeep.maintenance_summary(
         compaction.compaction_plan(
-            files, _TARGET, min_input_files=2, max_files_per_slice=_PER_SLICE
+            files, _TARGET, min_input_files=2
         ),
         retention.expire_plan(files.select("table", "snapshot_id", "committed_at"), 2, before),
         retention.orphan_plan(files, files.filter("value > 10").select("path"), before),
@@ -127,7 +134,7 @@ def maintenance_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EVENTS_SQL = (
-    "SELECT event_type AS \"table\", 'event-' || event_id AS path, "
+    "SELECT event_type AS \"table\", '' AS \"partition\", 'event-' || event_id AS path, "
     "CAST(floor(value * 100) AS BIGINT) AS length FROM events"
 )
 _SUMMARY_SQL = (
@@ -158,12 +165,12 @@ _SUMMARY_SQL = (
 
 
 def compact_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders stored in many small files, then compacted: the same rows in fewer files."""
+    """Orders stored in many small files by status, then compacted: the same rows."""
     base = scratch.scratch_path(spark, "orders")
     orders = table(spark, sf_dir, "orders")
-    versions.publish(orders.repartition(32, "o_orderkey"), base)
+    orders.repartition(32, "o_orderkey").write.partitionBy("o_orderstatus").parquet(base)
     runbook.compact(spark, base)
-    rows = versions.current(spark, base)
+    rows = spark.read.parquet(base).select(*orders.columns)
     return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
@@ -182,6 +189,12 @@ ENTRIES = {
         "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) "
         "WHERE rn > 2 AND ts < TIMESTAMP '2024-01-25'",
     ),
+    "expire_keep_one": Entry(
+        expire_keep_one,
+        "SELECT user_id AS \"table\", event_id AS snapshot_id FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) "
+        "WHERE rn > 1 AND ts < TIMESTAMP '2024-01-25'",
+    ),
     "orphan_files_plan": Entry(
         orphan_files_plan,
         "SELECT 's3a://lake/' || page_id || '.html' AS path, length(html) AS length FROM pages "

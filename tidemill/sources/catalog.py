@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
+
+from tidemill.operators.upsert import align_columns
 
 # Keep two versions of the table's metadata, drop older ones on commit.
 METADATA_PROPERTIES = {
@@ -73,15 +76,32 @@ def create_like(
     spark = df.sparkSession
     if parent(name):
         create_namespace(spark, parent(name))
-    # Columns are declared rather than selected, so no query runs.
-    spark.sql(
-        f"CREATE TABLE {quoted(name)} ({_columns(df)}) USING {using}"
-        + (f" TBLPROPERTIES ({properties(table_properties)})" if table_properties else "")
-    )
+    writer = df.limit(0).writeTo(quoted(name)).using(using)
+    for key, value in table_properties.items():
+        writer = writer.tableProperty(key, value)
+    writer.create()
+
 
+def fit_columns(df: DataFrame, name: str) -> DataFrame:
+    """`df` with the table's columns and types, and the table with the new columns of `df`.
 
-def _columns(df: DataFrame) -> str:
-    return ", ".join(f"{quoted_part(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    Columns that `df` lacks are NULL; columns that the table lacks are added to it.
+    """
+    spark = df.sparkSession
+    target = spark.table(quoted(name))
+    known = {c.lower() for c in target.columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"{quoted_part(f.name)} {_ddl(f)}" for f in new)
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({columns})")
+        target = spark.table(quoted(name))
+    return align_columns(target.limit(0), df)[1]
+
+
+def _ddl(field: StructField) -> str:
+    """A type as it is written in a statement, nested names quoted."""
+    kind = StructType([StructField("c", field.dataType)]).toDDL()
+    return kind.split(" ", 1)[1]
 
 
 def quoted_part(name: str) -> str:

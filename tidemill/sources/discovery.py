@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import paths
+from tidemill.functions.names import fresh_name
 from tidemill.sources import files
 
 
@@ -54,10 +55,11 @@ def parse_path(listing: DataFrame, root: str = "") -> DataFrame:
     the table and the namespace. Paths without that shape are left out. Only folders
     count, so a file named after a date does not shift the rest.
     """
-    parts = F.split("_dated", "/")
+    dated = fresh_name(listing.columns, "_dated")
+    parts = F.split(dated, "/")
     return (
-        listing.withColumn("_dated", paths.dated_folders(F.col("path")))
-        .filter("_dated <> ''")
+        listing.withColumn(dated, paths.dated_folders(F.col("path")))
+        .filter(F.col(dated) != "")
         .withColumns(
             {
                 "namespace": F.get(parts, F.lit(0)),
@@ -67,7 +69,7 @@ def parse_path(listing: DataFrame, root: str = "") -> DataFrame:
             }
         )
         .withColumn("target", paths.target_name(F.col("namespace"), F.col("table"), root))
-        .drop("_dated")
+        .drop(dated)
     )
 
 

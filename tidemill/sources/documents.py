@@ -37,6 +37,12 @@ def read_json(
     return reader.schema(schema).json(list(paths))
 
 
+def with_day(df: DataFrame, name: str) -> DataFrame:
+    """Add the day of each row's file, from the last folder that starts with a date."""
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"^.*/(\d{4}-\d{2}-\d{2})[^/]*/[^/]*$", 1)
+    return df.withColumn(name, F.nullif(day, F.lit("")))
+
+
 def folder_globs(folders: Sequence[str], suffix: str = ".json") -> list[str]:
     """Reader paths for the files right inside each folder."""
     special = str.maketrans({c: "\\" + c for c in "\\{}[]*?,"})

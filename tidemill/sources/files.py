@@ -15,12 +15,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
-    """Create a small file in one call; it is there whole or not at all."""
+def create(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a small file unless it is there; whether this call created it."""
     fs, jpath = _open(spark, path)
-    stream = fs.create(jpath, True)
+    try:
+        stream = fs.create(jpath, False)
+    except Exception:
+        if fs.exists(jpath):
+            return False
+        raise
     stream.write(bytearray(text, "utf-8"))
     stream.close()
+    return True
 
 
 def read_marker(spark: SparkSession, path: str) -> str:

@@ -1,15 +1,15 @@
 """Replace a parquet table whole without ever overwriting what is being read.
 
-A table is a folder of version folders. A new version is written beside the old
-ones, its rows are counted, and one small marker file then makes it current: readers
-see the old version or the new one. A job that dies leaves an unmarked folder, which
-the orphan search finds. On a catalog with atomic replacement use
-`tidemill.sources.catalog` instead.
+Rows are written to a new folder beside the old ones and counted; one small file then
+names the folder that holds the table from now on. The file is numbered and created
+only if no one else has created it, so of two writers one fails instead of being lost.
+For tables that change often, or by several writers, use a catalog
+(`tidemill.sources.catalog`); for changes to parts of a table see `plans.change`.
 """
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,52 +17,62 @@ from pyspark.sql import functions as F
 
 from tidemill.sources import files
 
-_MARKER = "_published"
+_PUBLISHED = "_published"
+# A reader of the version before last may still be at work when a new one appears.
+RETAINED = 2
 
 
 class CountMismatch(RuntimeError):
-    """A written version does not hold the rows it should; it was not published."""
+    """The written rows are not as many as they should be; they were not published."""
 
 
-def version_path(base: str, version: int) -> str:
-    return f"{base}/version={version}"
+class Conflict(RuntimeError):
+    """Someone else has published since the version that this one builds on."""
 
 
-def _published(spark: SparkSession, base: str) -> list[tuple[int, int]]:
-    """(version, commit time in ms), oldest first."""
-    marks = files.children(spark, f"{base}/version=*/{_MARKER}")
-    return sorted((int(p.rsplit("/", 2)[1].split("=")[1]), at) for p, at in marks)
+def _numbers(spark: SparkSession, base: str) -> list[int]:
+    return sorted(int(p.rsplit("/", 1)[1]) for p, _ in files.children(spark, f"{base}/{_PUBLISHED}/*"))
+
+
+def _folder(spark: SparkSession, base: str, number: int) -> str:
+    return f"{base}/{files.read_marker(spark, f'{base}/{_PUBLISHED}/{number:012d}')}"
+
+
+def newest(spark: SparkSession, base: str) -> int:
+    """Number of the current version; 0 if there is none."""
+    numbers = _numbers(spark, base)
+    return numbers[-1] if numbers else 0
 
 
 def table_exists(spark: SparkSession, base: str) -> bool:
-    return bool(_published(spark, base))
+    return newest(spark, base) > 0
 
 
 def current(spark: SparkSession, base: str) -> DataFrame:
-    marks = _published(spark, base)
-    if not marks:
+    number = newest(spark, base)
+    if not number:
         raise FileNotFoundError(f"no published version under {base}")
-    return spark.read.parquet(version_path(base, marks[-1][0]))
-
-
-def snapshots(spark: SparkSession, base: str) -> DataFrame:
-    """Published versions as rows for `retention.expire_plan`."""
-    rows = [(base, version, at / 1000) for version, at in _published(spark, base)]
-    raw = spark.createDataFrame(rows, "table string, snapshot_id long, at double")
-    return raw.select("table", "snapshot_id", F.timestamp_seconds("at").alias("committed_at"))
+    return spark.read.parquet(_folder(spark, base, number))
 
 
 def publish(
-    df: DataFrame, base: str, expected: int | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    base: str,
+    expected: int | None = None,
+    partition_by: Sequence[str] = (),
+    read_version: int | None = None,
 ) -> DataFrame:
-    """Write `df` as the table's next version, check its count, make it current.
+    """Write `df`, check its count, make it the table.
 
-    `expected` defaults to the number of rows the write itself saw, counted on the
-    way; the count of what was written comes from the parquet footers.
+    `expected` defaults to the number of rows the write itself saw, counted on the way;
+    the count of what was written comes from the parquet footers. `read_version` is the
+    version that `df` was made from, if it was: a newer one is then a `Conflict`, as is
+    one that appears while the rows are being written.
     """
     spark = df.sparkSession
-    version = time.time_ns()
-    path = version_path(base, version)
+    before = newest(spark, base) if read_version is None else read_version
+    folder = f"data-{uuid.uuid4().hex}"
+    path = f"{base}/{folder}"
     if expected is None:
         # Counted inside the write job, from tasks that succeeded.
         seen = Observation()
@@ -73,16 +83,18 @@ def publish(
     got = spark.read.schema(df.schema).parquet(path).count()
     if got != expected:
         raise CountMismatch(f"{path} holds {got} rows, expected {expected}")
-    files.write_marker(spark, f"{path}/{_MARKER}", str(got))
+    if newest(spark, base) != before or not files.create(
+        spark, f"{base}/{_PUBLISHED}/{before + 1:012d}", folder
+    ):
+        files.remove(spark, path)
+        raise Conflict(f"{base} has a newer version than {before}")
+    _tidy(spark, base, before + 1 - RETAINED)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_versions(spark: SparkSession, base: str, versions: Sequence[int]) -> list[int]:
-    """Delete version folders; never the current one. The marker goes first."""
-    marks = _published(spark, base)
-    newest = marks[-1][0] if marks else None
-    gone = [v for v in versions if v != newest]
-    for version in gone:
-        files.remove(spark, f"{version_path(base, version)}/{_MARKER}")
-        files.remove(spark, version_path(base, version))
-    return gone
+def _tidy(spark: SparkSession, base: str, last: int) -> None:
+    """Remove versions up to a number; the file that names one goes last."""
+    for number in _numbers(spark, base):
+        if number <= last:
+            files.remove(spark, _folder(spark, base, number))
+            files.remove(spark, f"{base}/{_PUBLISHED}/{number:012d}")

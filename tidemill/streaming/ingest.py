@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -36,19 +37,26 @@ def upsert_stream(
 ) -> None:
     """Take up all rows that are new since the last run, then stop.
 
-    Each batch keeps its newest row per key and is upserted with `order_by` as guard.
-    Rows without a key are kept in `<base>/_aside/batch=<n>`. A batch that is repeated
+    Each batch keeps its newest row per key and is upserted, into the key buckets it
+    touches, with `order_by` as guard. Rows without a key are kept in
+    `<base>/_aside/stream=<id>/batch=<n>`; the id stays with the checkpoint, so another
+    checkpoint, whose numbers start anew, replaces nothing. A batch that is repeated
     after a failure changes nothing, so rows arrive once.
     """
+    started, stream = Event(), []
 
     def apply(batch: DataFrame, number: int) -> None:
+        started.wait()
         rows, staged = scratch.stage(batch, "batch")
-        load, broken = documents.split_corrupt(rows, keys)
-        if broken.head() is not None:
-            broken.write.mode("overwrite").parquet(f"{base}/_aside/batch={number}")
-        newest = dedup_latest(load, keys, order_by, tie)
-        upsert_table(newest, base, keys, newer_than=order_by, check_source=False)
-        files.remove(batch.sparkSession, staged)
+        try:
+            load, broken = documents.split_corrupt(rows, keys)
+            if not broken.isEmpty():
+                aside = f"{base}/_aside/stream={stream[0]}/batch={number}"
+                broken.write.mode("overwrite").parquet(aside)
+            newest = dedup_latest(load, keys, order_by, tie)
+            upsert_table(newest, base, keys, order_by, check_source=False, owner=stream[0])
+        finally:
+            files.remove(batch.sparkSession, staged)
 
     query = (
         rows.writeStream.foreachBatch(apply)
@@ -56,4 +64,6 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
+    stream.append(str(query.id))
+    started.set()
     query.awaitTermination()
