@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm import ann, chat, html_text, lang_id, mixing, near_dups, packing, quality_model, quality_rules, token_files
+from tidemill.llm import ann, chat, html_text, lang_id, mixing, near_dups, packing, quality_model, quality_rules, sql, token_files
 from tidemill.llm.common import table
 from tidemill.sources.scratch import scratch_path
 
@@ -102,4 +102,10 @@ QUERIES = {
         op10_quality_model,
     )
 }
-SQL: dict[str, str] = {}
+# The other queries rest on learned weights, vocabularies, or a search by chance; they are
+# tested against plain Python.
+SQL = {
+    "op2_near_dups": sql.near_duplicates(size=2),
+    "op3_chat_format": sql.chat_format(FORGED_ID, FORGED),
+    "op8_quality_rules": sql.quality_rules(),
+}
