@@ -6,13 +6,16 @@ most 25 positions are all found: cut into 13 chunks, two of them differ in at mo
 position of some chunk (26 errors are needed for two in each), so every chunk is stored
 once for each position that may be wrong, with that position left out, and documents
 that share such a key are candidates. Two sets of similarity 0.8 fail to share a key
-with probability below 1e-7. Candidates whose signatures differ in more than 32
-positions are dropped; all others are confirmed on the full sets.
+with probability below 1e-7, and differ in more than 28 positions with one below 1e-5.
+Candidates beyond that distance are dropped; all others are confirmed on the full sets.
 
 Documents with equal sets form a class first and are represented by one of them. Within
-a bucket of candidates pairs are not spelled out: members are compared with a pivot, and
-what is connected needs no more comparing. Buckets whose members are not all connected
-are gone through again with further pivots until every pair in them is settled.
+a bucket of candidates pairs are not spelled out: each member is confirmed against one
+pivot, a few times over with other pivots, which connects nearly all that is linked.
+What is connected needs no more comparing. The members of a bucket that are still apart
+from its main component are then compared with all others in it, signatures in blocks
+inside the tasks, and only pairs that are near and apart leave these, each from one
+bucket only.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import tokens
@@ -30,9 +33,11 @@ from tidemill.llm.common import column, stage
 from tidemill.llm.components import contract
 
 POSITIONS, CHUNKS = 64, 13
-FOUND, CONFIRMED = 2 * CHUNKS - 1, 32  # distances
-# Pivots per bucket in the rounds after the first two.
-PIVOTS = 4
+FOUND, CONFIRMED = 2 * CHUNKS - 1, 28  # distances
+# Rounds in which every member that is apart is confirmed against one more pivot.
+ROUNDS = 3
+# Members of a bucket that are compared in one block, and rows that a cell aims at.
+BLOCK_ROWS, CELL_ROWS = 1024, 8192
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _rng.integers(1 << 63, size=POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,14 +135,17 @@ def _matrix(signatures: pa.Array) -> np.ndarray:
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
+    """key, the position that it leaves out, and rep."""
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             if batch.num_rows:
                 keys = chunk_keys(_matrix(batch.column(1))).view(np.int64)
                 reps = np.repeat(batch.column(0).to_numpy(), POSITIONS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(reps)], ["key", "rep"])
+                places = np.tile(np.arange(POSITIONS, dtype=np.int32), batch.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(places), pa.array(reps)], ["key", "pos", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "key long, rep long")
+    return classes.select("rep", "signature").mapInArrow(run, "key long, pos int, rep long")
 
 
 def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -201,6 +209,80 @@ def _component(of: DataFrame, components: DataFrame | None, name: str, node: Col
     return joined.withColumn(name, F.coalesce(f"{name}_c", node)).drop(f"{name}_node", f"{name}_c")
 
 
+def _open(members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members, with their component c, of buckets that are not all connected."""
+    colored = stage(_component(members.drop("c"), components, "c", F.col("rep")), "colored")
+    spread = colored.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1")
+    still = spread.select(F.col("bucket").alias("of"))
+    return stage(colored.join(still, F.col("bucket") == F.col("of")).drop("of"), "members")
+
+
+def _main(members: DataFrame) -> DataFrame:
+    """bucket, the component with most members there, and the first of these."""
+    sizes = members.groupBy("bucket", "c").agg(F.count("*").alias("k"), F.min("rep").alias("first"))
+    most = F.max(F.struct(F.col("k"), (-F.col("c")).alias("c"), F.col("first"))).alias("most")
+    picked = sizes.groupBy("bucket").agg(most)
+    return picked.select("bucket", (-F.col("most.c")).alias("main"), F.col("most.first").alias("pivot"))
+
+
+def _apart(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of near signatures from different components that share a bucket.
+
+    Members outside the main component of their bucket meet all members of the bucket.
+    A pair leaves only the bucket of the first key that it shares.
+    """
+    signature = classes.select(F.col("rep").alias("r"), "signature")
+    full = members.join(signature, F.col("rep") == F.col("r")).drop("r")
+    full = full.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    main = _main(members).select(F.col("bucket").alias("of"), "main")
+    cells = max(16, -(-members.count() // CELL_ROWS))
+
+    def celled(df: DataFrame) -> DataFrame:
+        return df.withColumn("cell", F.pmod(F.xxhash64("bucket", "block"), F.lit(cells)).cast("int"))
+
+    columns = ["cell", "bucket", "block", "pos", "rep", "c", "signature"]
+    right = celled(full.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))).select(*columns)
+    apart = full.join(main, F.col("bucket") == F.col("of")).filter("c <> main")
+    left = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # Under names of its own, as both sides come from the same rows.
+    left = celled(left).select(*[F.col(c).alias(f"l_{c}") for c in columns])
+    chunk_of = np.repeat(np.arange(CHUNKS), [len(c) for c in np.array_split(np.arange(POSITIONS), CHUNKS)])
+    starts = np.flatnonzero(np.diff(chunk_of, prepend=-1))
+    sizes = np.bincount(chunk_of)
+
+    def first_shared(same: np.ndarray) -> np.ndarray:
+        """The first position that can be left out of a chunk for two rows to share it."""
+        errors = sizes - np.add.reduceat(same, starts, axis=1, dtype=np.int64)
+        usable = (errors[:, chunk_of] == 0) | (errors[:, chunk_of] == 1) & ~same
+        return np.argmax(usable, axis=1)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if left.num_rows and right.num_rows:
+            left = left.rename_columns(columns)
+            code = lambda t: t["bucket"].to_numpy() * np.int64(31) + t["block"].to_numpy()
+            lc, rc = code(left), code(right)
+            order = np.argsort(rc, kind="stable")
+            ls, rs = (_matrix(t["signature"].combine_chunks()) for t in (left, right))
+            l_rep, r_rep = left["rep"].to_numpy(), right["rep"].to_numpy()
+            l_c, r_c, pos = left["c"].to_numpy(), right["c"].to_numpy(), left["pos"].to_numpy()
+            begin, end = (np.searchsorted(rc[order], lc, side) for side in ("left", "right"))
+            for i in range(len(lc)):
+                rows = order[begin[i] : end[i]]
+                rows = rows[r_c[rows] != l_c[i]]
+                same = rs[rows] == ls[i]
+                near = same.sum(axis=1) >= POSITIONS - CONFIRMED
+                rows, same = rows[near], same[near]
+                rows = rows[first_shared(same) == pos[i]] if len(rows) else rows
+                pair = np.full(len(rows), l_rep[i]), r_rep[rows]
+                out.append((np.minimum(*pair), np.maximum(*pair)))
+        a, b = (np.concatenate([o[i] for o in out]) for i in (0, 1))
+        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return left.groupBy("l_cell").cogroup(right.groupBy("cell")).applyInArrow(meet, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
@@ -224,60 +306,34 @@ def near_duplicates(
         "classes",
     )
     keys = _keyed(classes)
-    buckets = (
-        keys.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("print"))
-        .filter("n > 1")
-    )
-    # Of buckets with the same members one is enough.
-    buckets = stage(
-        buckets.groupBy("print", "n", "low", "high").agg(F.min("key").alias("bucket")).drop("print", "high"), "buckets"
-    )
+    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("low")).filter("n > 1")
+    buckets = stage(buckets.withColumnRenamed("key", "bucket"), "buckets")
     members = stage(
-        keys.join(buckets, F.col("key") == F.col("bucket")).select("bucket", "n", "low", "rep"), "members"
+        keys.join(buckets, F.col("key") == F.col("bucket")).select("bucket", "pos", "n", "low", "rep"), "members"
     )
-    star = members.filter("rep <> low").groupBy(F.col("low").alias("a"), F.col("rep").alias("b"))
-    star = stage(star.agg(F.count("*").alias("shared")), "star")
-
-    # First every document with the one pivot it shares most buckets with.
-    best = star.groupBy("b").agg(F.max(F.struct(F.col("shared"), (-F.col("a")).alias("a"))).alias("best"))
-    tested = stage(best.select((-F.col("best.a")).alias("a"), "b"), "tested")
-    links = _confirm(tested, docs, classes, size, percent)
-    components = contract(links)
-    # Then with the other pivots, then with ever more pivots per bucket.
-    pivots = 1
-    rest = star.select("a", "b")
-    while True:
-        rest = _component(_component(rest, components, "ca", F.col("a")), components, "cb", F.col("b"))
-        fresh = rest.filter("ca <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        fresh = stage(fresh, "fresh")
-        if not fresh.isEmpty():
-            found = _confirm(fresh, docs, classes, size, percent)
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                components = contract(links)
-            tested = tested.unionByName(fresh)
-        colored = _component(members.filter(F.col("n") > pivots + 1), components, "c", F.col("rep"))
-        colored = stage(colored, "colored")
-        spread = colored.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
-        members = stage(
-            colored.join(spread.filter("c0 < c1").select("bucket"), "bucket").select("bucket", "n", "low", "rep", "c"),
-            "members",
-        )
-        if members.isEmpty():
-            break
-        pivots *= PIVOTS
-        order = Window.partitionBy("bucket").orderBy("rep")
-        chosen = members.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= pivots)
-        chosen = chosen.select("bucket", F.col("rep").alias("a"), F.col("c").alias("pc"))
-        rest = (
-            members.withColumnRenamed("rep", "b")
-            .join(chosen, "bucket")
-            .filter("b > a and c <> pc")
-            .select("a", "b")
-            .distinct()
-        )
-        members = members.drop("c")
+    tested = links = components = None
+    for number in range(ROUNDS):
+        if number == 0:
+            offered = members.filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
+        else:
+            # The pivot of a bucket is now one of its main component.
+            pivots = _main(members).select(F.col("bucket").alias("of"), F.col("pivot").alias("a"), "main")
+            apart = members.join(pivots, F.col("bucket") == F.col("of")).filter("c <> main")
+            offered = apart.select("a", F.col("rep").alias("b"))
+        shared = offered.groupBy("a", "b").agg(F.count("*").alias("shared"))
+        if tested is not None:
+            shared = shared.join(tested, ["a", "b"], "left_anti")
+        best = shared.groupBy("b").agg(F.max(F.struct(F.col("shared"), (-F.col("a")).alias("a"))).alias("best"))
+        fresh = stage(best.select((-F.col("best.a")).alias("a"), "b"), "fresh")
+        tested = fresh if tested is None else tested.unionByName(fresh)
+        found = _confirm(fresh, docs, classes, size, percent)
+        links = found if links is None else links.unionByName(found)
+        components = contract(links)
+        members = _open(members, components)
+    near = stage(_apart(members, classes).distinct().join(tested, ["a", "b"], "left_anti"), "apart")
+    if not near.isEmpty():
+        found = _confirm(near, docs, classes, size, percent)
+        components = contract(links.unionByName(found))
     node = F.col("rep")
     owner = _component(classes.select(F.col("digest").alias("of"), "rep"), components, "component_id", node)
     out = signed.join(
