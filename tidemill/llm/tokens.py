@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 
-# Pieces remembered by one worker, and characters encoded at once.
+# Pieces remembered by one worker in each of two generations, and bytes encoded at once.
 REMEMBERED = 400_000
 BATCH_CHARS = 12_000_000
 _WORDS_PER_CALL = 4000
@@ -43,12 +43,20 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._remembered = remembered
         self._known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self._older: dict[str, bytes] = {}
+
+    def _unknown(self, pieces: list[str]) -> list[str]:
+        """Pieces that neither generation holds; those of the older one become known."""
+        known, older = self._known, self._older
+        missing = [p for p in pieces if p not in known]
+        known.update({p: older[p] for p in missing if p in older})
+        return [p for p in missing if p not in older]
 
     def _learn(self, pieces: list[str]) -> None:
         """Remember the ids of pieces, by way of their plain parts where they have some."""
         known = self._known
         parts = {p: m.groups() for p in pieces if (m := _PLAIN.fullmatch(p))}
-        words = list({w for w, _ in parts.values()}.difference(known))
+        words = self._unknown(list({w for w, _ in parts.values()}))
         for i in range(0, len(words), _WORDS_PER_CALL):
             some = words[i : i + _WORDS_PER_CALL]
             found = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -57,7 +65,7 @@ class Encoder:
             cuts = [*(4 * np.flatnonzero(np.diff(of, prepend=-1))).tolist(), len(ids)]
             known.update({w: ids[a:b] for w, a, b in zip(some, cuts[:-1], cuts[1:], strict=True)})
         whole = [p for p in pieces if p not in parts]
-        whole += list({s for _, s in parts.values()}.difference(known))
+        whole += self._unknown(list({s for _, s in parts.values()}))
         found = self._tokenizer.encode_batch_fast(whole, add_special_tokens=False)
         known.update({p: np.array(e.ids, np.int32).tobytes() for p, e in zip(whole, found, strict=True)})
         known.update({p: known[w] + known[s] for p, (w, s) in parts.items() if s})
@@ -71,11 +79,9 @@ class Encoder:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        unknown = [p for p in pieces if p not in self._known]
-        if len(self._known) + len(unknown) > self._remembered:
-            self._known = {}
-            unknown = pieces
-        if unknown:
+        if len(self._known) > self._remembered:
+            self._known, self._older = {}, self._known
+        if unknown := self._unknown(pieces):
             self._learn(unknown)
         ids = [self._known[p] for p in pieces]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
