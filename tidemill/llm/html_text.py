@@ -265,8 +265,12 @@ def fit_sample(pages: DataFrame, sample: int = 1000, source: str = "html") -> We
     html_ = column(source)
     labelled = pages.select(html_.alias("html"), F.xxhash64(html_).alias("order"))
     labelled = labelled.filter(F.col("html").rlike(r"(?i)<(article|main)[\s>]"))
-    rows = labelled.orderBy("order").limit(sample).select("html").collect()
-    return learn([r["html"] for r in rows])
+    # Hashes are compared first, so only the sample's own pages leave the tasks.
+    lowest = labelled.select("order").distinct().orderBy("order").limit(sample).collect()
+    if not lowest:
+        return DEFAULT
+    rows = labelled.filter(F.col("order") <= lowest[-1]["order"]).dropDuplicates(["order"])
+    return learn([r["html"] for r in sorted(rows.collect(), key=lambda r: r["order"])])
 
 
 def extract(pages: DataFrame, weights: Weights, source: str = "html") -> DataFrame:
