@@ -144,15 +144,13 @@ def fit_sample(docs: DataFrame, per_language: int = 1000, doc_id: str = "doc_id"
     """Fit on the bounded sample of rows with a text with letters and a language."""
     named = docs.select(column(text).alias("text"), column(lang).alias("lang"), F.xxhash64(column(doc_id), column(text)).alias("order"))
     usable = named.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # The order alone is ranked; each language is cut to its sample before the shuffle.
-    first = Window.partitionBy("lang").orderBy("order", F.length("text"))
-    rows = (
-        usable.withColumn("nth", F.row_number().over(first))
-        .filter(F.col("nth") <= per_language)
-        .orderBy("lang", "nth")
-        .select("text", "lang")
-        .toPandas()
-    )
+    # Hashes alone are ranked, so only the sample's own texts are shuffled.
+    first = Window.partitionBy("lang").orderBy("order")
+    ranked = usable.select("lang", "order").distinct().withColumn("nth", F.row_number().over(first))
+    chosen = ranked.filter(F.col("nth") <= per_language).select("lang", "order")
+    # At most per_language rows for each language: small enough to send to every task.
+    sample = usable.join(F.broadcast(chosen), ["lang", "order"]).dropDuplicates(["lang", "order"])
+    rows = sample.toPandas().sort_values(["lang", "order"])
     return fit(rows["text"].tolist(), rows["lang"].tolist())
 
 
