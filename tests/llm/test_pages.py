@@ -30,6 +30,30 @@ def test_the_pages(spark):
         assert (got[page.page_id]["text"], got[page.page_id]["n_chars"]) == (want, len(want))
 
 
+def test_the_pages_without_their_label(spark):
+    """Weights learned on the pages find the same text where article is a div."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").toPandas()["html"].tolist()
+    weights = html_text.learn(pages)
+    for page in pages:
+        renamed = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html_text.main_text(renamed, weights) == html_text.main_text(page, weights) != ""
+
+
+def test_weights_decide_on_pages_with_a_label():
+    """A label adds to the score and does not settle it."""
+    long_text = " ".join(f"word{i}" for i in range(60))
+    teaser = f"<body><div><p>{long_text}</p></div><hr><hr><hr><article><p>Read this too</p></article></body>"
+    dear = html_text.Weights(tags={"hr": -6.0})
+    assert html_text.main_text(teaser, dear) == long_text
+    # Of two texts of one length the labelled one is taken, and the title outside with it.
+    other = " ".join(f"other{i}" for i in range(60))
+    page = f"<div><p>{other}</p></div>" + "<hr>" * 15 + f"<h1>A title of five words</h1><article><p>{long_text}</p></article>"
+    assert html_text.main_text(page, dear) == f"A title of five words\n\n{long_text}"
+    # Links that end an article are worth what such words were worth on labelled pages.
+    links = f"<article><p>{long_text}</p>" + '<ul><li><a href="/">more</a></li></ul>' * 3 + "</article>"
+    assert html_text.main_text(links, html_text.Weights(weak=0.02)) == long_text
+
+
 def test_best_stretch():
     assert html_text.best_stretch([-1, 2, -1, 3, -5, 3]) == (1, 4)
     assert html_text.best_stretch([]) == (0, 0)

@@ -7,7 +7,8 @@ one scan. Elements that never are content (menus, footers, scripts, adverts, com
 and the like) give no words to the sequence, and none to the text of the stretch.
 
 Weights are counted on a bounded sample of pages that label their content themselves by
-an `article` or `main` element; extraction covers the whole of every page.
+an `article` or `main` element; extraction covers the whole of every page. There and
+elsewhere the scan alone chooses: words in such an element count a quarter more.
 """
 
 from __future__ import annotations
@@ -163,6 +164,8 @@ class Weights:
 
 # How many pages' worth of tags the expectation counts for, and what surprise costs.
 PRIOR, SCALE, DEAREST = 20.0, 0.4, -6.0
+# What words in an `article` or `main` element count for, against the same words elsewhere.
+LABEL = 1.25
 
 
 def _expected(tag: str) -> float:
@@ -231,23 +234,21 @@ def main_text(source: str | None, weights: Weights) -> str:
     for by_marks in (True, False):
         page = read_page(source or "", by_marks)
         rows = page.rows()
-        # Where the page names its content, what lies outside gives nothing.
-        named = any(labelled and not barred and tag is None and text.strip() for text, tag, _, barred, labelled in rows)
         scores = []
         for text, tag, weak, barred, labelled in rows:
             if tag is not None:
-                own = 0.0 if barred else weights.of(tag)
-                scores.append(max(own, -0.01) if named and labelled else own)
-            elif barred or named and not labelled:
+                scores.append(0.0 if barred else weights.of(tag))
+            elif barred:
                 scores.append(0.0)
             else:
-                scores.append(_words(text) * (weights.weak if weak and not named else weights.word))
+                word = weights.weak if weak else weights.word
+                scores.append(_words(text) * word * (LABEL if labelled else 1.0))
         first, end = best_stretch(scores)
         blocks: list[list[str]] = [[]]
         for i in range(first, end):
             tag = page.tags[i]
             if tag is None:
-                if not page.barred[i] and (page.labelled[i] or not named):
+                if not page.barred[i]:
                     blocks[-1].append(page.texts[i])
             elif tag.lstrip("/") in BLOCK:
                 blocks.append([])
