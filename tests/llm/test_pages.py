@@ -54,6 +54,32 @@ def test_weights_decide_on_pages_with_a_label():
     assert html_text.main_text(links, html_text.Weights(weak=0.02)) == long_text
 
 
+def test_content_in_a_marked_wrapper():
+    """Marked elements that hold the page, and headings of the content, are read."""
+    words = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"other{i}" for i in range(300))
+    line = "<footer>All rights reserved</footer><div><p>Made by us</p></div>"
+    read = lambda page: html_text.main_text(page, html_text.DEFAULT)
+    wrappers = ("<div class='layout has-sidebar'>", "<div id='page' class='menu-open'>", "<div class='search-result'>", "<div class='search'>", "<div id='nav-page'>", "<div class='ad-page'>", "<form id=aspnetForm>", "<header>")
+    for start in wrappers:
+        end = f"</{html_text._PART.findall(start)[0]}>"
+        inner = f"<h1>The title</h1><article><p>{words}</p></article>"
+        assert words in read(f"<body>{start}{inner}{end}{line}</body>"), start
+        # The label is not what brings it back.
+        assert words in read(f"<body>{start}{inner.replace('article', 'div')}{end}{line}</body>"), start
+    # More comments than text, a menu or a form beside it, stay what they are.
+    comments = f"<section id='comments'><p>{other}</p></section>"
+    assert read(f"<div class='search'><p>{words}</p></div>{comments}") == words
+    assert read(f"<div><p>{words}</p></div>{comments}") == words
+    menu = "<div class='menu'>" + "<li><a href='/'>one more link</a></li>" * 60 + "</div>"
+    assert read(f"{menu}<form>Log in here</form><div><p>{words}</p></div>") == words
+    for head in ("<div class='entry-header'><h1>The title</h1></div>", "<header><h1>The title</h1></header>"):
+        assert read(f"<header>Site name</header><article>{head}<p>{words}</p><form>Ask us</form></article>") == f"The title\n\n{words}"
+    # Marked elements side by side and one within the other, and many of them.
+    assert read(f"<form><div class=menu><p>{words}</p></div></form><form><p>few words</p></form>{line}") == words
+    assert read("<div class=ad>" * 3000 + "deep") == "deep"
+
+
 def test_best_stretch():
     assert html_text.best_stretch([-1, 2, -1, 3, -5, 3]) == (1, 4)
     assert html_text.best_stretch([]) == (0, 0)

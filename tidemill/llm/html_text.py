@@ -3,8 +3,10 @@
 A page is read as a sequence of words and tags. Words score positive, less so in links
 and list items; tags score negative, by how seldom their kind occurs within the content
 of labelled pages. The content is the contiguous stretch with the largest sum, found in
-one scan. Elements that never are content (menus, footers, scripts, adverts, comments
-and the like) give no words to the sequence, and none to the text of the stretch.
+one scan. Elements that never are content (menus, footers, scripts and the like) give no
+words to the sequence, and none to the text of the stretch. Nor do those that a class,
+id or role, `form` or `header` mark as something else, unless they hold so much of the
+page that they must be its wrapper, or a heading of the content.
 
 Weights are counted on a bounded sample of pages that label their content themselves by
 an `article` or `main` element; extraction covers the whole of every page. There and
@@ -29,7 +31,7 @@ from tidemill.llm.common import column, free_name
 # Elements by their part in a page.
 RAW = ("script", "style", "textarea", "title", "xmp", "noframes", "iframe", "noembed")
 NEVER = (
-    "head nav header footer aside form script style noscript template svg math canvas select button"
+    "head nav footer aside script style noscript template svg math canvas select button"
     " iframe object embed applet audio video map dialog menu title textarea noframes noembed xmp datalist"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
@@ -39,17 +41,29 @@ BLOCK = (
     " search section summary table tbody td tfoot th thead title tr ul"
 ).split()
 CONTENT = ("article", "main")
-# Words in a class, id or role that mark an element as no content.
+# Elements, and words in a class, id or role, that mark a part of the page's layout; pages
+# are wrapped in such elements, too.
+LAYOUT_TAGS = ("form", "header")
+LAYOUT = frozenset(
+    (
+        "sidebar sidebars menu menus nav navbar navigation footer header masthead banner notice notices alert"
+        " popup modal overlay signup login widget widgets toolbar form search complementary contentinfo"
+    ).split()
+)
+# Words that say what is in an element, and that it is no content.
 MARKS = frozenset(
     (
         "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion"
-        " sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead banner"
-        " cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe"
-        " subscription signup login share sharing social related recommended teaser teasers widget widgets toolbar"
-        " pagination pager comment comments commentlist respond reply replies disqus discussion form search"
-        " complementary contentinfo"
+        " breadcrumb breadcrumbs cookie cookies consent gdpr notification newsletter subscribe subscription share"
+        " sharing social related recommended teaser teasers pagination pager comment comments commentlist respond"
+        " reply replies disqus discussion"
     ).split()
 )
+# Beside such a word a mark tells the page's state, or is the content's own part.
+STATES = frozenset("has with without no not open opened closed collapsed expanded".split())
+OWN = {"header": frozenset("entry post article story content".split()), "search": frozenset("result results".split())}
+# Share of the page's score from which an element is its wrapper, by the kind of its mark.
+WRAPPER = {1: 0.5, 2: 0.95}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
@@ -84,29 +98,94 @@ class Page:
         return list(zip(self.texts, self.tags, self.weak, self.barred, self.labelled, strict=True))
 
 
-def _marked(attributes: str) -> bool:
-    """Whether class, id or role say that an element is no content."""
+def _marked(attributes: str) -> int:
+    """2 if class, id or role say that an element is no content, 1 if part of the layout."""
+    kind = 0
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(_PART.findall(value)):
-            return True
-    return False
+            return 2
+        if name not in ("class", "id", "role"):
+            continue
+        for term in value.split():
+            parts = set(_PART.findall(term))
+            if not STATES.isdisjoint(parts):
+                continue
+            if not MARKS.isdisjoint(parts):
+                return 2
+            if any(parts.isdisjoint(OWN.get(m, ())) for m in parts & LAYOUT):
+                kind = 1
+    return kind
+
+
+def _settle(page: Page, inner: list[int], above: list[int], kinds: list[int]) -> None:
+    """Bar what lies in marked elements, but for those that are the page's wrapper.
+
+    `inner` is the innermost marked element of each item, `above` the one around each of
+    these, -1 for none. An element of the layout is measured against all that lies in no
+    element of the other kind, or against the whole page.
+    """
+    size = [0.0] * len(page.texts)
+    for i, text in enumerate(page.texts):
+        if page.tags[i] is None and not page.barred[i]:
+            size[i] = _words(text) * (DEFAULT.weak if page.weak[i] else DEFAULT.word)
+    strong = [False] * len(kinds)
+    for k, up in enumerate(above):
+        strong[k] = kinds[k] == 2 or up >= 0 and strong[up]
+    held, plain = [0.0] * len(kinds), [0.0] * len(kinds)
+    all_plain = 0.0
+    for k, s in zip(inner, size, strict=True):
+        is_plain = k < 0 or not strong[k]
+        all_plain += s * is_plain
+        if k >= 0:
+            held[k] += s
+            plain[k] += s * is_plain
+    for k in range(len(kinds) - 1, -1, -1):
+        if above[k] >= 0:
+            held[above[k]] += held[k]
+            plain[above[k]] += plain[k]
+    total = sum(size)
+    bars = [False] * len(kinds)
+    for k, up in enumerate(above):
+        wraps = held[k] > WRAPPER[2] * total or kinds[k] == 1 and plain[k] > WRAPPER[1] * all_plain
+        bars[k] = not wraps or up >= 0 and bars[up]
+    page.barred = [b or k >= 0 and bars[k] for b, k in zip(page.barred, inner, strict=True)]
 
 
 def read_page(source: str, by_marks: bool = True) -> Page:
     """Split a page into texts and tags; broken markup is taken as browsers would."""
     page = Page()
-    open_: list[tuple[str, bool]] = []  # names of open elements, and whether they bar
+    # Names of open elements, whether they bar, and whether they are marked.
+    open_: list[tuple[str, bool, bool]] = []
+    inner: list[int] = []
+    above: list[int] = []
+    kinds: list[int] = []
+    mark = -1
     bars = links = content = 0
+
+    def add(text: str, tag: str | None, weak: bool) -> None:
+        page.add(text, tag, weak, bars > 0, content > 0)
+        inner.append(mark)
+
+    def close() -> str:
+        nonlocal bars, links, content, mark
+        gone, barring, marked = open_.pop()
+        bars -= barring
+        links -= gone in ("a", "li")
+        content -= gone in CONTENT
+        if marked:
+            mark = above[mark]
+        return gone
+
     at = 0
     while True:
         found = _TOKEN.search(source, at)
         text = source[at : found.start() if found else len(source)]
         if text:
-            page.add(text, None, links > 0, bars > 0, content > 0)
+            add(text, None, links > 0)
         if not found:
+            if kinds:
+                _settle(page, inner, above, kinds)
             return page
         at = found.end()
         name = (found[2] or found[5] or "").lower()
@@ -114,34 +193,36 @@ def read_page(source: str, by_marks: bool = True) -> Page:
             continue
         attributes = found[3] or found[6] or ""
         if found[1] or found[4]:
-            if name not in VOID and any(n == name for n, _ in open_):
-                while True:
-                    gone, barring = open_.pop()
-                    bars -= barring
-                    links -= gone in ("a", "li")
-                    content -= gone in CONTENT
-                    if gone == name:
-                        break
-            page.add("", "/" + name, False, bars > 0, content > 0)
+            if name not in VOID and any(o[0] == name for o in open_):
+                while close() != name:
+                    pass
+            add("", "/" + name, False)
             continue
         if name == "p" or name in BLOCK:
             # A block ends an open paragraph, as does a list item its predecessor.
             ends = "li" if name == "li" else "p"
             if open_ and open_[-1][0] == ends:
-                gone, barring = open_.pop()
-                bars -= barring
-                links -= gone in ("a", "li")
-        page.add("", name, False, bars > 0, content > 0)
+                close()
+        add("", name, False)
         if name in VOID:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(source, at)
             at = end.start() if end else len(source)
-        barring = name in NEVER or by_marks and name not in ("html", "body", *CONTENT) and bool(attributes) and _marked(attributes)
+        kind = 0
+        if by_marks and name not in ("html", "body", *CONTENT):
+            kind = _marked(attributes) if attributes else 0
+            # The header of the content is its heading.
+            if name in LAYOUT_TAGS and not (name == "header" and content):
+                kind = max(kind, 1)
         if attributes.rstrip().endswith("/") and name in ("svg", "path", "math"):
             continue
-        open_.append((name, barring))
-        bars += barring
+        open_.append((name, name in NEVER, kind > 0))
+        if kind:
+            above.append(mark)
+            kinds.append(kind)
+            mark = len(kinds) - 1
+        bars += name in NEVER
         links += name in ("a", "li")
         content += name in CONTENT
 
@@ -173,7 +254,7 @@ def _expected(tag: str) -> float:
     name = tag.lstrip("/")
     if name in ("p", "br", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figure", "figcaption", "img"):
         return 0.95
-    if name in ("html", "body", "head", *CONTENT, *NEVER):
+    if name in ("html", "body", "head", *CONTENT, *LAYOUT_TAGS, *NEVER):
         return 0.02
     if name in BLOCK:
         return 0.7 if name in ("li", "ul", "ol", "dl", "dt", "dd", "td", "th", "tr", "tbody", "table") else 0.4
@@ -229,7 +310,8 @@ def main_text(source: str | None, weights: Weights) -> str:
     """Blocks of the content, white space within them made single, joined by two \\n.
 
     Empty for null or a page without words. Character references are decoded after the
-    markup is gone. If marks bar the whole page they are set aside.
+    markup is gone. If marks bar the whole page, forms and headers among them, they are
+    set aside.
     """
     for by_marks in (True, False):
         page = read_page(source or "", by_marks)
