@@ -37,15 +37,16 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Groups are linked by five-word shingles of similarity 0.8 or more. Documents
     without an id or without words belong to no group and stay.
     """
-    docs = docs.select(*COLUMNS)
-    groups = stage(near_dups.near_duplicates(docs).select("doc_id", "kept"), "groups")
-    kept = docs.join(groups.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
-    repeated = groups.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    repeated = stage(repeated.select("doc_id"), "repeated")
+    docs = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    key = ["doc_id", "text_hash"]  # an id may have several texts, each with its own group
+    groups = stage(near_dups.near_duplicates(docs, hash_as="text_hash").select(*key, "kept"), "groups")
+    kept = docs.join(groups.filter("not kept").select(*key), key, "left_anti")
+    repeated = groups.filter("kept and doc_id is not null").groupBy(*key).count().filter("count > 1")
+    repeated = stage(repeated.select(*key), "repeated")
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(once)
+        return kept.select(*COLUMNS)
+    once = kept.join(repeated, key, "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, key, "left_anti").select(*COLUMNS).unionByName(once)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

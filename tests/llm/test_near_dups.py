@@ -72,6 +72,26 @@ def test_odd_rows(spark, odd_docs):
     assert nameless["kept"] and nameless["component_id"] != nameless["component_id"]
 
 
+def test_texts_of_one_id(spark):
+    """Each text of an id has links of its own; each finds its group."""
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefgh"]
+    rows = [(1, t) for t in texts] + [(100 + i, t + " end") for i, t in enumerate(texts)]
+    # Two texts of id 5 that are alike, one of which is linked with a smaller id.
+    rows += [(3, texts[0] + " more"), (5, "p " * 3 + texts[0]), (5, "other words than all of those above")]
+    # Alike, and of one id: one is kept.
+    rows += [(7, " ".join(f"z{i}" for i in range(60)) + end) for end in ("", " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dups.near_duplicates(docs, size=2, hash_as="h")
+    assert got.columns[-1] == "h"
+    by = {(r["doc_id"], r["h"]): r for r in got.collect()}
+    hashed = {(r["doc_id"], r["text"]): by[r["doc_id"], r["h"]] for r in docs.selectExpr("*", "xxhash64(text) as h").collect()}
+    assert all(hashed[100 + i, t + " end"]["component_id"] == 1 for i, t in enumerate(texts))
+    assert not any(hashed[100 + i, t + " end"]["kept"] for i, t in enumerate(texts))
+    assert all(hashed[1, t]["component_id"] == 1 and hashed[1, t]["kept"] for t in texts)
+    assert (hashed[5, rows[-4][1]]["component_id"], hashed[5, rows[-3][1]]["component_id"]) == (1, 5)
+    assert sum(r["kept"] for (n, _), r in hashed.items() if n == 7) == 1
+
+
 def test_no_rows(spark, odd_docs):
     assert near_dups.near_duplicates(odd_docs.limit(0)).count() == 0
 

@@ -73,6 +73,15 @@ def test_repeated_rows_go_in_dedup(spark, odd_docs):
     assert got == [-1, 1, 3, 4, 5, 6, 7, 8]
 
 
+def test_dedup_goes_by_text_within_an_id(spark):
+    """A copy goes, another text of the same id stays."""
+    copy, own = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, copy), (2, copy), (2, own), (3, own + " end"), (4, own), (4, own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' lang", "'a' source", "1L n_chars")
+    got = pipeline.dedup(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, copy), (2, own)]
+
+
 def test_mix_keeps_repeated_rows(spark, odd_docs):
     got = pipeline.mix(spark, odd_docs, "").toPandas()
     assert (got["doc_id"] == 2).sum() >= 2 and got["doc_id"].isna().sum() >= 1

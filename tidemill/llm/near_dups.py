@@ -109,25 +109,43 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest and signature (null for an empty set)."""
+    """doc_id, text_hash, n_shingles, digest and signature (null for an empty set)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in rows:
-            for a, b in tokens.slices(batch.column(1)):
+            for a, b in tokens.slices(batch.column(2)):
                 part = batch.slice(a, b - a)
-                flat, sizes = shingle_sets(part.column(1), size)
+                flat, sizes = shingle_sets(part.column(2), size)
                 cuts = np.cumsum(sizes) - sizes
                 digests = [xxhash.xxh3_128_digest(flat[c : c + n]) if n else None for c, n in zip(cuts.tolist(), sizes.tolist(), strict=True)]
                 rows_of = iter(minhashes(flat, sizes))
                 signatures = [next(rows_of).tobytes() if n else None for n in sizes.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                    ["doc_id", "n_shingles", "digest", "signature"],
+                    [part.column(0), part.column(1), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
+                    ["doc_id", "text_hash", "n_shingles", "digest", "signature"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest binary, signature binary")
+
+
+def _classes(signed: DataFrame) -> DataFrame:
+    """digest, rep, signature, and the id and text_hash of one row, for each distinct set.
+
+    rep stands for the class: its smallest id, or numbers made of the digests where an
+    id has several texts that would share it.
+    """
+    first = F.min(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("id_hash"))).alias("first")
+    usable = signed.filter("digest is not null and doc_id is not null")
+    classes = usable.groupBy("digest").agg(first, F.min("signature").alias("signature"))
+    classes = stage(classes.select("digest", "first.*", "signature"), "classes")
+    rep, salt = F.col("id"), 0
+    while not classes.groupBy(rep.alias("rep")).count().filter("count > 1").isEmpty():
+        salt += 1
+        # One bit less, as numbers are negated.
+        rep = F.shiftrightunsigned(F.xxhash64("digest", F.lit(salt)), 1)
+    return classes.withColumn("rep", rep)
 
 
 def _matrix(signatures: pa.Array) -> np.ndarray:
@@ -164,7 +182,7 @@ def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """rep and shingles (sorted hashes) of the representatives in `wanted`."""
+    """rep and shingles (sorted hashes) of the classes in `wanted`, each from its own row."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -183,15 +201,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 )
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(mine, pa.int64())), sets], ["rep", "shingles"])
 
-    texts = docs.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "digest", "text")
+    own_row = (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("id_hash"))
+    texts = docs.join(wanted, own_row).select("rep", "digest", "text")
     return texts.mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links among pairs: percent of the union's shingles at least are shared."""
     near = stage(_close(pairs, classes), "near")
-    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    wanted = ids.join(classes, F.col("id") == F.col("rep")).select("rep", "digest")
+    reps = near.select(F.col("a").alias("of")).union(near.select("b")).distinct()
+    wanted = reps.join(classes, F.col("of") == F.col("rep")).select("rep", "digest", "id", "id_hash")
     sets = stage(_sets(docs, wanted, size), "sets")
     of = lambda x: sets.select(F.col("rep").alias(f"{x}_rep"), F.col("shingles").alias(f"{x}_set"))
     joined = near.join(of("a"), F.col("a") == F.col("a_rep")).join(of("b"), F.col("b") == F.col("b_rep"))
@@ -289,6 +308,7 @@ def near_duplicates(
     percent: int = 80,
     doc_id: str = "doc_id",
     text: str = "text",
+    hash_as: str | None = None,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
@@ -297,14 +317,15 @@ def near_duplicates(
     over links. Texts that are null, empty or without words link with nothing. Rows
     without an id link with nothing either, have no component and are kept. Repeated
     rows share their component; rows of one id with other texts go by their own text.
+    Of a component the rows of the smallest id are kept, and if that has several texts
+    in it, those of one set of shingles. `hash_as` names a column for xxhash64 of the
+    text, which tells rows of one id apart.
     """
-    docs = docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).alias("text"))
-    signed = stage(_signed(docs, size), "signed")
-    usable = signed.filter("digest is not null and doc_id is not null")
-    classes = stage(
-        usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")),
-        "classes",
+    docs = docs.select(
+        column(doc_id).cast("long").alias("doc_id"), F.xxhash64(column(text)).alias("text_hash"), column(text).alias("text")
     )
+    signed = stage(_signed(docs, size), "signed")
+    classes = _classes(signed)
     keys = _keyed(classes)
     buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("low")).filter("n > 1")
     buckets = stage(buckets.withColumnRenamed("key", "bucket"), "buckets")
@@ -334,15 +355,18 @@ def near_duplicates(
     if not near.isEmpty():
         found = _confirm(near, docs, classes, size, percent)
         components = contract(links.unionByName(found))
-    node = F.col("rep")
-    owner = _component(classes.select(F.col("digest").alias("of"), "rep"), components, "component_id", node)
-    out = signed.join(
-        owner.select("of", "component_id"), (F.col("digest") == F.col("of")) & F.col("doc_id").isNotNull(), "left"
-    )
+    # A component goes by the smallest id of its classes.
+    owner = stage(_component(classes.select("digest", "id", "rep"), components, "c", F.col("rep")), "owners")
+    first = owner.groupBy("c").agg(F.min(F.struct("id", "digest")).alias("first"))
+    first = first.select(F.col("c").alias("of_c"), F.col("first.id").alias("component_id"), F.col("first.digest").alias("leads"))
+    owner = owner.join(first, F.col("c") == F.col("of_c"))
+    owner = owner.select(F.col("digest").alias("of"), "component_id", (F.col("digest") == F.col("leads")).alias("leads"))
+    out = signed.join(owner, (F.col("digest") == F.col("of")) & F.col("doc_id").isNotNull(), "left")
     own = F.coalesce("component_id", F.col("doc_id"))
     return out.select(
         F.col("doc_id").alias(doc_id),
         "n_shingles",
         own.alias("component_id"),
-        F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
+        F.coalesce((F.col("doc_id") == own) & F.coalesce("leads", F.lit(True)), F.lit(True)).alias("kept"),
+        *([] if hash_as is None else [F.col("text_hash").alias(hash_as)]),
     )
