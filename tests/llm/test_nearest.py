@@ -34,6 +34,18 @@ def test_ties_repeats_and_rows_that_take_no_part(spark):
     assert (got["score"] == 5.0).all()
 
 
+def test_clusters_that_share_cells(spark):
+    """All neighbours of a query lie in one bucket of each table."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(400, 8))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    x = (centres[:, None] + rng.normal(scale=1e-5, size=(400, 11, 8))).reshape(-1, 8)
+    rows = [(i, v.tolist(), 0, 0, 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id int, cell int, of int")
+    got = ann.search(df, df.filter("vec_id % 11 = 0"), k=10, tables=ann.Tables(probes=30)).toPandas()
+    assert (got["vec_id"] // 11 == got["query_id"] // 11).groupby(got["query_id"]).sum().eq(10).all()
+
+
 def test_fewer_rows_than_wanted(spark):
     rng = np.random.default_rng(1)
     df = spark.createDataFrame([(i, rng.normal(size=8).tolist(), 0, 0, 0) for i in range(6)], SCHEMA)

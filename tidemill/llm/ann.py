@@ -184,6 +184,12 @@ def search(
         x, ids = _matrix(right["vector"]), right["id"].to_numpy()
         names, of_row = np.unique(right["code"].to_numpy(), return_inverse=True)
         first_table = right["of"].to_numpy() == 0
+        # Rows by how often their id came before: a row comes once from each table.
+        uniques, of_id = np.unique(ids, return_inverse=True)
+        by_id = np.argsort(of_id, kind="stable")
+        nth_of_id = np.empty(len(ids), np.int64)
+        nth_of_id[by_id] = np.arange(len(ids)) - np.searchsorted(of_id[by_id], of_id[by_id])
+        repeats = [np.flatnonzero(nth_of_id == n) for n in range(nth_of_id.max() + 1)]
         q, asks = _matrix(left["vector"]), left["id"].to_numpy()
         codes = left["codes"].combine_chunks()
         out = []
@@ -199,6 +205,13 @@ def search(
             seen = visited[:, of_row]
             seen[lengths == 0] = first_table  # compared with every row, each of which is once in a table
             seen &= asks[a : a + 256, None] != ids
+            if len(repeats) > 1:
+                # A row that several tables offer takes one of the k places.
+                taken = np.zeros((len(lengths), len(uniques)), bool)
+                for rows_of in repeats:
+                    fresh = seen[:, rows_of] & ~taken[:, of_id[rows_of]]
+                    seen[:, rows_of] = fresh
+                    taken[:, of_id[rows_of]] |= fresh
             s = np.where(seen, q[a : a + 256] @ x.T, -np.inf)
             # Rows of nearly equal product are kept for the exact order.
             low = s.max(axis=1) if s.shape[1] <= 1 else np.partition(s, -min(k, s.shape[1]), axis=1)[:, -min(k, s.shape[1])]
@@ -207,10 +220,6 @@ def search(
             exact = (q[a + i] * x[j]).sum(axis=1)
             order = np.lexsort((ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
-            # A row may come from several tables; one is enough.
-            once = np.ones(len(i), bool)
-            once[1:] = (i[1:] != i[:-1]) | (ids[j][1:] != ids[j][:-1])
-            i, j, exact = i[once], j[once], exact[once]
             nth = np.arange(len(i)) - np.searchsorted(i, i)
             top = nth < k
             out.append((asks[a + i[top]], ids[j[top]], exact[top]))
