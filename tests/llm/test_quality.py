@@ -82,6 +82,19 @@ def test_classifier_thresholds_are_ordered():
     assert above[0].sum() < above[1].sum() < above[2].sum()
 
 
+def test_classifier_takes_one_row_of_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_model, "fit", lambda texts, grades, prior: seen.append((texts, grades)))
+    rows = [(1, f"text {i}") for i in range(200)] + [(2, None), (2, None), (3, "own text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    for part in (docs, docs.orderBy("text").repartition(3)):
+        quality_model.fit_sample(part, labels)
+    (texts, grades), again = seen
+    assert grades == [2, 0, 1] and texts[0].startswith("text ") and texts[1:] == [None, "own text"]
+    assert again == (texts, grades)
+
+
 def test_classifier_on_odd_rows(spark, odd_docs, odd_labels):
     model = quality_model.fit_sample(odd_docs, odd_labels)
     got = quality_model.score(odd_docs, model)

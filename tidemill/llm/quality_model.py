@@ -159,7 +159,10 @@ def grade_of(quality: Column, toxic: Column) -> Column:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id: str = "doc_id", text: str = "text") -> Model | None:
-    """Fit on a bounded sample; of several ratings of a document the lowest counts."""
+    """Fit on a bounded sample; of several ratings of a document the lowest counts.
+
+    Of rows that repeat an id the text with the lowest hash counts.
+    """
     rated = (
         labels.select(F.col("doc_id").alias("id"), grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
         .filter(F.col("grade").isNotNull() & F.col("id").isNotNull())
@@ -172,6 +175,8 @@ def fit_sample(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id
     sample = docs.select(column(doc_id).alias("id"), column(text).alias("text")).join(
         F.broadcast(chosen.select("id", "grade")), "id"
     )
+    # One row an id, so that the driver's share is bounded whatever repeats.
+    sample = sample.groupBy("id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = sample.toPandas().sort_values(["id", "grade"], kind="stable")
     texts = [None if pd.isna(t) else t for t in rows["text"]]
     prior = [0] * GRADES
