@@ -1,0 +1,117 @@
+"""The manifest against a tree built and climbed by plain loops."""
+
+import random
+import zlib
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemill.llm import manifest, queries
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf(row, text):
+    fields = [row["doc_id"], row["source"], row["lang"], row["n_chars"], text]
+    return digest("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+
+def tree(nodes):
+    """All levels, from the leaves up."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([digest("".join(below[i : i + 3])) for i in range(0, len(below), 3)])
+    return levels
+
+
+def climb(levels, at, value):
+    """(what the value folds to, siblings met)."""
+    met = []
+    for level in levels[:-1]:
+        start = at - at % 3
+        run = level[start : start + 3]
+        met += run[: at - start] + run[at - start + 1 :]
+        run[at - start] = value
+        value, at = digest("".join(run)), at // 3
+    return value, met
+
+
+def cut(row):
+    text = row["text"]
+    if text is not None and row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 2 == 0:
+        return text.replace("\n", "")
+    return text
+
+
+def brute(rows):
+    sources = {}
+    for row in rows:
+        sources.setdefault(row["source"], []).append(row)
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    order = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r, r["text"]))
+    trees = {}
+    for name in names:
+        sources[name].sort(key=order)
+        trees[name] = tree([leaf(r, r["text"]) for r in sources[name]])
+    top = tree([trees[n][-1][0] for n in names])
+    root = top[-1][0]
+    want = []
+    for k, name in enumerate(names):
+        for i, row in enumerate(sources[name]):
+            value, met = climb(trees[name], i, leaf(row, cut(row)))
+            value, more = climb(top, k, value)
+            own = trees[name][0][i]
+            want.append((row["doc_id"], own, trees[name][-1][0], root, digest("".join(met + more)), value, value == root))
+    return sorted(want, key=str)
+
+
+def answer(docs):
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    text = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    built = manifest.build(docs.withColumn("tampered", manifest.leaf_hash({"text": text})), found="tampered")
+    return sorted(map(tuple, manifest.verify(built).collect()), key=str)
+
+
+def test_query(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = queries.op11_merkle_manifest(spark, "/root/testdata/sf0.01")
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    found = sorted(map(tuple, got.collect()), key=str)
+    assert found == brute([r.asDict() for r in docs.collect()])
+    assert {r[-1] for r in found} == {True, False}
+
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+@pytest.mark.parametrize("sizes", [[1], [2, 1, 1], [3, 4, 9, 10], [1500, 28, 1, 0, 729, 730], [1] * 40])
+def test_sizes(spark, sizes, monkeypatch):
+    """Sources of one row, of whole and broken runs, and of several passes; with joins and without."""
+    rows = [
+        (i * 7 % 10_007, None if s == 2 else f"s{s}é", "en", i, None if i % 11 == 0 else f"line {i}\nmore" * (i % 3))
+        for s, n in enumerate(sizes)
+        for i in range(n)
+    ]
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = brute([r.asDict() for r in docs.collect()])
+    assert answer(docs) == want
+    monkeypatch.setattr(manifest, "TOP_NODES", 5)
+    assert answer(docs) == want
+
+
+def test_odd_documents(spark, odd_docs):
+    assert answer(odd_docs) == brute([r.asDict() for r in odd_docs.select(*manifest.COLUMNS).collect()])
+
+
+def test_untouched_rows_verify(spark, odd_docs):
+    assert {r["verified"] for r in manifest.verify(manifest.build(odd_docs)).collect()} == {True}
+
+
+def test_no_rows(spark, odd_docs):
+    tree = manifest.build(odd_docs.limit(0))
+    assert tree.root is None and manifest.verify(tree).collect() == []

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm import ann, chat, html_text, lang_id, mixing, near_dups, packing, quality_model, quality_rules, sql, token_files
+from tidemill.llm import ann, chat, fingerprints, html_text, lang_id, manifest, mixing, near_dups, packing, quality_model
+from tidemill.llm import quality_rules, spelling, sql, token_files
 from tidemill.llm.common import table
 from tidemill.sources.scratch import scratch_path
 
@@ -87,6 +88,29 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, model).drop("text")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, folded anew from texts of which half have lost their line breaks."""
+    docs = table(spark, sf_dir, "documents").select(*manifest.COLUMNS)
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    tampered = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    tree = manifest.build(docs.withColumn("tampered", manifest.leaf_hash({"text": tampered})), found="tampered")
+    return manifest.verify(tree).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with the variant that stands for it."""
+    found = spelling.runs(table(spark, sf_dir, "documents"))
+    words = found.select(spelling.misspelled(F.col("doc_id"), F.col("run")).alias("word"))
+    return spelling.group_variants(spelling.vocabulary(words))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside that of its edited text."""
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,6 +124,9 @@ QUERIES = {
         op8_quality_rules,
         op9_source_mix,
         op10_quality_model,
+        op11_merkle_manifest,
+        op12_spelling_groups,
+        op13_fingerprints,
     )
 }
 # The other queries rest on learned weights, vocabularies, or a search by chance; they are
@@ -108,4 +135,6 @@ SQL = {
     "op2_near_dups": sql.near_duplicates(size=2),
     "op3_chat_format": sql.chat_format(FORGED_ID, FORGED),
     "op8_quality_rules": sql.quality_rules(),
+    "op11_merkle_manifest": sql.merkle_manifest(),
+    "op12_spelling_groups": sql.spelling_groups(),
 }

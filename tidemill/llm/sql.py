@@ -104,3 +104,91 @@ def near_duplicates(size: int, percent: int = 80) -> str:
         "doc_id <= coalesce(low, doc_id) AS kept FROM documents "
         "LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"
     )
+
+
+# The crc32 of a text's bytes, from the table of its polynomial (reversed, as a fixed value).
+_CRC_TABLE = (
+    "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), "
+    "lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"
+)
+
+
+def _crc32(text: str) -> str:
+    """Needs `crc` of `_CRC_TABLE` among the relations."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    return (
+        f"xor(list_reduce(list_concat([4294967295], list_transform(range(strlen({text})), lambda i: {byte})), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+def merkle_manifest() -> str:
+    """Levels from the leaves up, then every leaf climbs them with its own digest."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    def levels(name: str, start: str) -> str:
+        return (
+            f"{name}(tree, level, pos, h, n) AS ({start} UNION ALL SELECT tree, level + 1, pos // 3, "
+            f"sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, level, n, pos // 3)"
+        )
+
+    def climb(name: str, start: str, nodes: str) -> str:
+        before, after = (
+            f"coalesce((SELECT string_agg(s.h, '' ORDER BY s.pos) FROM {nodes} s WHERE s.tree = c.tree AND s.level = c.level "
+            f"AND s.pos // 3 = c.pos // 3 AND s.pos {sign} c.pos), '')"
+            for sign in "<>"
+        )
+        return (
+            f"{name} AS ({start} UNION ALL SELECT id, tree, level + 1, pos // 3, (n + 2) // 3, "
+            f"sha256(b || f || a), met || b || a FROM (SELECT c.*, {before} AS b, {after} AS a FROM {name} c WHERE n > 1))"
+        )
+
+    begun = "SELECT id, tree, 0 AS level, pos, n, found AS f, '' AS met FROM leaves"
+    up = (
+        "SELECT id, '' AS tree, 0 AS level, u.pos, u.n, f, met FROM climbed c JOIN upper_nodes u "
+        "ON u.level = 0 AND u.h = c.h AND u.pos = c.k"
+    )
+    return (
+        f"WITH RECURSIVE {_CRC_TABLE}, marked AS (SELECT *, CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 2 = 0 "
+        "THEN replace(text, chr(10), '') ELSE text END AS cut FROM documents, crc), "
+        f"hashed AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf('text')} AS h, {leaf('cut')} AS found FROM marked), "
+        "leaves AS (SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, h) AS id, "
+        "row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, "
+        "count(*) OVER (PARTITION BY tree) AS n FROM hashed), "
+        + levels("nodes", "SELECT tree, 0, pos, h, n FROM leaves")
+        + ", tops AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS k, count(*) OVER () AS n FROM nodes WHERE n = 1), "
+        + levels("upper_nodes", "SELECT '', 0, k, h, n FROM tops")
+        + ", "
+        + climb("climbing", begun, "nodes")
+        + ", climbed AS (SELECT c.*, tops.h, tops.k FROM climbing c JOIN tops USING (tree) WHERE c.n = 1), "
+        + climb("rising", up, "upper_nodes")
+        + ", root AS (SELECT h AS root FROM upper_nodes WHERE n = 1) "
+        "SELECT doc_id, leaves.h AS leaf, tops.h AS subroot, root, sha256(r.met) AS proof_sha256, r.f AS folded_root, "
+        "r.f = root AS verified FROM leaves JOIN tops USING (tree) JOIN rising r ON r.id = leaves.id AND r.n = 1, root"
+    )
+
+
+def spelling_groups() -> str:
+    """Near words by the texts that are left when a letter is left out."""
+    upper = "".join(map(chr, range(65, 91)))
+    return (
+        f"WITH RECURSIVE {_CRC_TABLE}, found AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, "
+        f"unnest(regexp_extract_all(translate(text, '{upper}', '{upper.lower()}'), '[a-z\u00C0-\u00FF]+')) AS run FROM documents), "
+        "pairs AS (SELECT id || ':' || run AS pair, run, count(*) AS k FROM found GROUP BY ALL), "
+        f"drawn AS (SELECT run, k, {_crc32('pair')} AS h FROM pairs, crc), "
+        "cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) "
+        "ELSE run END AS word, k FROM drawn), "
+        "words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY 1 HAVING sum(k) >= 3), "
+        "places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words), "
+        "rests AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places), "
+        "near AS (SELECT a.word, b.word AS other, b.n AS m FROM rests a JOIN rests b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word "
+        "UNION SELECT r.word, w.word, w.n FROM rests r JOIN words w ON r.rest = w.word "
+        "UNION SELECT w.word, r.word, r.n FROM rests r JOIN words w ON r.rest = w.word), "
+        "best AS (SELECT word, count(*) AS n_near, min({'m': -m, 'other': other}) AS b FROM near GROUP BY 1), "
+        "formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 2 * n THEN b.other END AS form, "
+        "CASE WHEN -b.m >= 2 * n THEN -b.m END AS form_n FROM words LEFT JOIN best USING (word)), "
+        "led AS (SELECT word, word AS root, form AS next FROM formed UNION ALL "
+        "SELECT led.word, f.word, f.form FROM led JOIN formed f ON led.next = f.word) "
+        "SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM led WHERE next IS NULL) USING (word)"
+    )
