@@ -1,5 +1,6 @@
 """Cells: every outcome, one by one and in arrays."""
 
+import random
 import unicodedata
 
 import pytest
@@ -83,7 +84,7 @@ def gathered(cells):
 def test_arrays_agree_with_single_cells(cells, strict):
     row = gathered(cells)
     raws = [F.col(c) for c in row.columns]
-    picked = lambda array: [dates.absent_cell(F.get(array, F.lit(i))) for i in range(1, len(raws))]
+    picked = lambda array: [F.get(array, F.lit(i)) for i in range(1, len(raws))]
     formatted = row.select(*picked(dates.format_cells(raws, strict=strict))).head()
     assert list(formatted) == [c[3 if strict else 2] for c in CASES]
     if not strict:
@@ -100,12 +101,31 @@ def test_unchecked_cells_have_no_suspended_state(spark):
     assert row[1] == ["ĐÌNH CHỈ"] * 3
 
 
-def test_signs_in_the_texts_change_nothing(spark):
-    texts = ["\x1f1/2/2024\x1e", "\x01", "\x02 5/3/24", "\x03", "$1 \\\\ 1/2/2024"]
-    df = spark.createDataFrame([tuple(texts)], ", ".join(f"c{i} string" for i in range(5)))
-    cells = [F.col(c) for c in df.columns]
-    got = df.select(dates.format_cells(cells)).head()[0]
-    assert got == ["01-02-2024", "SAI", "05-03-2024", "SAI", "01-02-2024"]
+# Control characters, and everything that some engine takes for the end of a line.
+BREAKS = [chr(c) for c in [*range(1, 32), 0x7F, 0x85, 0x2028, 0x2029]]
+
+
+def test_control_characters_are_text(spark):
+    """In any cell, the last one too, they are no blanks and end no search."""
+    rows = [(i, f"  {c}", f"1/2/2024{c}", f"{c}Đình chỉ{c}") for i, c in enumerate([*BREAKS, "\r\n", "$1 \\"])]
+    df = spark.createDataFrame(rows, "i int, a string, b string, c string")
+    for last in "abc":
+        cells = [F.col(c) for c in (*sorted(set("abc") - {last}), last)]
+        got = column(df, dates.format_cells(cells, unchecked=0))
+        values = {"a": "SAI", "b": "01-02-2024", "c": "ĐÌNH CHỈ"}
+        assert got == [[values[c] for c in (*sorted(set("abc") - {last}), last)]] * len(rows)
+
+
+def test_arrays_agree_on_any_text(spark):
+    draw = random.Random(11)
+    parts = [*"0123/ -\n\r\x1f\u2028", "Đình chỉ", *(f"{d}/{m}/" for d in (1, 29, 31, "09") for m in (2, 11, "03")), "24", "1900"]
+    some = lambda: "".join(draw.choices(parts, k=draw.randrange(6)))
+    df = spark.createDataFrame([(some(), some(), some()) for _ in range(3000)], "a string, b string, c string")
+    cells = [F.col(c) for c in "abc"]
+    alone = [dates.classify_cell(c, dates.extract_date(c), check_suspended=i > 0) for i, c in enumerate(cells)]
+    rows = df.select(dates.format_cells(cells), F.array(*alone)).collect()
+    assert all(together == single for together, single in rows)
+    assert len({v for together, _ in rows for v in together}) > 50
 
 
 @pytest.mark.parametrize("raw, found, value", TOUCHING)

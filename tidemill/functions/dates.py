@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemill.functions.binding import bind
+from tidemill.functions.binding import Step, bind
 
 # The texts that readers of the mart compare against.
 SUSPENDED = "ĐÌNH CHỈ"
@@ -25,7 +25,7 @@ DATE_PATTERN = r"(?:0?[1-9]|[12]\d|3[01])/(?:0?[1-9]|1[0-2])/\d{2,4}"
 STRICT_DATE_PATTERN = r"(?<!\d)" + DATE_PATTERN + r"(?!\d)"
 
 # Day-month pairs the pattern lets through that no year has.
-_IMPOSSIBLE_DAYS = ("30/02", "31/02", "31/04", "31/06", "31/09", "31/11")
+_IMPOSSIBLE_DAYS = ("30-02", "31-02", "31-04", "31-06", "31-09", "31-11")
 
 
 def extract_date(raw: Column, strict: bool = False) -> Column:
@@ -51,79 +51,58 @@ def is_blank(raw: Column) -> Column:
     return F.coalesce(F.trim(raw), F.lit("")) == ""
 
 
-def _insert(text: Column, what: str, at: int, over: int = 0) -> Column:
-    """Put `what` at a position, over so many characters. Cheaper than `concat` when a
-    lambda is interpreted."""
-    return F.overlay(text, F.lit(what), at, over)
+def _assemble(sign: str) -> Step:
+    """Day, month and year texts to `dd?MM?yyyy`; a three-digit year to NULL.
 
+    Two digits, and `00` before two digits, mean this century.
+    """
 
-def _pad(date: Column) -> Column:
-    """`d/M/y` to `dd/MM/y`; text of any other shape stays as it is."""
-    return (
-        F.when(
-            F.substring(date, 2, 1) == "/",
-            F.when(
-                F.substring(date, 4, 1) == "/", _insert(_insert(date, "0", 3), "0", 1)
-            ).otherwise(_insert(date, "0", 1)),
+    def step(parts: Column) -> Column:
+        day, month, year = (F.get(parts, F.lit(i)) for i in range(3))
+        century = F.concat(F.lit("20"), F.substring(year, -2, 2))
+        width = F.octet_length(year)
+        full = F.when(width == 2, century).when(
+            width == 4, F.when(year.startswith("00"), century).otherwise(year)
         )
-        .when(F.substring(date, 5, 1) == "/", _insert(date, "0", 4))
-        .otherwise(date)
-    )
+        return F.concat(F.lpad(day, 2, "0"), F.lit(sign), F.lpad(month, 2, "0"), F.lit(sign), full)
 
-
-def _full_year(date: Column) -> Column:
-    """`dd/MM/yy` and `dd/MM/00yy` to `dd/MM/20yy`; a three-digit year to NULL."""
-    width = F.octet_length(date)
-    century_missing = F.substring(date, 7, 2) == "00"
-    return (
-        F.when(width == 10, F.when(century_missing, _insert(date, "20", 7, 2)).otherwise(date))
-        .when(width == 8, _insert(date, "20", 7))
-        .when(width == 0, "")
-    )
+    return step
 
 
 def _impossible(date: Column) -> Column:
-    """A padded date whose month does not have that day."""
-    full = (F.octet_length(date) == 10) & (F.substring(date, 7, 2) != "00")
-    no_leap_year = F.when(
-        full, F.concat(F.substring(date, 7, 4), F.lit("-02-29")).try_cast("date").isNull()
-    ).otherwise(F.substring(date, -2, 2).cast("int") % 4 != 0)
-    return (F.substring(date, 1, 2) >= "29") & (
-        F.substring(date, 1, 5).isin(*_IMPOSSIBLE_DAYS)
-        | ((F.substring(date, 1, 5) == "29/02") & no_leap_year)
-    )
+    """A full date whose month does not have that day."""
+    year = F.substring(date, 7, 4).cast("int")
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    return F.substring(date, 1, 5).isin(*_IMPOSSIBLE_DAYS) | (date.startswith("29-02") & ~leap)
 
 
-def _finish(date: Column) -> Column:
-    """A padded date to `dd-MM-yyyy`; NULL if there is no such day."""
-    return F.when(~_impossible(date), F.replace(_full_year(date), F.lit("/"), F.lit("-")))
+def _existing(date: Column) -> Column:
+    """The date, or NULL if there is no such day; most days are in every month."""
+    return F.when((date < "29") | ~_impossible(date), date)
 
 
 def expand_year(extracted: Column) -> Column:
     """Padded `dd/MM/yyyy` text of an extracted date; short years mean 20yy."""
-    return bind(extracted, _pad, _full_year)
+    full = bind(F.split(extracted, "/"), _assemble("/"))
+    return F.when(extracted == "", "").otherwise(full)
 
 
 def normalise_date(extracted: Column) -> Column:
     """`dd-MM-yyyy` text of an extracted date; NULL if there is no such day."""
-    return bind(extracted, _pad, _finish)
+    date = bind(F.split(extracted, "/"), _assemble("-"), _existing)
+    return F.when(extracted == "", "").otherwise(date)
 
 
-def _choose(raw: Column, date: Column, check_suspended: bool | Column, strict: bool) -> Column:
-    cell = F.when(is_blank(raw), "")
-    if check_suspended is not False:
-        suspended = is_suspended(raw)
-        cell = cell.when(
-            suspended if check_suspended is True else check_suspended & suspended, SUSPENDED
-        )
-    cell = cell.when(date != "", date)
-    if not strict:
-        cell = cell.when(date.isNull(), F.lit(None))
-    return cell.otherwise(INVALID)
+def _outcome(extracted: Column, strict: bool) -> Column:
+    """A cell that is neither blank nor suspended, from its date."""
+    date = normalise_date(extracted)
+    if strict:
+        date = F.coalesce(date, F.lit(INVALID))
+    return F.when(extracted == "", INVALID).otherwise(date)
 
 
 def classify_cell(
-    raw: Column, extracted: Column, check_suspended: bool = True, strict: bool = False
+    raw: Column, extracted: Column, check_suspended: bool | Column = True, strict: bool = False
 ) -> Column:
     """`''`, the suspended marker, a `dd-MM-yyyy` date, NULL or the invalid marker.
 
@@ -131,72 +110,31 @@ def classify_cell(
     `strict` reports it as invalid instead. A suspension wins over a date in the
     same cell.
     """
-    pair = F.struct(raw.alias("raw"), normalise_date(extracted).alias("date"))
-    return bind(pair, lambda cell: _choose(cell["raw"], cell["date"], check_suspended, strict))
-
-
-# Signs that stand before the first cell and before the others, and that mark what a
-# cell has turned out to be. Control characters of the texts are replaced first.
-_HEAD, _CELL, _SUSPENDED, _DATE, _ABSENT = "\x1e", "\x1f", "\x01", "\x02", "\x03"
-_SIGNS = _HEAD + _CELL + _SUSPENDED + _DATE + _ABSENT
-_EDGE, _INNER = f"[{_HEAD}{_CELL}]", f"[^{_HEAD}{_CELL}]"
-_LEAP_YEAR = r"(?:\d\d(?:0[48]|[2468][048]|[13579][26])|(?:[02468][048]|[13579][26])00)(?!\d)"
-
-
-def _joined(raws: Sequence[Column], absent: str) -> Column:
-    cells = [F.coalesce(F.translate(raw, _SIGNS, "\x04" * len(_SIGNS)), F.lit(absent)) for raw in raws]
-    signs = [_HEAD] + [_CELL] * (len(cells) - 1)
-    return F.concat(*[part for sign, cell in zip(signs, cells) for part in (F.lit(sign), cell)])
-
-
-def _cells(joined: Column) -> Column:
-    return F.split(F.substr(joined, F.lit(2)), _EDGE)
+    return (
+        F.when(is_blank(raw), "")
+        .when(F.lit(check_suspended) & is_suspended(raw), SUSPENDED)
+        .otherwise(bind(extracted, lambda date: _outcome(date, strict)))
+    )
 
 
 def extract_cells(raws: Sequence[Column], strict: bool = False) -> Column:
-    """`extract_date` of many cells as one array: passes over their joined text.
+    """`extract_date` of many cells as one array.
 
-    Higher-order functions are interpreted; a few built-in passes over one string run in
-    generated code and cost a fraction of 27 calls each.
+    One expression over the array, however many cells there are: 27 of them written out
+    make a method too long for the JVM to compile, which costs twice as much.
     """
-    pattern = STRICT_DATE_PATTERN if strict else DATE_PATTERN
-    found = F.regexp_replace(_joined(raws, _ABSENT), f"({_EDGE}){_INNER}*?({pattern}){_INNER}*", f"$1{_DATE}$2")
-    rest = F.regexp_replace(found, f"({_EDGE})(?![{_DATE}{_ABSENT}]){_INNER}+", "$1")
-    return _cells(F.replace(rest, F.lit(_DATE), F.lit("")))
+    return F.transform(F.array(*raws), lambda raw: extract_date(raw, strict))
 
 
 def format_cells(raws: Sequence[Column], unchecked: int = 1, strict: bool = False) -> Column:
-    """Extract and classify many raw cells as one array; `absent_cell` marks NULL.
+    """Extract and classify many raw cells as one array.
 
-    Gives what `classify_cell` of each cell's first date gives. The first cell is not
-    asked for a suspension if `unchecked` is 1. The cells are joined and settled by
-    passes over the whole text, in an order in which no pass touches what is settled.
+    Gives what `classify_cell` of each cell's first date gives. The first `unchecked`
+    cells are not asked for a suspension.
     """
-    pattern = STRICT_DATE_PATTERN if strict else DATE_PATTERN
-    asked = _CELL if unchecked else _HEAD + _CELL
-    passes = [
-        (f"([{asked}]){_INNER}*?{SUSPENDED_TEXT}{_INNER}*", f"$1{_SUSPENDED}"),
-        (f"({_EDGE}){_INNER}*?({pattern}){_INNER}*", f"$1{_DATE}$2"),
-        (f"({_EDGE})(?![{_SUSPENDED}{_DATE}]| *(?:{_EDGE}|$)){_INNER}+", f"$1{INVALID}"),
-        (f"({_EDGE}) +(?={_EDGE}|$)", "$1"),
-        (f"{_DATE}(?=\\d/)", f"{_DATE}0"),
-        (f"(?<head>{_DATE}\\d\\d/)(?=\\d/)", "${head}0"),
-        (f"(?<head>{_DATE}\\d\\d/\\d\\d/)(?:00)?(?<year>\\d\\d)(?!\\d)", "${head}20${year}"),
-        (
-            f"{_DATE}(?:(?:{'|'.join(_IMPOSSIBLE_DAYS)})/\\d+|29/02/(?!{_LEAP_YEAR})\\d+|\\d\\d/\\d\\d/\\d{{3}}(?!\\d))",
-            INVALID if strict else _ABSENT,
-        ),
-        (f"{_DATE}(\\d\\d)/(\\d\\d)/", "$1-$2-"),
-    ]
-    text = F.lower(_joined(raws, ""))
-    for what, by in passes:
-        text = F.regexp_replace(text, what, by)
-    return _cells(F.replace(text, F.lit(_SUSPENDED), F.lit(SUSPENDED)))
-
-
-def absent_cell(cell: Column) -> Column:
-    """NULL for a cell that the joined passes found absent."""
-    return F.nullif(cell, F.lit(_ABSENT))
+    return F.transform(
+        F.array(*raws), lambda raw, i: classify_cell(raw, extract_date(raw, strict), i >= unchecked, strict)
+    )
 
 
 def last_position(cells: Column, value: str = SUSPENDED) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import dates
+from tidemill.functions.names import fresh_name, quoted
 
 # Source column -> name in the mart, in position order 1-27. Three of
 # the source names do not follow the naming of their neighbours.
@@ -83,9 +84,13 @@ EXTRACTED_COLUMNS = tuple(map(extracted_name, SHORT_NAMES))
 FORMATTED_COLUMNS = tuple(map(formatted_name, SHORT_NAMES))
 
 
+# Wide projections are written as expressions in one call: each column object costs
+# several calls into the JVM, and fifteen tables of thirty columns some ten seconds.
+
+
 def select_renamed(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Keep the columns named in `mapping`, in its order, under their new names."""
-    return df.select(*[F.col(old).alias(new) for old, new in mapping.items()])
+    return df.selectExpr(*[f"{quoted(old)} AS {quoted(new)}" for old, new in mapping.items()])
 
 
 def with_tag(df: DataFrame, tag: str, name: str = KIND) -> DataFrame:
@@ -100,36 +105,31 @@ def union_tagged(branches: Mapping[str, DataFrame], name: str = KIND) -> DataFra
     numbers and fail on the first one that is not. The tag is a literal per branch,
     so a reader who filters on it scans only the branches it asks for.
     """
-    first = next(iter(branches.values()))
-    width = len(first.columns)
-    types = [[b.schema[i].dataType.simpleString() for b in branches.values()] for i in range(width)]
-
-    def aligned(df: DataFrame) -> DataFrame:
-        if len(df.columns) != width:
-            raise ValueError(f"expected {width} columns, got {df.columns}")
-        return df.select(
-            *[
-                (
-                    F.col(df.columns[i]).cast("string")
-                    if "string" in types[i] and len(set(types[i])) > 1
-                    else F.col(df.columns[i])
-                ).alias(first.columns[i])
-                for i in range(width)
-            ]
-        )
+    schemas = {tag: df.schema for tag, df in branches.items()}
+    first = next(iter(schemas.values())).names
+    width = len(first)
+    for schema in schemas.values():
+        if len(schema) != width:
+            raise ValueError(f"expected {width} columns, got {schema.names}")
+    kinds = [{s[i].dataType.simpleString() for s in schemas.values()} for i in range(width)]
+    as_text = [len(k) > 1 and "string" in k for k in kinds]
+
+    def aligned(tag: str, df: DataFrame) -> DataFrame:
+        names = schemas[tag].names
+        taken = [f"CAST({quoted(n)} AS STRING)" if text else quoted(n) for n, text in zip(names, as_text)]
+        return df.selectExpr(*[f"{value} AS {quoted(n)}" for value, n in zip(taken, first)])
 
     return reduce(
-        DataFrame.union, [with_tag(aligned(df), tag, name) for tag, df in branches.items()]
+        DataFrame.union, [with_tag(aligned(tag, df), tag, name) for tag, df in branches.items()]
     )
 
 
 def certificate_branch(df: DataFrame) -> DataFrame:
     """One source table under the common names, its date cells as strings."""
     cells = [
-        F.col(source).cast("string").alias(raw_name(short))
-        for source, short in DATE_COLUMNS.items()
+        f"CAST({quoted(source)} AS STRING) AS {quoted(raw_name(short))}" for source, short in DATE_COLUMNS.items()
     ]
-    return df.select("id", "cong_ty", *cells)
+    return df.selectExpr("id", "cong_ty", *cells)
 
 
 def coerce(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -142,22 +142,23 @@ def _raws() -> list[Column]:
     return [F.col(n) for n in RAW_COLUMNS]
 
 
-def _spread(cells: Column, names: Sequence[str]) -> list[Column]:
-    return [dates.absent_cell(F.get(cells, F.lit(i))).alias(name) for i, name in enumerate(names)]
+def _spread(cells: str, names: Sequence[str]) -> list[str]:
+    return [f"get({quoted(cells)}, {i}) AS {quoted(name)}" for i, name in enumerate(names)]
+
+
+def _with_cells(df: DataFrame, cells: Column, names: Sequence[str]) -> DataFrame:
+    held = fresh_name(df.columns, "_cells")
+    return df.select("*", cells.alias(held)).selectExpr(*map(quoted, df.columns), *_spread(held, names))
 
 
 def extract_dates(df: DataFrame, strict: bool = False) -> DataFrame:
     """Add the first date of each raw cell as text, NULL for a NULL cell."""
-    return df.select("*", dates.extract_cells(_raws(), strict).alias("_cells")).select(
-        *df.columns, *_spread(F.col("_cells"), EXTRACTED_COLUMNS)
-    )
+    return _with_cells(df, dates.extract_cells(_raws(), strict), EXTRACTED_COLUMNS)
 
 
 def format_dates(df: DataFrame, strict: bool = False) -> DataFrame:
     """Add each cell's formatted value. The issue date has no suspended state."""
-    return df.select("*", dates.format_cells(_raws(), strict=strict).alias("_cells")).select(
-        *df.columns, *_spread(F.col("_cells"), FORMATTED_COLUMNS)
-    )
+    return _with_cells(df, dates.format_cells(_raws(), strict=strict), FORMATTED_COLUMNS)
 
 
 def status_flags(last: Column, first: Column, cells: int = len(SHORT_NAMES)) -> list[Column]:
@@ -182,13 +183,15 @@ def _mart(df: DataFrame, run_ts: Column | None) -> DataFrame:
     cells = F.col("_cells")
     run = [] if run_ts is None else [run_ts.alias("dbt_updated_at")]
     placed = df.select(
+        "*", dates.last_position(cells).alias("last_dc_pos"), dates.first_position(cells).alias("first_dc_pos"), *run
+    ).selectExpr(
         "id",
         "cong_ty",
         KIND,
-        *_spread(cells, SHORT_NAMES),
-        dates.last_position(cells).alias("last_dc_pos"),
-        dates.first_position(cells).alias("first_dc_pos"),
-        *run,
+        *_spread("_cells", SHORT_NAMES),
+        "last_dc_pos",
+        "first_dc_pos",
+        *["dbt_updated_at" for _ in run],
     )
     return placed.select("*", *status_flags(F.col("last_dc_pos"), F.col("first_dc_pos")))
 

@@ -27,14 +27,13 @@ _DAY_SPELLINGS = (
 _SPELLINGS = len(_FIXED) + len(_DAY_SPELLINGS)
 
 
-def _spellings() -> list:
-    fixed = [F.lit(t).cast("string") for t in _FIXED]
-    day = [
-        F.concat(F.lit(before.strip("'")), F.date_format("o_orderdate", pattern), F.lit(after.strip("'")))
+_SPELLED = "array(" + ", ".join(
+    ["CAST(NULL AS STRING)" if t is None else f"'{t}'" for t in _FIXED]
+    + [
+        f"concat({before or chr(39) * 2}, date_format(o_orderdate, {pattern!r}), {after or chr(39) * 2})"
         for before, pattern, _, after in _DAY_SPELLINGS
     ]
-    return fixed + day
-
+) + ")"
 
 _SPELLINGS_SQL = "[" + ", ".join(
     ["NULL" if t is None else "'" + t + "'" for t in _FIXED]
@@ -57,24 +56,15 @@ def _pick(i: int) -> str:
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All orders as fifteen raw tables, with number or text ids, and one of a foreign
     kind that repeats the ids of some customers."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", f"{_SPELLED} AS spelled")
+    company = "CASE WHEN o_custkey % 50 <> 0 THEN concat('company ', o_custkey) END AS cong_ty"
+    cells = [f"get(spelled, int({_pick(i)})) AS {source}" for i, source in enumerate(certs.DATE_COLUMNS)]
 
     def raw(rows: DataFrame, id_type: str) -> DataFrame:
-        spelled = rows.withColumn("_spelled", F.array(*_spellings()))
-        company = F.when(
-            F.col("o_custkey") % 50 != 0, F.concat(F.lit("company "), F.col("o_custkey").cast("string"))
-        )
-        return spelled.select(
-            F.col("o_orderkey").cast(id_type).alias("id"),
-            company.alias("cong_ty"),
-            *[
-                F.get("_spelled", F.expr(_pick(i)).cast("int")).alias(source)
-                for i, source in enumerate(certs.DATE_COLUMNS)
-            ],
-        )
+        return rows.selectExpr(f"CAST(o_orderkey AS {id_type}) AS id", company, *cells)
 
     found = {
-        kind: raw(orders.filter(F.col("o_orderkey") % len(_KINDS) == i), "string" if i % 2 else "bigint")
+        kind: raw(orders.filter(f"o_orderkey % {len(_KINDS)} = {i}"), "string" if i % 2 else "bigint")
         for i, kind in enumerate(_KINDS)
     }
     return found | {_FOREIGN: raw(orders.filter("o_custkey % 97 = 0"), "bigint")}
