@@ -255,3 +255,54 @@ def test_maintenance_reports_failures_at_the_end(spark, namespace):
         runbook.maintain_all(spark, "spark_catalog")
     done = runbook.maintain_all(spark, "spark_catalog", steps=["properties"])
     assert [s.error for s in done] == [None]
+
+
+RAW = ["007", "7", "1e3", "true", "a b", "50%", "2024-01-31 10:00", "é/=", None]
+
+
+def stored_files(spark, base):
+    found = runbook.listing(spark, str(base)).select("partition", "length").collect()
+    sizes = {}
+    for row in found:
+        sizes.setdefault(row["partition"], []).append(row["length"])
+    return sizes
+
+
+def test_compaction_keeps_the_text_of_partitions(spark, tmp_path):
+    """Values that look like numbers, or hold signs that paths escape, stay as they are."""
+    base = str(tmp_path / "t")
+    rows = [(i, RAW[i % len(RAW)], i % 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, zip string, _first int")
+    df.repartition(6, "id").write.partitionBy("zip", "_first").parquet(base)
+    before = stored_files(spark, base)
+    chosen = runbook.compact(spark, base, min_input_files=2)
+    after = stored_files(spark, base)
+    assert sorted(chosen) == sorted(before) == sorted(after)
+    assert all(len(sizes) == 1 for sizes in after.values())
+    raw = runbook._raw_rows(spark, [base], base, ["zip"])
+    assert sorted(map(tuple, raw.select("id", "zip", "_first").collect())) == sorted(rows)
+    assert runbook.compact(spark, base, min_input_files=2) == []
+
+
+def test_compacted_files_are_near_the_target(spark, tmp_path):
+    """One folder of many files and one of a single large file; other folders share tasks."""
+    base, target = str(tmp_path / "t"), 60_000
+    text = F.concat_ws("", *[F.md5((F.col("id") * 8 + k).cast("string")) for k in range(8)])
+    rows = spark.range(4000).select("id", text.alias("text"), F.lit("many").alias("p"))
+    rows.repartition(40).write.partitionBy("p").parquet(base)
+    rows.withColumn("p", F.lit("one")).coalesce(1).write.mode("append").partitionBy("p").parquet(base)
+    for i in range(3):
+        small = rows.limit(20).withColumn("p", F.lit(f"small{i}"))
+        small.repartition(3, "id").write.mode("append").partitionBy("p").parquet(base)
+    runbook.compact(spark, base, target, min_input_files=2)
+    sizes = stored_files(spark, base)
+    for part in ("p=many", "p=one"):
+        assert len(sizes[part]) > 5
+        assert all(0.75 * target <= size <= 1.8 * target for size in sizes[part])
+    assert [len(sizes[f"p=small{i}"]) for i in range(3)] == [1, 1, 1]
+    assert spark.read.parquet(base).count() == 8060
+
+
+def test_small_folders_share_a_task():
+    rows, tasks = runbook._file_numbers([("p=a", 10), ("p=b", 250), ("p=c", 80), ("p=d", 20)], 100)
+    assert rows == [("a", 0, 1), ("b", 1, 3), ("c", 0, 1), ("d", 4, 1)] and tasks == 5

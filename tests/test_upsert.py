@@ -274,3 +274,29 @@ def test_scratch_folder_follows_the_session():
         scratch.shared_folder(Session(spark_master="yarn"))
     local = scratch.shared_folder(Session(spark_master="local[8]"))
     assert local == scratch.shared_folder(Session(spark_master="local[8]"))
+
+
+def test_instants_find_their_bucket_in_any_zone(spark, tmp_path):
+    """A key's bucket does not depend on the zone of the session that writes it."""
+    base = str(tmp_path / "t")
+    keys = spark.range(50).select(F.timestamp_seconds(F.col("id") * 86_400 + 7).alias("at"), F.lit("old").alias("v"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    stored = change.BucketedTable(base, ("at",), 8)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        stored.create(keys)
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        stored.upsert(keys.withColumn("v", F.lit("new")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert {(r["v"], r["n"]) for r in stored.read(spark).groupBy("v").agg(F.count("at").alias("n")).collect()} == {("new", 50)}
+
+
+def test_loads_with_signs_that_paths_escape(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.range(4).withColumnRenamed("id", "x")
+    for load in ("2024-01-31 10:00", "50%", "007", "7"):
+        change.append_table(rows, base, load)
+    for load, left in (("2024-01-31 10:00", 12), ("007", 8), ("50", 8), ("50%", 4)):
+        change.drop_load(spark, base, load)
+        assert change.read_table(spark, base).count() == left

@@ -3,8 +3,12 @@
 A table with keys is stored in one folder per bucket of its keys: an upsert rewrites the
 buckets it touches, once. A table without is stored in one folder per load: a load
 writes its own folder, and a load that is repeated replaces it. Both are dynamic
-overwrites of partition folders. Repeating a change that died puts right what it left.
-Tables with several writers at a time belong into a catalog.
+overwrites of partition folders: Spark writes the new folders beside the table, then
+deletes each old one and renames the new one to its place. A change that dies before
+that leaves the table as it was, and repeating it is enough. One that dies between the
+two has lost the rows of the folders it had deleted, which a repeat cannot bring back.
+Tables that need changes to be atomic, or have several writers at a time, belong into a
+catalog.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,7 +97,8 @@ class BucketedTable:
     buckets: int = 64
 
     def _bucketed(self, df: DataFrame, name: str, buckets: int) -> DataFrame:
-        number = F.pmod(F.xxhash64(*[col(k).cast("string") for k in self.keys]), F.lit(buckets))
+        # The typed values: the text of an instant differs from one session's zone to the next.
+        number = F.pmod(F.xxhash64(*map(col, self.keys)), F.lit(buckets))
         return df.withColumn(name, number.cast("int"))
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -175,4 +181,6 @@ def drop_load(spark: SparkSession, base: str, load: str) -> None:
     """Remove one load, if it is there."""
     layout = _layout(spark, base)
     if layout:
-        files.remove(spark, f"{base}/{layout[0]}={load}")
+        for path, _ in files.children(spark, f"{base}/{layout[0]}=*"):
+            if unquote(path.rsplit("/", 1)[1].partition("=")[2]) == load:
+                files.remove(spark, path)

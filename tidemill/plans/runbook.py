@@ -6,11 +6,16 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.util import inheritable_thread_target
 
+from tidemill.functions.names import col, fresh_name, quoted
 from tidemill.operators import compaction
 from tidemill.sources import catalog
 
@@ -183,28 +188,64 @@ def compact(
     """Rewrite the partition folders whose files are worth it; gives these.
 
     Planning is a query over the listing. Only folders that hold a group worth rewriting
-    are read and replaced, by a dynamic overwrite; all other files keep name and bytes.
-    The scan packs small files into splits of the target size and each split becomes one
-    file, so rows are rewritten without a shuffle. The table must be partitioned.
+    are read and replaced, by a dynamic overwrite; all other files keep name and bytes,
+    and folder names keep their text. The bytes of a folder say how many files it becomes;
+    its rows are dealt to as many tasks, so files come out near the target size however
+    the rows lay before, and small folders share a task. The table must be partitioned.
     """
-    plan = compaction.compaction_plan(listing(spark, base), target_bytes, min_input_files, rewrite_all)
+    found = listing(spark, base)
+    plan = compaction.compaction_plan(found, target_bytes, min_input_files, rewrite_all)
+    sizes = found.groupBy("partition").agg(F.sum("length").alias("bytes"))
     # A row per folder, as many as the scan's own file index holds.
-    chosen = sorted(r["partition"] for r in plan.select("partition").distinct().collect())
+    chosen = sizes.join(plan.select("partition").distinct(), "partition", "left_semi").collect()
     if not chosen:
         return []
-    if "" in chosen:
+    parts = sorted((r["partition"], r["bytes"]) for r in chosen)
+    if parts[0][0] == "":
         raise ValueError(f"{base} has data files outside partition folders")
-    names = [part.partition("=")[0] for part in chosen[0].split("/")]
-    packing = spark.newSession()
-    packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    packing.conf.set("spark.sql.files.openCostInBytes", "0")
-    packing.conf.set("spark.sql.files.minPartitionNum", "1")
-    reader = packing.read.option("basePath", base).option("mergeSchema", True)
-    rows = reader.parquet(*[f"{base}/{part}" for part in chosen])
+    names = [unquote(part.partition("=")[0]) for part in parts[0][0].split("/")]
+    rows = _raw_rows(spark, [f"{base}/{part}" for part, _ in parts], base, names)
+    numbers, total = _file_numbers(parts, target_bytes)
+    held = [fresh_name(rows.columns, f"_{c}") for c in ("first", "files")]
+    keys = [fresh_name(rows.columns, f"_part{i}_") for i in range(len(names))]
+    schema = ", ".join([*(f"{quoted(k)} string" for k in keys), *(f"{quoted(h)} int" for h in held)])
+    numbered = rows.join(
+        F.broadcast(spark.createDataFrame(numbers, schema)),
+        reduce(and_, [col(n).eqNullSafe(col(k)) for n, k in zip(names, keys)]),
+    )
+    number = col(held[0]) + F.pmod(F.monotonically_increasing_id(), col(held[1]))
     (
-        rows.write.mode("overwrite")
+        numbered.repartitionById(total, number.cast("int"))
+        .select(*map(col, rows.columns))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*names)
         .parquet(base)
     )
-    return chosen
+    return [part for part, _ in parts]
+
+
+def _raw_rows(spark: SparkSession, paths: Sequence[str], base: str, names: Sequence[str]) -> DataFrame:
+    """Rows of partition folders with the folders' own text as values: `007` is no 7."""
+    reader = spark.read.option("basePath", base)
+    fields = reader.option("mergeSchema", True).parquet(*paths).schema
+    raw = StructType([StructField(f.name, StringType()) if f.name in names else f for f in fields])
+    return spark.read.option("basePath", base).schema(raw).parquet(*paths)
+
+
+def _file_numbers(parts: Sequence[tuple[str, int]], target_bytes: int) -> tuple[list[tuple], int]:
+    """(values of the folder, its first file's number, its files) of every folder, and the
+    number of tasks. Folders of one file follow each other in a task up to the target."""
+    rows, next_number, shared, filled = [], 0, -1, 0
+    for part, size in parts:
+        values = [unquote(p.partition("=")[2]) for p in part.split("/")]
+        values = [None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values]
+        n = max(1, (2 * size + target_bytes) // (2 * target_bytes))
+        if n == 1 and shared >= 0 and filled + size <= target_bytes:
+            first, filled = shared, filled + size
+        else:
+            first, next_number = next_number, next_number + n
+            if n == 1:
+                shared, filled = first, size
+        rows.append((*values, first, n))
+    return rows, next_number

@@ -165,10 +165,13 @@ _SUMMARY_SQL = (
 
 
 def compact_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders stored in many small files by status, then compacted: the same rows."""
+    """Orders stored in many small files by status and by a text that looks like a
+    number, then compacted: the same rows in the same folders."""
     base = scratch.scratch_path(spark, "orders")
     orders = table(spark, sf_dir, "orders")
-    orders.repartition(32, "o_orderkey").write.partitionBy("o_orderstatus").parquet(base)
+    branch = F.format_string("%03d", F.col("o_custkey") % 3)
+    spread = orders.withColumn("branch", branch).repartition(32, "o_orderkey")
+    spread.write.partitionBy("o_orderstatus", "branch").parquet(base)
     runbook.compact(spark, base)
     rows = spark.read.parquet(base).select(*orders.columns)
     return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
