@@ -104,6 +104,57 @@ def test_corrupt_documents(spark, tmp_path):
     assert '"id": 3' in aside.head()[documents.CORRUPT]
 
 
+def test_documents_are_parsed_once(spark, tmp_path):
+    """Columns as the reader infers them, from one pass over the files."""
+    put(tmp_path, "a.json", [{"id": 1, "v": 1.5, "n": {"k": [1, 2]}}, {"id": 2, "v": 2, "OBJECT": None, "a b": "q", "w": True}])
+    put(tmp_path, "b.json", {"id": 99999999999999999999, "w": "s", "v": 1e300, "n": {"VOID": 1}})
+    put(tmp_path, "c.json", '{"id": ')
+    put(tmp_path, "d.json", " \n\t")
+    put(tmp_path, "e.json", "null")
+    put(tmp_path, "f.json", "[]")
+    put(tmp_path, "g.json", [7, {"id": 3}])
+    parsed = documents.parse_documents(spark, [str(tmp_path)])
+    assert text_plan(parsed).count("FileScan") == 1
+    rows = documents.typed_documents(parsed)
+    plain = documents.read_json(spark, [str(tmp_path)])
+    assert dict(rows.dtypes) == dict(plain.dtypes)
+    order = sorted(c for c in plain.columns if c != documents.CORRUPT)
+    whole = lambda df: sorted(map(str, df.filter("id is not null").select(*order).collect()))
+    assert set(whole(plain)) < set(whole(rows))
+    assert whole(rows.filter("id <> 3")) == whole(plain)
+    assert sorted(r[0] for r in rows.filter("_corrupt_record is not null").select("_corrupt_record").collect()) == ["7", "null", '{"id": ']
+
+
+def test_no_documents_that_parse(spark, tmp_path):
+    put(tmp_path, "c.json", "{")
+    rows = documents.typed_documents(documents.parse_documents(spark, [str(tmp_path)]))
+    assert rows.columns == [documents.CORRUPT] and rows.count() == 1
+
+
+def test_documents_too_long_for_a_variant(spark, tmp_path, monkeypatch):
+    """They are read with an inferred schema instead; here any broken one counts as too long."""
+    put(tmp_path, "in/app/t/2024-01-31/a.json", [{"id": 1, "x": "a"}])
+    put(tmp_path, "in/app/t/2024-01-31/b.json", "{")
+    monkeypatch.setattr(documents, "VARIANT_BYTES", 0)
+    with pytest.raises(documents.TooLong):
+        documents.typed_documents(documents.parse_documents(spark, [str(tmp_path / "in/app/t/2024-01-31")]))
+    ingest.ingest_to_folders(spark, str(tmp_path / "in"), DAY, str(tmp_path / "out"))
+    assert [r["id"] for r in change.read_table(spark, str(tmp_path / "out/stg_app/tbl_t")).collect()] == [1]
+
+
+def test_the_tasks_list_a_tree(spark, tmp_path):
+    """The same rows as the driver's file index, from folders of any depth."""
+    for path in ("a/t/2024-01-31/x.json", "a/t/2024-01-30/y é.json", "b/z.json", "top.json", "b/no.csv", "_tmp/h.json", "b/.h.json"):
+        put(tmp_path, path, {"id": path})
+    (tmp_path / "empty").mkdir()
+    for base in (str(tmp_path), f"file:{tmp_path}/"):
+        mine, index = (f(spark, base, suffix=".json") for f in (discovery.list_files, discovery.discover_files))
+        assert mine.schema.names == index.schema.names
+        seen = lambda df: sorted(map(tuple, df.select("path", "length", F.date_trunc("second", "modificationTime")).collect()))
+        assert seen(mine) == seen(index) and len(seen(mine)) == 4
+    assert discovery.list_files(spark, str(tmp_path / "absent")).count() == 0
+
+
 def test_given_schema(spark, tmp_path):
     path = put(tmp_path, "a.json", {"id": 1, "other": 2})
     schema = spark.createDataFrame([], "id bigint, v string").schema
@@ -321,3 +372,15 @@ def test_columns_are_fitted_before_a_merge(spark, tmp_path, monkeypatch):
         assert tuple(merged[0].head()) == (2, None, 5)
     finally:
         spark.sql("DROP NAMESPACE tidemill_fit CASCADE")
+
+
+def test_files_that_were_taken_up_are_moved(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, at string").schema
+    for lot in range(3):
+        put(tmp_path, f"in/d/{lot}.json", [{"id": 1, "at": f"{lot}"}, {"id": lot + 10, "at": "0"}])
+        rows = stream_json(spark, str(tmp_path / "in"), schema, archive=str(tmp_path / "taken"))
+        upsert_stream(rows, str(tmp_path / "t"), ["id"], "at", str(tmp_path / "progress"))
+    got = sorted(map(tuple, change.read_table(spark, str(tmp_path / "t")).select("id", "at").collect()))
+    assert got == [(1, "2"), (10, "0"), (11, "0"), (12, "0")]
+    assert len(list((tmp_path / "taken").rglob("*.json"))) >= 1
+    assert (tmp_path / "in/d/2.json").exists()

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import INVALID
@@ -81,27 +81,71 @@ def no_invalid_dates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _stacked(df, [_invalid_check(cols)])
 
 
+def row_checks(not_null_cols: Sequence[str] = (), date_cols: Sequence[str] = ()) -> list[tuple[str, str, Column]]:
+    """(test, column, number of failures) of the tests that look at one row at a time.
+
+    They are plain aggregates, so a job that writes the rows can count them on the way.
+    """
+    return _null_checks(not_null_cols) + ([_invalid_check(date_cols)] if date_cols else [])
+
+
 def dq_report(
     df: DataFrame,
     not_null_cols: Sequence[str] = (),
     unique_cols: Sequence[str] = (),
     accepted: dict[str, Sequence[object]] | None = None,
     date_cols: Sequence[str] = (),
+    counted: dict[tuple[str, str], int] | None = None,
 ) -> DataFrame:
-    """All tests as one report.
+    """All tests as one report, in one pass over the rows.
 
-    The row-wise tests share a pass. The grouped ones read only their own column, so
-    over a stored table each is a narrow scan.
+    Each column that is tested as a whole is a grouping set of its own, and all rows
+    are one more, over which the row-wise tests are counted. `counted` has the numbers
+    of those that have been counted before, by test and column.
     """
-    row_wise = _null_checks(not_null_cols)
-    if date_cols:
-        row_wise.append(_invalid_check(date_cols))
-    parts = [_stacked(df, row_wise)] if row_wise else []
-    parts += [unique(df, c) for c in unique_cols]
-    parts += [accepted_values(df, c, v) for c, v in (accepted or {}).items()]
-    if not parts:
+    accepted = accepted or {}
+    known = dict(counted or {})
+    row_wise = [c for c in row_checks(not_null_cols, date_cols) if c[:2] not in known]
+    tests = [c[:2] for c in row_checks(not_null_cols, date_cols)]
+    tests += [("unique", c) for c in unique_cols] + [("accepted_values", c) for c in accepted]
+    if not tests:
         raise ValueError("no test given")
-    return reduce(DataFrame.unionByName, parts)
+    columns = list(dict.fromkeys([*unique_cols, *accepted]))
+    if not columns:
+        found = _stacked(df, row_wise) if row_wise else None
+        return _with_known(df.sparkSession, found, known, tests)
+    sets = [[F.col(c)] for c in columns] + ([[]] if row_wise else [])
+    # The bit of a column is set in the groups that are not of this column.
+    every = (1 << len(columns)) - 1
+    group = {c: every ^ (1 << (len(columns) - 1 - i)) for i, c in enumerate(columns)}
+    held = {c: f"_{i}" for i, c in enumerate(columns)}
+    grouped = (
+        df.groupingSets(sets, *columns)
+        .agg(
+            F.grouping_id().alias("_group"),
+            F.count(F.lit(1)).alias("_n"),
+            *[check.alias(f"_row{i}") for i, (_, _, check) in enumerate(row_wise)],
+        )
+        .withColumnsRenamed(held)
+    )
+    of = lambda c, failed: F.count_if((F.col("_group") == group[c]) & F.col(held[c]).isNotNull() & failed)
+    checks = [
+        (test, c, F.coalesce(F.sum(F.when(F.col("_group") == every, F.col(f"_row{i}"))), F.lit(0)))
+        for i, (test, c, _) in enumerate(row_wise)
+    ]
+    checks += [("unique", c, of(c, F.col("_n") > 1)) for c in unique_cols]
+    checks += [("accepted_values", c, of(c, ~F.col(held[c]).isin(*v))) for c, v in accepted.items()]
+    return _with_known(df.sparkSession, _stacked(grouped, checks), known, tests)
+
+
+def _with_known(
+    spark: SparkSession, found: DataFrame | None, known: dict[tuple[str, str], int], tests: Sequence[tuple[str, str]]
+) -> DataFrame:
+    rows = [(*test, int(known[test])) for test in tests if test in known]
+    if not rows:
+        return found
+    held = spark.createDataFrame(rows, "test string, column string, failures bigint")
+    return held if found is None else held.unionByName(found)
 
 
 def enforce(report: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.names import fresh_name
 from tidemill.functions.paths import unified
+from tidemill.sources.files import store_of, store_options
 
 # Public defaults: snapshots expire after five days, orphans go after three.
 SNAPSHOT_AGE = timedelta(days=5)
@@ -73,36 +74,10 @@ def orphan_plan(
     return old.withColumn(key, unified(F.col("path"))).join(known, key, "left_anti").drop(key)
 
 
-# Settings of the object store client, and their names for the deleting one.
-_STORE_SETTINGS = {
-    "fs.s3a.endpoint": "endpoint_override",
-    "fs.s3a.access.key": "access_key",
-    "fs.s3a.secret.key": "secret_key",
-    "fs.s3a.session.token": "session_token",
-    "fs.s3a.endpoint.region": "region",
-}
-
-
-def store_options(spark: SparkSession) -> dict[str, str]:
-    """The session's own object store settings, for the client that the tasks use."""
-    conf = spark._jsc.hadoopConfiguration()
-    found = {name: conf.get(key) for key, name in _STORE_SETTINGS.items()}
-    return {name: value for name, value in found.items() if value}
-
-
 def _delete(path: str, options: dict[str, str]) -> str:
     """`deleted`, `absent`, or what went wrong. The path is taken as it is listed."""
-    from pyarrow import fs
-
-    scheme, mark, rest = path.partition(":")
     try:
-        if not mark or scheme == "file":
-            system, inner = fs.LocalFileSystem(), "/" + (rest if mark else path).lstrip("/")
-        elif scheme in ("s3", "s3a", "s3n"):
-            system, inner = fs.S3FileSystem(**options), rest.lstrip("/")
-        else:
-            host, _, inner = rest.lstrip("/").partition("/")
-            system, inner = fs.FileSystem.from_uri(f"{scheme}://{host}/")[0], "/" + inner
+        system, inner, _ = store_of(path, options)
         system.delete_file(inner)
     except FileNotFoundError:
         return "absent"

@@ -133,10 +133,11 @@ def ingest_day(
     and `IngestFailed` is raised at the end. Only one row per folder and table comes to
     the driver.
 
-    Two settings matter for large lakes. `schemas` gives the columns of a target, which
-    saves the pass that infers them. `day_depth` says how many levels below `base` the
-    day's folders lie, so that only these are listed; with None everything is, and a
-    day's folder counts at any depth.
+    Every file is read once: documents are stored as they are parsed, and their schema
+    is taken from the stored rows. `schemas` gives the columns of a target, which saves
+    that too. `day_depth` says how many levels below `base` the day's folders lie, so
+    that only these are listed; with None everything is, and a day's folder counts at any
+    depth.
 
     `with_day` hands `load` and `set_aside` a third value: the name of a column with the
     day of each row's file.
@@ -144,7 +145,7 @@ def ingest_day(
     if null_keys == "aside" and set_aside is None:
         set_aside = _refuse_aside
     if full_scan or day_depth is None:
-        found = discovery.discover_files(spark, base, suffix=suffix)
+        found = discovery.list_files(spark, base, suffix)
     else:
         found = discovery.discover_files(spark, base, ds, suffix, day_depth)
     listing = discovery.filter_day(found, ds, full_scan, suffix)
@@ -159,12 +160,7 @@ def ingest_day(
         try:
             paths = documents.folder_globs(sorted(folders[target]), suffix)
             schema = (schemas or {}).get(target)
-            read = documents.read_json(spark, paths, schema, keep_corrupt=True)
-            day = [fresh_name(read.columns, "_day")] if with_day else []
-            for name in day:
-                read = documents.with_day(read, name)
-            # Parsed once; what follows reads columns of the stored rows.
-            rows, staged = scratch.stage(read, "parsed")
+            rows, staged, day = _parsed(spark, paths, schema, with_day)
             try:
                 if null_keys == "aside":
                     keys = [key] if key in rows.columns else []
@@ -189,6 +185,27 @@ def ingest_day(
     return results
 
 
+def _parsed(
+    spark: SparkSession, paths: Sequence[str], schema: StructType | None, with_day: bool
+) -> tuple[DataFrame, str, list[str]]:
+    """The documents' columns from stored rows, the folder of these, and the day's column."""
+    if schema is None:
+        held = ["_day"] if with_day else []
+        parsed, staged = scratch.stage(documents.parse_documents(spark, paths, *held), "parsed")
+        try:
+            rows = documents.typed_documents(parsed)
+        except documents.TooLong:
+            files.remove(spark, staged)  # read with an inferred schema below
+        else:
+            return rows, staged, rows.columns[len(rows.columns) - len(held) :]
+    read = documents.read_json(spark, paths, schema, keep_corrupt=True)
+    day = [fresh_name(read.columns, "_day")] if with_day else []
+    for name in day:
+        read = documents.with_day(read, name)
+    rows, staged = scratch.stage(read, "parsed")
+    return rows, staged, day
+
+
 def _refuse_aside(broken: DataFrame, target: str, day: str | None = None) -> None:
     if broken.head() is not None:
         raise ValueError(f"{target} has rows without a key and no place to set them aside")

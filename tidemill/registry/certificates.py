@@ -3,13 +3,17 @@ cells, picked from fifteen spellings, most of them of its date."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tidemill.operators import certs
-from tidemill.plans.mart import build_mart, write_mart_folder
+from tidemill.plans.mart import build_mart, write_mart, write_mart_folder
 from tidemill.registry import Entry, table
-from tidemill.sources import scratch
+from tidemill.sources import catalog, scratch
 
 
 # Texts that stay as they are. The third is a suspension in decomposed letters, which
@@ -157,6 +161,67 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_mart_folder(mart(spark, sf_dir), scratch.scratch_path(spark, "mart"))
 
 
+def _raw_catalog(spark: SparkSession, sf_dir: str) -> str:
+    """The fifteen raw tables in a new namespace of the session's own catalog; its name."""
+    place = scratch.scratch_path(spark, "namespace")
+    namespace = "certs_" + place[-32:]
+    catalog.create_namespace(spark, namespace, place)
+    raw = raw_tables(spark, sf_dir)
+
+    def store(kind: str) -> None:
+        name = f"{namespace}.{certs.CERTIFICATE_TABLES[kind]}"
+        if not catalog.table_exists(spark, name):
+            catalog.create_like(raw[kind], name, "parquet", {})
+        catalog.append_to(raw[kind], name)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(inheritable_thread_target(spark)(store), certs.CERTIFICATE_TABLES))
+    return namespace
+
+
+def catalog_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart from catalog tables to a catalog table, written twice, and read back."""
+    namespace = _raw_catalog(spark, sf_dir)
+    sources = catalog.cert_sources(spark, namespace, certs.CERTIFICATE_TABLES)
+    built = build_mart(sources, F.lit("2024-01-01").cast("timestamp"))
+    name = f"{namespace}.cert_status"
+    for rows in (built.limit(3).drop("first_dc_pos"), built):
+        write_mart(rows, name, "parquet")
+    return spark.table(catalog.quoted(name)).drop("dbt_updated_at")
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the catalog says of the raw tables, and how many rows they hold."""
+    namespace = _raw_catalog(spark, sf_dir)
+    catalog.create_namespace(spark, namespace)  # it is there already
+    names = catalog.tables_in(spark, namespace)
+    for name in names:
+        catalog.set_properties(spark, name, catalog.METADATA_PROPERTIES)
+    kept = [n for n in names if catalog.METADATA_PROPERTIES.items() <= catalog.get_properties(spark, n).items()]
+    local = F.substring_index("table", ".", -1).alias("table")
+    described = catalog.describe(spark, kept).groupBy(local).agg(
+        F.count(F.lit(1)).alias("n_columns"),
+        F.max(F.when(F.col("column") == "id", F.col("data_type"))).alias("id_type"),
+    )
+    counted = [
+        spark.table(catalog.quoted(n)).agg(F.count(F.lit(1)).alias("n_rows"), F.count("cong_ty").alias("n_named")).withColumn(
+            "of", F.lit(n.rpartition(".")[2])
+        )
+        for n in names
+    ]
+    rows = reduce(DataFrame.unionByName, counted)
+    return described.join(rows, F.col("table") == F.col("of")).drop("of")
+
+
+_KIND_TABLES = ", ".join(f"('{k}', '{t}', {i})" for i, (k, t) in enumerate(certs.CERTIFICATE_TABLES.items()))
+_TABLES_SQL = (
+    f"{_COERCED_SQL}, kind_tables(kind, name, i) AS (VALUES {_KIND_TABLES}) "
+    f"SELECT name AS \"table\", {2 + len(certs.DATE_COLUMNS)} AS n_columns, "
+    "CASE WHEN max(i) % 2 = 1 THEN 'string' ELSE 'bigint' END AS id_type, count(*) AS n_rows, count(cong_ty) AS n_named "
+    f"FROM cells JOIN kind_tables ON kind = {certs.KIND} GROUP BY name"
+)
+
+
 def cert_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return certificates(spark, sf_dir)
 
@@ -212,4 +277,6 @@ ENTRIES = {
     ),
     "cert_coerce": Entry(cert_coerce, f"{_COERCED_SQL} SELECT * FROM cells"),
     "cert_status_mart": Entry(stored_mart, f"{MART_SQL} SELECT * FROM mart"),
+    "catalog_mart": Entry(catalog_mart, f"{MART_SQL} SELECT * FROM mart WHERE {certs.KIND} <> '{_FOREIGN}'"),
+    "catalog_tables": Entry(catalog_tables, _TABLES_SQL),
 }

@@ -10,7 +10,7 @@ from tidemill.operators.upsert import append, upsert
 from tidemill.plans import change, ingest
 from tidemill.registry import Entry, table
 from tidemill.sources import discovery, scratch
-from tidemill.streaming.ingest import upsert_stream
+from tidemill.streaming.ingest import stream_json, upsert_stream
 
 
 def _text(ts: Column) -> Column:
@@ -277,6 +277,44 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.withColumn("ts", _text(F.col("ts")))
 
 
+def _event_arrays(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """Arrays of the events of odd or even numbers, as JSON texts of bounded length."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_id") % 2 == day).withColumn("ts", _text(F.col("ts")))
+    arrays = events.groupBy(F.floor(F.col("event_id") / (2 * _PER_FILE)))
+    row = F.struct("event_id", "ts", "user_id", "event_type", "value", "props")
+    return arrays.agg(F.to_json(F.collect_list(row)).alias("value")).select("value")
+
+
+def stream_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON files that arrive in two lots, each taken up by a run of its own from the same
+    checkpoint; what has been taken up is moved away."""
+    base = scratch.scratch_path(spark, "json-stream")
+    schema = table(spark, sf_dir, "events").withColumn("ts", F.lit("")).schema
+    for day in (0, 1):
+        lot = _event_arrays(spark, sf_dir, day)
+        lot.write.option("maxRecordsPerFile", 1).mode("append").text(f"{base}/in/events")
+        rows = stream_json(spark, f"{base}/in", schema, suffix=".txt", archive=f"{base}/taken")
+        tie = [F.col("event_id").desc()]
+        upsert_stream(rows, f"{base}/table", ["user_id"], "ts", f"{base}/progress", tie)
+    return change.read_table(spark, f"{base}/table")
+
+
+_LINES = 50
+
+
+def path_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real files, a folder per kind and day of events, listed by the tasks."""
+    base = scratch.scratch_path(spark, "listed")
+    events = table(spark, sf_dir, "events").select(
+        "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("props").alias("value")
+    )
+    whole = events.repartition("event_type", "day").write.option("maxRecordsPerFile", _LINES)
+    whole.partitionBy("event_type", "day").text(base)
+    found = discovery.list_files(spark, base, ".txt")
+    below = F.regexp_extract("path", "(event_type=[^/]*/day=[^/]*)/[^/]*$", 1)
+    return discovery.group_files(found.select(F.lit("events").alias("target"), below.alias("folder"), "length"))
+
+
 ENTRIES = {
     "dedup_latest": Entry(dedup_latest_events, _LATEST_EVENT_SQL),
     "dedup_any": Entry(
@@ -324,4 +362,11 @@ ENTRIES = {
         "SELECT NULL, true FROM range(2)",
     ),
     "stream_upsert": Entry(stream_upsert, _LATEST_EVENT_SQL),
+    "stream_json": Entry(stream_json_files, _LATEST_EVENT_SQL),
+    "path_listing": Entry(
+        path_listing,
+        f"SELECT 'events' AS target, folder, CAST(sum(ceil(n / {_LINES}.0)) AS BIGINT) AS n_files, CAST(sum(b) AS BIGINT) AS bytes FROM "
+        "(SELECT 'event_type=' || event_type || '/day=' || strftime(ts, '%Y-%m-%d') AS folder, count(*) AS n, "
+        "sum(strlen(props) + 1) AS b FROM events GROUP BY 1) GROUP BY 2",
+    ),
 }

@@ -16,6 +16,9 @@ METADATA_PROPERTIES = {
 }
 FORMAT_PROPERTIES = {"format-version": "2"} | METADATA_PROPERTIES
 
+# Formats that Spark's own catalog keeps as folders of files.
+PLAIN_FORMATS = ("parquet", "orc", "json", "csv")
+
 
 def quoted(name: str) -> str:
     """A dotted name with every part in back-quotes."""
@@ -50,20 +53,37 @@ def list_namespaces(spark: SparkSession, root: str) -> list[str]:
 
 def list_tables(spark: SparkSession, root: str) -> list[str]:
     """Full names of the tables in every namespace under `root`."""
-    return [
-        f"{namespace}.{row['tableName']}"
-        for namespace in list_namespaces(spark, root)
-        for row in spark.sql(f"SHOW TABLES IN {quoted(namespace)}").collect()
-        if not row["isTemporary"]
+    return [table for namespace in list_namespaces(spark, root) for table in tables_in(spark, namespace)]
+
+
+def tables_in(spark: SparkSession, namespace: str) -> list[str]:
+    """Full names of the tables in one namespace."""
+    rows = spark.sql(f"SHOW TABLES IN {quoted(namespace)}").collect()
+    return [f"{namespace}.{row['tableName']}" for row in rows if not row["isTemporary"]]
+
+
+def describe(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
+    """(table, position, column, data_type) of the tables' columns, as the catalog has them."""
+    found = [
+        (name, i, field.name, field.dataType.simpleString())
+        for name in tables
+        for i, field in enumerate(spark.table(quoted(name)).schema.fields, start=1)
     ]
+    return spark.createDataFrame(found, "table string, position int, column string, data_type string")
+
+
+def get_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted(name)}")
+def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a namespace unless it is there; tables go to `location`, if one is given."""
+    place = "" if location is None else f" LOCATION {literal(location)}"
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted(name)}{place}")
 
 
 def create_like(
@@ -131,7 +151,8 @@ def merge_into(df: DataFrame, target: str, keys: Sequence[str]) -> None:
 
 
 def append_to(df: DataFrame, name: str) -> None:
-    df.writeTo(quoted(name)).append()
+    """Add rows by column name, to a table of any catalog."""
+    df.write.mode("append").saveAsTable(quoted(name))
 
 
 def replace_table(
@@ -140,9 +161,18 @@ def replace_table(
     using: str = "iceberg",
     table_properties: Mapping[str, str] = FORMAT_PROPERTIES,
 ) -> None:
-    """Replace the table's contents and columns in one commit."""
+    """Replace the table's contents and columns.
+
+    A table format with commits does so in one. Spark's own catalog has none for plain
+    file formats: there the table is dropped and written, and readers meanwhile fail.
+    """
     if parent(name):
         create_namespace(df.sparkSession, parent(name))
+    if using in PLAIN_FORMATS:
+        df.write.mode("overwrite").format(using).saveAsTable(quoted(name))
+        if table_properties:
+            set_properties(df.sparkSession, name, table_properties)
+        return
     writer = df.writeTo(quoted(name)).using(using)
     for key, value in table_properties.items():
         writer = writer.tableProperty(key, value)

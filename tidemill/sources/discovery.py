@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import paths
 from tidemill.functions.names import fresh_name
-from tidemill.sources import files
+from tidemill.sources import files, scratch
 
 
 _LISTING = "path string, length bigint, modificationTime timestamp"
@@ -40,6 +44,51 @@ def discover_files(
     )
 
 
+def list_files(spark: SparkSession, base: str, suffix: str = ".json") -> DataFrame:
+    """All files under `base`, in any depth, listed by the tasks.
+
+    Gives what `discover_files` gives for a whole tree, but folders and files are rows:
+    each round lists the folders that the last one found and stores what it sees, so
+    the driver holds no listing. Folders and files whose names begin with `_` or `.` are
+    left out, as by every Spark scan. Stores that the tasks cannot reach are listed by
+    `discover_files`.
+    """
+    if not files.in_reach_of_tasks(base):
+        return discover_files(spark, base, suffix=suffix)
+    options = files.store_options(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, inner, before = files.store_of(path, options)
+                found = store.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                found = [f for f in found if not f.base_name.startswith(("_", "."))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([before + f.path for f in found], pa.string()),
+                        pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
+                        pa.array([f.size or 0 for f in found], pa.int64()),
+                        pa.array([f.mtime for f in found], pa.timestamp("us", "UTC")),
+                    ],
+                    ["path", "folder", "length", "modificationTime"],
+                )
+
+    rounds: list[DataFrame] = []
+    folders = spark.createDataFrame([(base.rstrip("/"),)], "path string")
+    while True:
+        # Dealt out by name, so a round's folders are listed side by side.
+        found = folders.repartition("path").mapInArrow(run, f"path string, folder boolean, {_LISTING.split(', ', 1)[1]}")
+        seen, _ = scratch.stage(found, "listing")
+        rounds.append(seen)
+        folders = seen.filter("folder").select("path")
+        if folders.isEmpty():
+            break
+    listed = reduce(DataFrame.unionByName, rounds)
+    return listed.filter(~F.col("folder") & F.col("path").endswith(suffix)).drop("folder")
+
+
 def filter_day(
     listing: DataFrame, ds: str, full_scan: bool = False, suffix: str = ".json"
 ) -> DataFrame:

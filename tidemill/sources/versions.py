@@ -10,9 +10,9 @@ For tables that change often, or by several writers, use a catalog
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.sources import files
@@ -61,9 +61,15 @@ def publish(
     expected: int | None = None,
     partition_by: Sequence[str] = (),
     read_version: int | None = None,
+    counts: Mapping[str, Column] | None = None,
+    gate: Callable[[DataFrame, dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """Write `df`, check its count, make it the table.
 
+    `counts` are aggregates that the write job computes on the way. `gate` sees the
+    written rows and these numbers before anyone else; if it raises, the rows are removed
+    and the table stays as it was.
+
     `expected` defaults to the number of rows the write itself saw, counted on the way;
     the count of what was written comes from the parquet footers. `read_version` is the
     version that `df` was made from, if it was: a newer one is then a `Conflict`, as is
@@ -73,23 +79,28 @@ def publish(
     before = newest(spark, base) if read_version is None else read_version
     folder = f"data-{uuid.uuid4().hex}"
     path = f"{base}/{folder}"
-    if expected is None:
-        # Counted inside the write job, from tasks that succeeded.
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by).parquet(path)
-        expected = seen.get["rows"]
-    else:
-        df.write.partitionBy(*partition_by).parquet(path)
-    got = spark.read.schema(df.schema).parquet(path).count()
+    # Counted inside the write job, from tasks that succeeded.
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (counts or {}).items()])
+    watched.write.partitionBy(*partition_by).parquet(path)
+    found = seen.get
+    written = spark.read.schema(df.schema).parquet(path)
+    expected, got = found["rows"] if expected is None else expected, written.count()
     if got != expected:
         raise CountMismatch(f"{path} holds {got} rows, expected {expected}")
+    if gate is not None:
+        try:
+            gate(written, {n: found[n] for n in counts or {}})
+        except Exception:
+            files.remove(spark, path)
+            raise
     if newest(spark, base) != before or not files.create(
         spark, f"{base}/{_PUBLISHED}/{before + 1:012d}", folder
     ):
         files.remove(spark, path)
         raise Conflict(f"{base} has a newer version than {before}")
     _tidy(spark, base, before + 1 - RETAINED)
-    return spark.read.schema(df.schema).parquet(path)
+    return written
 
 
 def _tidy(spark: SparkSession, base: str, last: int) -> None:

@@ -14,17 +14,28 @@ from tidemill.sources import documents, files, scratch
 
 
 def stream_json(
-    spark: SparkSession, base: str, schema: StructType, files_per_batch: int = 1000
+    spark: SparkSession,
+    base: str,
+    schema: StructType,
+    files_per_batch: int = 1000,
+    suffix: str = ".json",
+    archive: str | None = None,
 ) -> DataFrame:
-    """JSON files under `base`, in any depth; a stream needs its schema up front."""
-    return (
+    """JSON files under `base`, in any depth; a stream needs its schema up front.
+
+    With `archive`, files that have been taken up are moved to that folder, under their
+    whole path, while later ones are; then listing them never grows with the history.
+    """
+    reader = (
         spark.readStream.schema(schema)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", f"*{suffix}")
         .option("maxFilesPerTrigger", files_per_batch)
-        .json(base)
     )
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.json(base)
 
 
 def upsert_stream(
