@@ -67,3 +67,13 @@ def test_odd_rows(spark, odd_docs):
     again = mixing.mix(odd_docs).toPandas()
     key = ["block", "position"]
     assert got.sort_values(key)["start"].tolist() == again.sort_values(key)["start"].tolist()
+
+
+def test_halvings_in_one_pass_are_those_one_by_one(spark, monkeypatch):
+    rows = [(f"s{i}", float(3**i)) for i in range(9)]
+    totals = spark.createDataFrame(rows, "source string, total double")
+    target = mixing.Target(repeats=4.0)
+    together = mixing.find_exponent(totals, target)
+    monkeypatch.setattr(mixing, "STEPS_AT_ONCE", 1)
+    assert mixing.find_exponent(totals, target) == together
+    assert 0 < together[0] < 1 and together[1]["repeats"] == pytest.approx(4.0, rel=1e-6)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import WORD_BREAK, column, stage
 
 STEPS = 40
+STEPS_AT_ONCE = 6
 # Permuted rows are summed up by parts first, so no source is one task's work.
 PARTS = 1024
 
@@ -50,26 +51,37 @@ def source_totals(counted: DataFrame) -> DataFrame:
     return counted.groupBy("source").agg(F.sum("tokens").alias("total")).filter("total > 0")
 
 
-def _state(totals: DataFrame, exponent: float, budget: float | None) -> dict[str, float]:
-    """Entropy and repetitions of the mix at an exponent."""
-    summed = totals.agg(F.sum("total").alias("all")).first()["all"]
-    share = F.col("total") / F.lit(float(summed))
-    raised = F.pow(share, F.lit(exponent))
-    row = totals.agg(
-        F.sum(raised).alias("z"),
-        F.sum(raised * F.log(raised)).alias("zlog"),
-        F.max(raised / F.col("total")).alias("most"),
-        F.min(raised / F.col("total")).alias("least"),
-    ).first()
-    z = row["z"]
-    drawn = z / row["least"] if budget is None else budget
-    return {
-        "z": z,
-        "all": float(summed),
-        "budget": drawn,
-        "entropy": math.log(z) - row["zlog"] / z,
-        "repeats": row["most"] / z * drawn,
-    }
+def _states(totals: DataFrame, exponents: list[float], budget: float | None) -> list[dict[str, float]]:
+    """Entropy and repetitions of the mix at each exponent, in one pass over the sources."""
+    summed = float(totals.agg(F.sum("total")).first()[0])
+    tried = F.explode(F.array(*map(F.lit, exponents))).alias("exponent")
+    shares = totals.select("total", (F.col("total") / F.lit(summed)).alias("share"), tried)
+    raised = F.pow("share", "exponent")
+    found = (
+        shares.select("exponent", "total", raised.alias("raised"))
+        .groupBy("exponent")
+        .agg(
+            F.sum("raised").alias("z"),
+            F.sum(F.col("raised") * F.log("raised")).alias("zlog"),
+            F.max(F.col("raised") / F.col("total")).alias("most"),
+            F.min(F.col("raised") / F.col("total")).alias("least"),
+        )
+        .collect()  # a row per exponent
+    )
+
+    def state(row) -> dict[str, float]:
+        z = row["z"]
+        drawn = z / row["least"] if budget is None else budget
+        return {
+            "z": z,
+            "all": summed,
+            "budget": drawn,
+            "entropy": math.log(z) - row["zlog"] / z,
+            "repeats": row["most"] / z * drawn,
+        }
+
+    by_exponent = {row["exponent"]: state(row) for row in found}
+    return [by_exponent[e] for e in exponents]
 
 
 def find_exponent(totals: DataFrame, target: Target) -> tuple[float, dict[str, float]]:
@@ -85,17 +97,26 @@ def find_exponent(totals: DataFrame, target: Target) -> tuple[float, dict[str, f
         return state["repeats"] <= target.repeats
 
     low, high = 0.0, 1.0
-    best = _state(totals, high, target.budget)
-    at_low = _state(totals, low, target.budget)
+    at_low, best = _states(totals, [low, high], target.budget)
     if within(at_low):
         return low, at_low
-    for _ in range(STEPS):
-        middle = (low + high) / 2
-        state = _state(totals, middle, target.budget)
-        if within(state):
-            high, best = middle, state
-        else:
-            low = middle
+    done = 0
+    while done < STEPS:
+        # All middles that the next halvings may come to are looked at in one pass.
+        halvings = min(STEPS_AT_ONCE, STEPS - done)
+        parts = 1 << halvings
+        grid = [low + (high - low) * i / parts for i in range(1, parts)]
+        states = _states(totals, grid, target.budget)
+        a, b = 0, parts
+        for _ in range(halvings):
+            middle = (a + b) // 2
+            if within(states[middle - 1]):
+                b, best = middle, states[middle - 1]
+            else:
+                a = middle
+        width = high - low
+        low, high = low + width * a / parts, low + width * b / parts
+        done += halvings
     return high, best
 
 
