@@ -82,19 +82,34 @@ def test_classifier_thresholds_are_ordered():
     assert above[0].sum() < above[1].sum() < above[2].sum()
 
 
-def test_classifier_takes_one_row_of_an_id(spark, monkeypatch):
+def test_classifier_takes_one_row_of_an_id(spark):
     seen = []
-    monkeypatch.setattr(quality_model, "fit", lambda texts, grades, prior: seen.append((texts, grades)))
     rows = [(1, f"text {i}") for i in range(200)] + [(2, None), (2, None), (3, "own text")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
     for part in (docs, docs.orderBy("text").repartition(3)):
-        quality_model.fit_sample(part, labels)
+        sample, _ = quality_model.sampled(part, labels)
+        found = sorted(map(tuple, sample.select("id", "grade", "text").collect()))
+        seen.append(([t for _, _, t in found], [g for _, g, _ in found]))
+        assert quality_model.fit_sample(part, labels) is not None
     (texts, grades), again = seen
     assert grades == [2, 0, 1] and texts[0].startswith("text ") and texts[1:] == [None, "own text"]
     assert again == (texts, grades)
 
 
+def test_sample_is_fitted_as_its_texts_are(spark):
+    """Features counted by Spark give the model that the texts themselves give."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    sample, rated = quality_model.sampled(docs, labels, per_grade=60)
+    rows = sample.orderBy("id", "grade").collect()
+    prior = [rated.filter(F.col("grade") == g).count() for g in range(quality_model.GRADES)]
+    want = quality_model.fit([r["text"] for r in rows], [r["grade"] for r in rows], prior=prior)
+    got = quality_model.fit_sample(docs, labels, per_grade=60)
+    assert (got.weights == want.weights).all() and (got.thresholds == want.thresholds).all()
+    assert (got.weights != 0).sum() > 10
+
+
 def test_classifier_on_odd_rows(spark, odd_docs, odd_labels):
     model = quality_model.fit_sample(odd_docs, odd_labels)
     got = quality_model.score(odd_docs, model)

@@ -14,15 +14,16 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import column, free_name
+from tidemill.llm.common import column, free_name, stage
 
 DIMENSIONS = 1 << 18
 GRADES = 3
@@ -83,35 +84,48 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _telling(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray) -> np.ndarray:
-    """Which features go with a grade more than chance has it.
+def _telling(seen: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Which features go with a grade more than chance has it, from the number of texts
+    of each grade that hold them.
 
     Without this choice the many words that say nothing add up to noise in long texts.
     """
-    own = [np.unique(names) for names, _ in rows]
-    of = np.repeat(grade, [len(names) for names in own])
-    seen = np.bincount(np.concatenate(own) * GRADES + of, minlength=DIMENSIONS * GRADES)
-    seen = seen.reshape(DIMENSIONS, GRADES).astype(float)
-    share = np.bincount(grade, minlength=GRADES) / len(grade)
+    share = grades / grades.sum()
     total = seen.sum(axis=1, keepdims=True)
     expected = np.maximum(total * share, 1e-12)
-    spread = np.maximum(1 - total / len(grade), 1e-6)  # a feature of all texts tells nothing
+    spread = np.maximum(1 - total / grades.sum(), 1e-6)  # a feature of all texts tells nothing
     chi = ((seen - expected) ** 2 / (expected * spread)).sum(axis=1)
     return (chi >= LEAST_CHI_SQUARE) & (total[:, 0] >= 3)
 
 
-def fit(texts: list[str | None], grades: list[int], rounds: int = 15, rate: float = 0.3, penalty: float = 1e-4, prior: list[int] | None = None) -> Model | None:
+def fit(texts: list[str | None], grades: list[int], **options) -> Model | None:
+    """`fit_rows` on the telling features of some texts."""
+    grade = np.array(grades)
+    rows = [features(t) for t in texts]
+    own = [np.unique(names) for names, _ in rows]
+    of = np.repeat(grade, [len(names) for names in own])
+    seen = np.bincount(np.concatenate(own) * GRADES + of, minlength=DIMENSIONS * GRADES)
+    usual = _telling(seen.reshape(DIMENSIONS, GRADES).astype(float), np.bincount(grade, minlength=GRADES))
+    return fit_rows([(names[usual[names]], values[usual[names]]) for names, values in rows], grades, **options)
+
+
+def fit_rows(
+    rows: list[tuple[np.ndarray, np.ndarray]],
+    grades: list[int],
+    rounds: int = 15,
+    rate: float = 0.3,
+    penalty: float = 1e-4,
+    prior: list[int] | None = None,
+) -> Model | None:
     """Adaptive gradient descent on the ordinal likelihood, in a fixed random order.
 
-    `prior`: how often each grade occurs among all ratings; a sample that holds another
-    mix is weighted back to it. None if fewer than two grades occur.
+    `rows` holds features and values of every rated text. `prior`: how often each grade
+    occurs among all ratings; a sample that holds another mix is weighted back to it.
+    None if fewer than two grades occur.
     """
     grade = np.array(grades)
     if len(set(grades)) < 2:
         return None
-    rows = [features(t) for t in texts]
-    usual = _telling(rows, grade)
-    rows = [(names[usual[names]], values[usual[names]]) for names, values in rows]
     counts = np.bincount(grade, minlength=GRADES)
     weight = np.array(counts if prior is None else prior) / np.maximum(counts, 1)
     weight = (weight / (weight * counts).sum() * len(grade))[grade]
@@ -158,10 +172,13 @@ def grade_of(quality: Column, toxic: Column) -> Column:
     return F.when(quality == 0, 0).when((quality == 1) & (toxic == 1), 1).when(quality == 1, 2)
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id: str = "doc_id", text: str = "text") -> Model | None:
-    """Fit on a bounded sample; of several ratings of a document the lowest counts.
+def sampled(
+    docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """(id, grade, text) of a bounded sample, and (id, grade) of all rated documents.
 
-    Of rows that repeat an id the text with the lowest hash counts.
+    Of several ratings of a document the lowest counts. Of rows that repeat an id the
+    text with the lowest hash counts.
     """
     rated = (
         labels.select(F.col("doc_id").alias("id"), grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
@@ -175,14 +192,72 @@ def fit_sample(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id
     sample = docs.select(column(doc_id).alias("id"), column(text).alias("text")).join(
         F.broadcast(chosen.select("id", "grade")), "id"
     )
-    # One row an id, so that the driver's share is bounded whatever repeats.
+    # One row an id, so that the sample is bounded whatever repeats.
     sample = sample.groupBy("id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    rows = sample.toPandas().sort_values(["id", "grade"], kind="stable")
-    texts = [None if pd.isna(t) else t for t in rows["text"]]
+    return sample, rated
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, doc_id: str = "doc_id", text: str = "text") -> Model | None:
+    """Fit on a bounded sample, as `sampled` takes it.
+
+    Texts become features in the tasks. The driver gets the number of texts by feature
+    and grade, and of each text the features that tell something.
+    """
+    sample, rated = sampled(docs, labels, per_grade, doc_id, text)
+    held = stage(sample.mapInArrow(_hashed, "id long, grade int, names array<int>, values array<double>"), "features")
+    # Texts of each grade by feature: at most DIMENSIONS rows, whatever the texts.
+    counts = [F.count_if(F.col("grade") == g).alias(f"grade{g}") for g in range(GRADES)]
+    seen = np.zeros((DIMENSIONS, GRADES))
+    found = held.select("grade", F.explode(F.array_distinct("names")).alias("name")).groupBy("name").agg(*counts)
+    for batch in found.toArrow().to_batches():
+        seen[batch.column(0).to_numpy()] = np.column_stack([batch.column(1 + g).to_numpy() for g in range(GRADES)])
+    grades = held.agg(*counts).first()
+    usual = _telling(seen, np.array(grades, float)) if sum(grades) else np.zeros(DIMENSIONS, bool)
+    # Only the telling features of the sample's texts come to the driver.
+    told = held.mapInArrow(_only(usual), held.schema).orderBy("id", "grade").toArrow()
+    names, values = told.column("names").combine_chunks(), told.column("values").combine_chunks()
+    rows = [(n.values.to_numpy(), v.values.to_numpy()) for n, v in zip(names, values)]
     prior = [0] * GRADES
     for row in rated.groupBy("grade").count().collect():  # a row per grade
         prior[row["grade"]] = row["count"]
-    return fit(texts, rows["grade"].astype(int).tolist(), prior=prior)
+    return fit_rows(rows, told.column("grade").to_pylist(), prior=prior)
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of texts, each value still in its place."""
+    for batch in batches:
+        rows = [features(text.as_py()) for text in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(batch.column(0), pa.int64()),
+                pa.array(batch.column(1), pa.int32()),
+                pa.array([n for n, _ in rows], pa.list_(pa.int32())),
+                pa.array([v for _, v in rows], pa.list_(pa.float64())),
+            ],
+            ["id", "grade", "names", "values"],
+        )
+
+
+def _only(usual: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows with the chosen features alone."""
+    packed = np.packbits(usual)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            names, values = (batch.column(i).to_pylist() for i in (2, 3))
+            keep = [chosen[n] for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([np.array(n, np.int32)[k] for n, k in zip(names, keep)], pa.list_(pa.int32())),
+                    pa.array([np.array(v)[k] for v, k in zip(values, keep)], pa.list_(pa.float64())),
+                ],
+                ["id", "grade", "names", "values"],
+            )
+
+    return run
 
 
 def score(docs: DataFrame, model: Model | None, least: float = 0.5, text: str = "text") -> DataFrame:
