@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 
 from tidemill.llm import near_dups
@@ -103,3 +104,26 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r["node"]: r["component"] for r in contract(links).collect()}
     assert {got[i] for i in range(1000, 1201)} == {1000}
     assert {got[i] for i in range(5, 300)} == {5}
+
+
+def test_shared_counts_against_sets():
+    rng = np.random.Generator(np.random.PCG64(5))
+    sets = [np.unique(rng.integers(60, size=n).astype(np.uint64)) for n in (1, 3, 40, 80, 7, 20)]
+    cuts = np.cumsum([0, *map(len, sets)])
+    hub, other = (rng.integers(len(sets), size=50) for _ in range(2))
+    got = near_dups.shared_counts(hub, other, np.concatenate(sets), cuts)
+    assert got.tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(hub, other, strict=True)]
+    assert len(near_dups.shared_counts(hub[:0], other[:0], np.concatenate(sets), cuts)) == 0
+
+
+def test_cells_of_a_hub_and_of_many_pairs(spark, monkeypatch):
+    """One text near hundreds of others, and cells so small that there are many."""
+    monkeypatch.setattr(near_dups, "CELL_SHINGLES", 2000)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(0, " ".join(base))]
+    rows += [(i, " ".join(base[: i % 100] + [f"x{i}"] + base[i % 100 + 1 :])) for i in range(1, 150)]
+    # Near by signature at most, some linked and some not.
+    rows += [(1000 + i, " ".join(base[: 75 + i % 12] + [f"y{i}_{j}" for j in range(25 - i % 12)])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs, size=2).collect()}
+    assert got == {n: c for n, (_, c) in brute(rows, 2).items()}

@@ -15,11 +15,13 @@ pivot, a few times over with other pivots, which connects nearly all that is lin
 What is connected needs no more comparing. The members of a bucket that are still apart
 from its main component are then compared with all others in it, signatures in blocks
 inside the tasks, and only pairs that are near and apart leave these, each from one
-bucket only.
+bucket only. Pairs to be confirmed are dealt into cells of a checked size, and a set is
+sent once to each cell that needs it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,8 @@ FOUND, CONFIRMED = 2 * CHUNKS - 1, 28  # distances
 ROUNDS = 3
 # Members of a bucket that are compared in one block, and rows that a cell aims at.
 BLOCK_ROWS, CELL_ROWS = 1024, 8192
+# Shingles of the pairs that a cell aims at when they are confirmed, and parts of hubs.
+CELL_SHINGLES, MIN_PARTS = 4_000_000, 8
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _rng.integers(1 << 63, size=POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,41 +186,96 @@ def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """rep and shingles (sorted hashes) of the classes in `wanted`, each from its own row."""
+    """rep, pairs, n and shingles (sorted hashes) of the classes in `wanted`, each from its own row."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in rows:
-            for a, b in tokens.slices(batch.column(2)):
+            for a, b in tokens.slices(batch.column(3)):
                 part = batch.slice(a, b - a)
-                flat, sizes = shingle_sets(part.column(2), size)
+                flat, sizes = shingle_sets(part.column(3), size)
                 ends = np.cumsum(sizes)
-                digests = part.column(1).to_pylist()
+                digests = part.column(2).to_pylist()
                 own = [flat[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 mine = [i for i, s in enumerate(own) if len(s) and xxhash.xxh3_128_digest(s) == digests[i]]
                 sets = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes[mine])]), pa.int32()),
                     pa.array(np.concatenate([own[i] for i in mine]).view(np.int64) if mine else np.zeros(0, np.int64)),
                 )
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(mine, pa.int64())), sets], ["rep", "shingles"])
+                taken = pa.array(mine, pa.int64())
+                columns = [part.column(0).take(taken), part.column(1).take(taken), pa.array(sizes[mine]), sets]
+                yield pa.RecordBatch.from_arrays(columns, ["rep", "pairs", "n", "shingles"])
 
     own_row = (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("id_hash"))
-    texts = docs.join(wanted, own_row).select("rep", "digest", "text")
-    return texts.mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
+    texts = docs.join(wanted, own_row).select("rep", "pairs", "digest", "text")
+    return texts.mapInArrow(run, "rep long, pairs long, n long, shingles array<long>").dropDuplicates(["rep"])
+
+
+def _celled(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs as hub and other, with the part and the block of the cell where they meet.
+
+    A cell holds the pairs of some hubs with some others, so a set is sent to it once,
+    however many pairs it has there. The hub of a pair is the one with more pairs: others
+    then have few (at most the root of twice the number of all pairs). A part of hubs gets
+    blocks by the shingles of its pairs, so one hub with most of the pairs has many cells.
+    """
+    of = lambda x: sets.select(F.col("rep").alias(f"{x}_rep"), F.struct("pairs", "rep").alias(f"{x}_by"), F.col("n").alias(f"{x}_n"))
+    sized = near.join(of("a"), F.col("a") == F.col("a_rep")).join(of("b"), F.col("b") == F.col("b_rep"))
+    hubs = sized.select(
+        F.greatest("a_by", "b_by")["rep"].alias("hub"),
+        F.least("a_by", "b_by")["rep"].alias("other"),
+        (F.col("a_n") + F.col("b_n")).alias("volume"),
+    )
+    hubs = stage(hubs, "hubs")
+    cells = (hubs.agg(F.sum("volume")).first()[0] or 0) / CELL_SHINGLES
+    part = F.pmod(F.xxhash64("hub"), F.lit(max(MIN_PARTS, math.ceil(cells**0.5)))).cast("int")
+    blocks = F.ceil(F.sum("volume") / CELL_SHINGLES).cast("int").alias("blocks")
+    parts = hubs.groupBy(part.alias("of")).agg(blocks)
+    dealt = hubs.withColumn("part", part).join(parts, F.col("part") == F.col("of"))
+    return dealt.select("part", F.pmod(F.xxhash64("other"), F.col("blocks")).cast("int").alias("block"), "hub", "other")
+
+
+def shared_counts(hub: np.ndarray, other: np.ndarray, flat: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Hashes that two sets share, for every pair of places of sorted sets in `flat`."""
+    out = np.zeros(len(hub), np.int64)
+    order = np.argsort(hub, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(hub[order])) + 1):
+        if len(rows):
+            own = flat[cuts[hub[rows[0]]] : cuts[hub[rows[0]] + 1]]
+            theirs = [flat[cuts[o] : cuts[o + 1]] for o in other[rows].tolist()]
+            values = np.concatenate(theirs)
+            found = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+            lengths = np.fromiter(map(len, theirs), np.int64, len(theirs))
+            out[rows] = np.add.reduceat(found, np.cumsum(lengths) - lengths, dtype=np.int64)
+    return out
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirm(near: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links among pairs: percent of the union's shingles at least are shared."""
-    near = stage(_close(pairs, classes), "near")
-    reps = near.select(F.col("a").alias("of")).union(near.select("b")).distinct()
-    wanted = reps.join(classes, F.col("of") == F.col("rep")).select("rep", "digest", "id", "id_hash")
+    reps = near.select(F.col("a").alias("of")).unionAll(near.select("b")).groupBy("of").agg(F.count("*").alias("pairs"))
+    wanted = reps.join(classes, F.col("of") == F.col("rep")).select("rep", "pairs", "digest", "id", "id_hash")
     sets = stage(_sets(docs, wanted, size), "sets")
-    of = lambda x: sets.select(F.col("rep").alias(f"{x}_rep"), F.col("shingles").alias(f"{x}_set"))
-    joined = near.join(of("a"), F.col("a") == F.col("a_rep")).join(of("b"), F.col("b") == F.col("b_rep"))
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    union = F.size("a_set") + F.size("b_set") - shared
-    return stage(joined.filter(100 * shared >= percent * union).select("a", "b"), "links")
+    dealt = stage(_celled(near, sets), "dealt")
+    needed = dealt.select("part", "block", F.col("hub").alias("of")).unionAll(dealt.select("part", "block", "other")).distinct()
+    sent = needed.join(sets, F.col("of") == F.col("rep"))
+    sent = sent.select(F.col("part").alias("s_part"), F.col("block").alias("s_block"), "rep", "shingles")
+
+    def meet(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        if not pairs.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        hub, other = pairs["hub"].to_numpy(), pairs["other"].to_numpy()
+        sets = sets.sort_by("rep")
+        rep, lists = sets["rep"].to_numpy(), sets["shingles"].combine_chunks()
+        flat, cuts = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        at = [np.searchsorted(rep, side) for side in (hub, other)]
+        shared = shared_counts(*at, flat, cuts)
+        sizes = np.diff(cuts).astype(np.int64)
+        linked = 100 * shared >= percent * (sizes[at[0]] + sizes[at[1]] - shared)
+        return pa.table({"a": pa.array(hub[linked]), "b": pa.array(other[linked])})
+
+    cells = dealt.groupBy("part", "block").cogroup(sent.groupBy("s_part", "s_block"))
+    return stage(cells.applyInArrow(meet, "a long, b long"), "links")
 
 
 def _component(of: DataFrame, components: DataFrame | None, name: str, node: Column) -> DataFrame:
@@ -347,7 +406,7 @@ def near_duplicates(
         best = shared.groupBy("b").agg(F.max(F.struct(F.col("shared"), (-F.col("a")).alias("a"))).alias("best"))
         fresh = stage(best.select((-F.col("best.a")).alias("a"), "b"), "fresh")
         tested = fresh if tested is None else tested.unionByName(fresh)
-        found = _confirm(fresh, docs, classes, size, percent)
+        found = _confirm(stage(_close(fresh, classes), "near"), docs, classes, size, percent)
         links = found if links is None else links.unionByName(found)
         components = contract(links)
         members = _open(members, components)
