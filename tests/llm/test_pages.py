@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 from tidemill.llm import html_text, queries
 
@@ -86,6 +88,29 @@ def test_best_stretch():
     assert html_text.best_stretch([-1.0, -2.0]) == (0, 0)
 
 
+def test_best_stretch_against_all_stretches():
+    rng = random.Random(3)
+    for _ in range(300):
+        scores = [rng.randint(-4, 4) for _ in range(rng.randint(0, 14))]
+        sums = {(a, b): sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)}
+        first, end = html_text.best_stretch(scores)
+        assert sum(scores[first:end]) == max([0, *sums.values()])
+
+
+def test_long_broken_pages_are_read_in_one_go():
+    """Ten times the page takes about ten times as long, not a hundred times."""
+    broken = ["<a ", "</p>", "<b \"> x \"", "<a '\">", "<!x", "<div class='", "<p <b>", "<a title=\"x", "<? ", "<"]
+    for piece in broken:
+        start = time.perf_counter()
+        html_text.main_text("<div>" * 5000 + piece * (500_000 // len(piece)), html_text.DEFAULT)
+        assert time.perf_counter() - start < 10, piece
+    read = lambda page: html_text.main_text(page, html_text.DEFAULT)
+    # A broken tag ends where the next one starts; quotes may hold signs of tags.
+    assert read("<div>some words here <a href=x <b>more</b> of them</div>") == "some words here more of them"
+    assert read("<div title='a < b > c' id=\"x>y\">some words</div>") == "some words"
+    assert read("<div>one < two, <3 and 4 > 3</div>") == "one < two, <3 and 4 > 3"
+
+
 def test_odd_pages(spark):
     long_page = "<article><p>" + "word " * 100_000 + "</article>"
     rows = [(1, None), (2, ""), (3, "<"), (4, "<div><p>unclosed <b>text"), (5, "plain & text &copy"), (6, long_page), (6, long_page), (None, "<p>x</p>"), (7, '<div class="ad"><p>only marked</p></div>'), (8, "<script>x"), (9, "a<!-- b"), (10, "<p>" * 20000 + "deep")]

@@ -65,8 +65,11 @@ OWN = {"header": frozenset("entry post article story content".split()), "search"
 # Share of the page's score from which an element is its wrapper, by the kind of its mark.
 WRAPPER = {1: 0.5, 2: 0.95}
 
+# A tag is given up at the next `<` outside quotes, then at the next one anywhere, so no
+# place is read more than a few times however broken a page is.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>?",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -157,6 +160,7 @@ def read_page(source: str, by_marks: bool = True) -> Page:
     page = Page()
     # Names of open elements, whether they bar, and whether they are marked.
     open_: list[tuple[str, bool, bool]] = []
+    names: Counter[str] = Counter()
     inner: list[int] = []
     above: list[int] = []
     kinds: list[int] = []
@@ -170,6 +174,7 @@ def read_page(source: str, by_marks: bool = True) -> Page:
     def close() -> str:
         nonlocal bars, links, content, mark
         gone, barring, marked = open_.pop()
+        names[gone] -= 1
         bars -= barring
         links -= gone in ("a", "li")
         content -= gone in CONTENT
@@ -193,7 +198,7 @@ def read_page(source: str, by_marks: bool = True) -> Page:
             continue
         attributes = found[3] or found[6] or ""
         if found[1] or found[4]:
-            if name not in VOID and any(o[0] == name for o in open_):
+            if names[name]:
                 while close() != name:
                     pass
             add("", "/" + name, False)
@@ -218,6 +223,7 @@ def read_page(source: str, by_marks: bool = True) -> Page:
         if attributes.rstrip().endswith("/") and name in ("svg", "path", "math"):
             continue
         open_.append((name, name in NEVER, kind > 0))
+        names[name] += 1
         if kind:
             above.append(mark)
             kinds.append(kind)
