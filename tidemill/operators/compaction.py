@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -24,6 +25,17 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by))
 
 
+def candidates(files: DataFrame, target_bytes: int = TARGET_BYTES, rewrite_all: bool = False) -> DataFrame:
+    """Files to plan for, with their paths' digests and one of 256 parts by these."""
+    wanted = files if rewrite_all else files.filter(_outside(F.col("length"), target_bytes))
+    partition = F.col("partition") if "partition" in files.columns else F.lit("")
+    digest = F.md5("path")
+    part = F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")  # 0 to 255
+    return wanted.select(
+        "table", partition.alias("partition"), "path", "length", digest.alias("digest"), part.alias("part")
+    )
+
+
 def assign_groups(
     files: DataFrame,
     target_bytes: int = TARGET_BYTES,
@@ -38,14 +50,8 @@ def assign_groups(
     takes all files of a partition; the result is that of one running sum. Without a
     column `partition` a table is one partition.
     """
-    wanted = files if rewrite_all else files.filter(_outside(F.col("length"), target_bytes))
-    partition = F.col("partition") if "partition" in files.columns else F.lit("")
-    digest = F.md5("path")
-    part = F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")  # 0 to 255
+    wanted = candidates(files, target_bytes, rewrite_all)
     of = ["table", "partition"]
-    wanted = wanted.select(
-        "table", partition.alias("partition"), "path", "length", digest.alias("digest"), part.alias("part")
-    )
     before = (Window.unboundedPreceding, -1)
     sums = wanted.groupBy(*of, "part").agg(F.sum("length").alias("bytes"))
     over_parts = Window.partitionBy(*of).orderBy("part").rowsBetween(*before)
@@ -67,16 +73,20 @@ def compaction_plan(
     min_input_files: int = MIN_INPUT_FILES,
     rewrite_all: bool = False,
     targets_per_group: int = TARGETS_PER_GROUP,
+    grouping: Callable[..., DataFrame] = assign_groups,
 ) -> DataFrame:
     """Groups to rewrite: table, partition, group, files in, bytes, files out.
 
+    `grouping` deals the files: `assign_groups` in the order of their digests,
+    `packing_by_size.pack_groups` by their sizes.
+
     A group qualifies with enough files, with more than a target's worth of bytes in
     at least two files, or with one file so large that it should be split. The number
     of files out is rounded; over several targets per group that keeps each of them
     within the range that the next run leaves alone.
     """
     groups = (
-        assign_groups(files, target_bytes, rewrite_all, targets_per_group)
+        grouping(files, target_bytes, rewrite_all, targets_per_group)
         .groupBy("table", "partition", "group_no")
         .agg(F.count(F.lit(1)).alias("files_in"), F.sum("length").alias("bytes"))
     )

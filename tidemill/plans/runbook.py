@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.util import inheritable_thread_target
 
 from tidemill.functions.names import col, fresh_name, quoted
-from tidemill.operators import compaction
+from tidemill.operators import compaction, packing_by_size
 from tidemill.sources import catalog
 
 
@@ -194,7 +194,9 @@ def compact(
     the rows lay before, and small folders share a task. The table must be partitioned.
     """
     found = listing(spark, base)
-    plan = compaction.compaction_plan(found, target_bytes, min_input_files, rewrite_all)
+    plan = compaction.compaction_plan(
+        found, target_bytes, min_input_files, rewrite_all, grouping=packing_by_size.pack_groups
+    )
     sizes = found.groupBy("partition").agg(F.sum("length").alias("bytes"))
     # A row per folder, as many as the scan's own file index holds.
     chosen = sizes.join(plan.select("partition").distinct(), "partition", "left_semi").collect()

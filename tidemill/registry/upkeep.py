@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators import compaction, retention, upkeep
+from tidemill.operators import compaction, packing_by_size, retention, upkeep
 from tidemill.plans import runbook
 from tidemill.registry import Entry, table
 from tidemill.sources import scratch
@@ -39,6 +39,18 @@ def compaction_rewrite_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compaction_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compaction.compaction_plan(
+        document_files(spark, sf_dir), _TARGET, min_input_files=2, grouping=packing_by_size.pack_groups
+    )
+
+
+def compaction_by_size_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compaction.compaction_plan(
+        document_files(spark, sf_dir), _TARGET, rewrite_all=True, grouping=packing_by_size.pack_groups
+    )
+
+
 def _groups_sql(listing: str, candidates: str, keep: str) -> str:
     return (
         f"WITH listing AS ({listing}), wanted AS (SELECT * FROM listing WHERE {candidates}), "
@@ -52,6 +64,61 @@ def _groups_sql(listing: str, candidates: str, keep: str) -> str:
     )
 
 
+def _by_size_sql(listing: str, candidates: str, keep: str) -> str:
+    """First-fit decreasing, a size class a step: `open` holds groups filled alike."""
+    room = _TARGET * compaction.TARGETS_PER_GROUP
+    each = "list_transform(range(1, len(open) + 1), lambda i: {})".format
+    return (
+        f"WITH RECURSIVE listing AS ({listing}), "
+        "sized AS (SELECT *, greatest(coalesce(length, 0), 1) AS bytes, "
+        f"CAST(1 AS BIGINT) << greatest(length(bin(greatest(coalesce(length, 0), 1))) - {packing_by_size.DIGITS}, 0) "
+        f"AS unit FROM listing WHERE {candidates}), "
+        "classed AS (SELECT \"table\", \"partition\", path, length, (bytes + unit - 1) // unit * unit AS size FROM sized), "
+        "ranked AS (SELECT *, row_number() OVER (PARTITION BY \"table\", \"partition\", size "
+        "ORDER BY md5(path), path) - 1 AS nth FROM classed), "
+        "classes AS (SELECT *, row_number() OVER (PARTITION BY \"table\", \"partition\" ORDER BY size DESC) AS step "
+        "FROM (SELECT \"table\", \"partition\", size, count(*) AS n FROM classed GROUP BY ALL)), "
+        "fill AS ("
+        "SELECT DISTINCT \"table\", \"partition\", CAST(0 AS BIGINT) AS step, CAST(0 AS BIGINT) AS size, "
+        "CAST([] AS STRUCT(room BIGINT, groups BIGINT, first BIGINT)[]) AS open, CAST(0 AS BIGINT) AS opened, "
+        "CAST([] AS STRUCT(start BIGINT, fits BIGINT, first BIGINT)[]) AS runs FROM classes "
+        "UNION ALL "
+        "SELECT \"table\", \"partition\", step, size, "
+        # What every row of groups becomes, and the new groups for what is left.
+        "list_filter(flatten(" + each(
+            "[{'room': open[i].room - fits[i] * size, 'groups': taken[i] // greatest(fits[i], 1), 'first': open[i].first}, "
+            "{'room': open[i].room - (taken[i] % greatest(fits[i], 1)) * size, "
+            "'groups': CAST(taken[i] % greatest(fits[i], 1) > 0 AS BIGINT), "
+            "'first': open[i].first + taken[i] // greatest(fits[i], 1)}, "
+            "{'room': open[i].room, 'groups': open[i].groups - (taken[i] + greatest(fits[i], 1) - 1) // greatest(fits[i], 1), "
+            "'first': open[i].first + (taken[i] + greatest(fits[i], 1) - 1) // greatest(fits[i], 1)}]"
+        ) + ") || [{'room': " + f"{room} - fit * size, 'groups': remaining // fit, 'first': opened" + "}, "
+        "{'room': " + f"{room} - (remaining % fit) * size, 'groups': CAST(remaining % fit > 0 AS BIGINT), "
+        "'first': opened + remaining // fit" + "}], lambda g: g.groups > 0), "
+        "CAST(opened + (remaining + fit - 1) // fit AS BIGINT), "
+        "list_filter(" + each("{'start': start[i], 'fits': CASE WHEN taken[i] > 0 THEN fits[i] ELSE 0 END, 'first': open[i].first}")
+        + " || [{'start': n - remaining, 'fits': CASE WHEN remaining > 0 THEN fit ELSE 0 END, 'first': opened}], "
+        "lambda r: r.fits > 0) "
+        "FROM (SELECT *, CAST(n - coalesce(list_sum(taken), 0) AS BIGINT) AS remaining FROM ("
+        "SELECT *, " + each("greatest(0, least(fits[i] * open[i].groups, n - start[i]))") + " AS taken FROM ("
+        "SELECT *, " + each("CAST(coalesce(list_sum(list_transform(range(1, i), lambda j: fits[j] * open[j].groups)), 0) AS BIGINT)")
+        + " AS start FROM ("
+        "SELECT f.\"table\", f.\"partition\", c.step, c.size, c.n, f.open, f.opened, "
+        f"greatest(1, {room} // c.size) AS fit, list_transform(f.open, lambda g: g.room // c.size) AS fits "
+        "FROM fill f JOIN classes c ON f.\"table\" IS NOT DISTINCT FROM c.\"table\" "
+        "AND f.\"partition\" IS NOT DISTINCT FROM c.\"partition\" AND c.step = f.step + 1))))), "
+        "runs AS (SELECT \"table\", \"partition\", size, unnest(runs) AS run FROM fill), "
+        "numbered AS (SELECT r.*, run.\"first\" + (nth - run.\"start\") // run.fits AS group_no FROM ranked r "
+        "ASOF JOIN (SELECT *, run.\"start\" AS since, coalesce(\"table\", chr(1)) AS t, coalesce(\"partition\", chr(1)) AS p "
+        "FROM runs) u ON coalesce(r.\"table\", chr(1)) = u.t AND coalesce(r.\"partition\", chr(1)) = u.p "
+        "AND r.size = u.size AND r.nth >= u.since), "
+        "plan AS (SELECT \"table\", \"partition\", group_no, count(*) AS files_in, "
+        "CAST(sum(length) AS BIGINT) AS bytes FROM numbered GROUP BY ALL), "
+        f"chosen AS (SELECT *, greatest(1, (2 * bytes + {_TARGET}) // {2 * _TARGET}) AS files_out "
+        f"FROM plan WHERE {keep})"
+    )
+
+
 _DOCUMENTS_SQL = (
     "SELECT lang AS \"table\", source AS \"partition\", 'doc-' || doc_id AS path, "
     "n_chars AS length FROM documents"
@@ -186,6 +253,14 @@ ENTRIES = {
         compaction_rewrite_all,
         _groups_sql(_DOCUMENTS_SQL, "true", "true") + " SELECT * FROM chosen",
     ),
+    "compaction_by_size": Entry(
+        compaction_by_size,
+        _by_size_sql(_DOCUMENTS_SQL, _SMALL_OR_LARGE, _WORTH_IT) + " SELECT * FROM chosen",
+    ),
+    "compaction_by_size_all": Entry(
+        compaction_by_size_all,
+        _by_size_sql(_DOCUMENTS_SQL, "true", "true") + " SELECT * FROM chosen",
+    ),
     "expire_snapshots_plan": Entry(
         expire_snapshots_plan,
         "SELECT user_id AS \"table\", event_id AS snapshot_id FROM (SELECT *, row_number() OVER "
