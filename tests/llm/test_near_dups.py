@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tidemill.llm import near_dups
-from tidemill.llm.components import contract
+from tidemill.llm.components import contract, extend
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -106,6 +106,28 @@ def test_components_of_a_path_and_a_star(spark):
     assert {got[i] for i in range(5, 300)} == {5}
 
 
+def test_links_that_come_later(spark):
+    """Components grown by batches of links are those of all links at once."""
+    rng = np.random.Generator(np.random.PCG64(9))
+    batches = [rng.integers(400, size=(n, 2)).tolist() for n in (150, 60, 1, 40)] + [[(3, 3)], []]
+    up = list(range(400))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    components = None
+    for batch in batches:
+        components = extend(components, spark.createDataFrame(batch, "a long, b long"))
+        for a, b in batch:
+            low, high = sorted((find(a), find(b)))
+            up[high] = low
+        got = {r["node"]: r["component"] for r in components.collect()}
+        assert all(got.get(i, i) == find(i) for i in range(400))
+        assert components.count() == len(got)
+
+
 def test_shared_counts_against_sets():
     rng = np.random.Generator(np.random.PCG64(5))
     sets = [np.unique(rng.integers(60, size=n).astype(np.uint64)) for n in (1, 3, 40, 80, 7, 20)]

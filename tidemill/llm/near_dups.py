@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import tokens
 from tidemill.llm.common import column, stage
-from tidemill.llm.components import contract
+from tidemill.llm.components import extend
 
 POSITIONS, CHUNKS = 64, 13
 FOUND, CONFIRMED = 2 * CHUNKS - 1, 28  # distances
@@ -391,7 +391,7 @@ def near_duplicates(
     members = stage(
         keys.join(buckets, F.col("key") == F.col("bucket")).select("bucket", "pos", "n", "low", "rep"), "members"
     )
-    tested = links = components = None
+    tested = components = None
     for number in range(ROUNDS):
         if number == 0:
             offered = members.filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
@@ -407,13 +407,12 @@ def near_duplicates(
         fresh = stage(best.select((-F.col("best.a")).alias("a"), "b"), "fresh")
         tested = fresh if tested is None else tested.unionByName(fresh)
         found = _confirm(stage(_close(fresh, classes), "near"), docs, classes, size, percent)
-        links = found if links is None else links.unionByName(found)
-        components = contract(links)
+        components = extend(components, found)
         members = _open(members, components)
     near = stage(_apart(members, classes).distinct().join(tested, ["a", "b"], "left_anti"), "apart")
     if not near.isEmpty():
         found = _confirm(near, docs, classes, size, percent)
-        components = contract(links.unionByName(found))
+        components = extend(components, found)
     # A component goes by the smallest id of its classes.
     owner = stage(_component(classes.select("digest", "id", "rep"), components, "c", F.col("rep")), "owners")
     first = owner.groupBy("c").agg(F.min(F.struct("id", "digest")).alias("first"))
