@@ -36,3 +36,23 @@ def test_odd_rows(spark, odd_docs):
     assert got[7]["lang_pred"] in ("de", "en") and "guess" in odd_docs.columns
     assert lang_id.predict(odd_docs.limit(0), model).count() == 0
     assert lang_id.predict(odd_docs, None).filter("lang_pred <> 'und'").count() == 0
+
+
+def test_sample_is_that_of_the_lowest_hashes(spark):
+    """Whatever the partitions, with a hot language, repeated rows, and more languages than wanted."""
+    rows = [(i, f"text {i % 900}", "en") for i in range(9000)] + [(5, "again", "en")] * 3000
+    rows += [(i, f"Satz {i}", "de") for i in range(300)] + [(i, "mot", "fr") for i in range(20)] + [(1, "1 2", "en"), (2, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {}
+    for r in docs.selectExpr("lang", "text", "xxhash64(doc_id, text) as h").distinct().collect():
+        if lang_id.has_letter(r["text"]):
+            want.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    for part in (docs, docs.orderBy("text").repartition(5)):
+        got = lang_id.sampled(part, per_language=40, most_languages=2).collect()
+        for name in ("en", "de"):
+            assert sorted((r["order"], r["text"]) for r in got if r["lang"] == name) == sorted(want[name])[:40]
+        assert {r["lang"] for r in got} == {"en", "de"}
+    texts = sorted((r["lang"], r["order"], r["text"]) for r in got)
+    plain = lang_id.fit([t for _, _, t in texts], [v for v, _, _ in texts])
+    model = lang_id.fit_sample(docs, per_language=40, most_languages=2)
+    assert (model.weights == plain.weights).all() and model.pairs == plain.pairs

@@ -6,8 +6,9 @@ the family. Within a family, one-versus-one machines separate its languages and
 with most votes wins, ties going to the larger sum of margins. All weights together are
 a small matrix, so a batch of texts is one matrix product.
 
-Machines are fitted on a bounded sample: at most `per_language` texts of each language,
-taken by the lowest hash of id and text. Everything else covers all rows.
+Machines are fitted on a bounded sample: at most `per_language` texts of each of the
+`most_languages` languages with most rows, taken by the lowest hash of id and text.
+Everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,9 +121,14 @@ class Model:
 
 def fit(texts: list[str], langs: list[str]) -> Model | None:
     """Machines for the languages that occur; None if there is no text to learn from."""
-    if not texts:
+    return fit_vectors(vectors(texts), langs)
+
+
+def fit_vectors(x: np.ndarray, langs: list[str]) -> Model | None:
+    """`fit` on the texts' vectors."""
+    if not len(x):
         return None
-    x, lang = vectors(texts), np.array(langs, object)
+    lang = np.array(langs, object)
     members: dict[str, tuple[str, ...]] = {}
     for name in sorted(set(langs)):
         members[family_of(name)] = (*members.get(family_of(name), ()), name)
@@ -140,18 +147,58 @@ def fit(texts: list[str], langs: list[str]) -> Model | None:
     return Model(families, members, tuple(pairs), np.stack(rows))
 
 
-def fit_sample(docs: DataFrame, per_language: int = 1000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """Fit on the bounded sample of rows with a text with letters and a language."""
+def sampled(
+    docs: DataFrame,
+    per_language: int = 1000,
+    most_languages: int = 200,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+) -> DataFrame:
+    """lang, order and text of a bounded sample of rows with a text with letters and a language.
+
+    Of the languages with most rows, `most_languages` at most, each gives the rows of its
+    `per_language` lowest hashes (order) of id and text. Repeated rows count once.
+    """
     named = docs.select(column(text).alias("text"), column(lang).alias("lang"), F.xxhash64(column(doc_id), column(text)).alias("order"))
     usable = named.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # Hashes alone are ranked, so only the sample's own texts are shuffled.
+    seen = usable.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n"))
+    seen = seen.orderBy(F.desc("n"), "lang").limit(most_languages)
+    # Only hashes that can be among the lowest are ranked: half more than wanted, as numbers
+    # are estimates, so a bounded number of rows of a language meet in a task.
+    place = F.col("order") / F.lit(2.0**64) + F.lit(0.5)
+    low = usable.join(F.broadcast(seen), "lang").filter(place <= F.lit(1.5 * per_language + 100) / F.col("n"))
     first = Window.partitionBy("lang").orderBy("order")
-    ranked = usable.select("lang", "order").distinct().withColumn("nth", F.row_number().over(first))
-    chosen = ranked.filter(F.col("nth") <= per_language).select("lang", "order")
-    # At most per_language rows for each language: small enough to send to every task.
-    sample = usable.join(F.broadcast(chosen), ["lang", "order"]).dropDuplicates(["lang", "order"])
-    rows = sample.toPandas().sort_values(["lang", "order"])
-    return fit(rows["text"].tolist(), rows["lang"].tolist())
+    ranked = low.select("lang", "order", "text").dropDuplicates(["lang", "order"]).withColumn("nth", F.row_number().over(first))
+    return ranked.filter(F.col("nth") <= per_language).select("lang", "order", "text")
+
+
+def fit_sample(docs: DataFrame, **options) -> Model | None:
+    """Fit on the sample that `sampled` takes. Texts become features in the tasks."""
+    sample = sampled(docs, **options)
+    # At most DIMENSIONS features for each text of the sample, however long it is.
+    rows = sample.mapInArrow(_hashed, "lang string, order long, names array<int>, shares array<float>").toArrow()
+    rows = rows.sort_by([("lang", "ascending"), ("order", "ascending")])
+    x = np.zeros((rows.num_rows, DIMENSIONS), np.float32)
+    names, shares = rows["names"].combine_chunks(), rows["shares"].combine_chunks()
+    for i in range(rows.num_rows):
+        x[i, names[i].values.to_numpy()] = shares[i].values.to_numpy()
+    return fit_vectors(x, rows["lang"].to_pylist())
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [vectors([text.as_py()])[0] for text in batch.column(2)]
+        names = [np.flatnonzero(row).astype(np.int32) for row in rows]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(batch.column(0), pa.string()),
+                batch.column(1),
+                pa.array(names, pa.list_(pa.int32())),
+                pa.array([row[n] for row, n in zip(rows, names)], pa.list_(pa.float32())),
+            ],
+            ["lang", "order", "names", "shares"],
+        )
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
