@@ -97,6 +97,17 @@ def test_classifier_takes_one_row_of_an_id(spark):
     assert again == (texts, grades)
 
 
+def test_sample_is_that_of_the_lowest_hashes(spark):
+    docs = spark.range(8000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 50 > 0) as quality", "0 as toxic")
+    hashed = docs.selectExpr("doc_id", "xxhash64(doc_id) as h", "if(doc_id % 50 > 0, 2, 0) as grade").collect()
+    sample, _ = quality_model.sampled(docs, labels, per_grade=40)
+    got = sample.collect()
+    for grade in (0, 2):
+        low = sorted((r["h"], r["doc_id"]) for r in hashed if r["grade"] == grade)[:40]
+        assert sorted(r["id"] for r in got if r["grade"] == grade) == sorted(i for _, i in low)
+
+
 def test_sample_is_fitted_as_its_texts_are(spark):
     """Features counted by Spark give the model that the texts themselves give."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
