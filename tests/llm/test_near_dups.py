@@ -149,3 +149,33 @@ def test_cells_of_a_hub_and_of_many_pairs(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs, size=2).collect()}
     assert got == {n: c for n, (_, c) in brute(rows, 2).items()}
+
+
+def test_changes_tell_what_is_shared():
+    rng = np.random.Generator(np.random.PCG64(6))
+    lists = [np.unique(rng.integers(50, size=n).astype(np.uint64)) for n in (0, 1, 9, 40, 3)]
+    cuts = np.cumsum([0, *map(len, lists)])
+    for own in lists:
+        for rows in ([0, 1, 2, 3, 4], [3, 0, 3], []):
+            got = near_dups.shared_with(own, np.array(rows, np.int64), np.concatenate(lists), cuts)
+            assert got.tolist() == [len(np.intersect1d(own, lists[r])) for r in rows]
+    assert near_dups.spanning(np.array([1, 2, 1, 5]), np.array([2, 3, 3, 6])).tolist() == [0, 1, 3]
+
+
+def test_outliers_of_a_group_leave_their_block_as_links_alone(spark, monkeypatch):
+    """Texts near a large group by signature, some linked past its pivots, some not."""
+    seen = []
+    kept = near_dups.stage
+    monkeypatch.setattr(near_dups, "stage", lambda df, name: seen.append((name, kept(df, name))) or seen[-1][1])
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(150)]
+    # A fifth and more is other text: apart from the group, but near it by signature.
+    rows += [(1000 + i, " ".join(base[:i] + [f"y{i}_{j}" for j in range(20)] + base[i + 20 :])) for i in range(130)]
+    # Some of these have a double with a small change.
+    rows += [(2000 + i, rows[150 + i][1] + f" z{i}") for i in range(0, 130, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs, size=2).collect()}
+    assert got == {n: c for n, (_, c) in brute(rows, 2).items()}
+    assert len(set(got.values())) > 20
+    # Pairs to be confirmed do not grow with the square of the group.
+    assert max(df.count() for name, df in seen if name in ("near", "apart", "dealt", "hubs", "links")) < 2 * len(rows)

@@ -13,16 +13,17 @@ Documents with equal sets form a class first and are represented by one of them.
 a bucket of candidates pairs are not spelled out: each member is confirmed against one
 pivot, a few times over with other pivots, which connects nearly all that is linked.
 What is connected needs no more comparing. The members of a bucket that are still apart
-from its main component are then compared with all others in it, signatures in blocks
-inside the tasks, and only pairs that are near and apart leave these, each from one
-bucket only. Pairs to be confirmed are dealt into cells of a checked size, and a set is
-sent once to each cell that needs it.
+from its main component are then compared with all others in it, in blocks inside the
+tasks: signatures first, then what near ones lack and add against the full set that
+stands for the main component, which tells exactly whether they are linked. Only links
+leave, and no more than join the components of a block. Pairs to be confirmed are dealt
+into cells of a checked size, and a set is sent once to each cell that needs it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -212,19 +213,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "rep long, pairs long, n long, shingles array<long>").dropDuplicates(["rep"])
 
 
-def _celled(near: DataFrame, sets: DataFrame) -> DataFrame:
+def _celled(near: DataFrame, sets: DataFrame, a_is_hub: bool = False) -> DataFrame:
     """Pairs as hub and other, with the part and the block of the cell where they meet.
 
     A cell holds the pairs of some hubs with some others, so a set is sent to it once,
     however many pairs it has there. The hub of a pair is the one with more pairs: others
     then have few (at most the root of twice the number of all pairs). A part of hubs gets
     blocks by the shingles of its pairs, so one hub with most of the pairs has many cells.
+    With `a_is_hub` the first of a pair is its hub.
     """
     of = lambda x: sets.select(F.col("rep").alias(f"{x}_rep"), F.struct("pairs", "rep").alias(f"{x}_by"), F.col("n").alias(f"{x}_n"))
     sized = near.join(of("a"), F.col("a") == F.col("a_rep")).join(of("b"), F.col("b") == F.col("b_rep"))
+    hub, other = (F.col("a"), F.col("b")) if a_is_hub else (F.greatest("a_by", "b_by")["rep"], F.least("a_by", "b_by")["rep"])
     hubs = sized.select(
-        F.greatest("a_by", "b_by")["rep"].alias("hub"),
-        F.least("a_by", "b_by")["rep"].alias("other"),
+        hub.alias("hub"),
+        other.alias("other"),
         (F.col("a_n") + F.col("b_n")).alias("volume"),
     )
     hubs = stage(hubs, "hubs")
@@ -251,31 +254,71 @@ def shared_counts(hub: np.ndarray, other: np.ndarray, flat: np.ndarray, cuts: np
     return out
 
 
-def _confirm(near: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links among pairs: percent of the union's shingles at least are shared."""
+def _in_cells(
+    near: DataFrame,
+    docs: DataFrame,
+    classes: DataFrame,
+    size: int,
+    found: Callable[..., pa.Table],
+    schema: str,
+    a_is_hub: bool = False,
+) -> DataFrame:
+    """`found` of the pairs of every cell: ids and places of hubs and others, sets and cuts."""
     reps = near.select(F.col("a").alias("of")).unionAll(near.select("b")).groupBy("of").agg(F.count("*").alias("pairs"))
     wanted = reps.join(classes, F.col("of") == F.col("rep")).select("rep", "pairs", "digest", "id", "id_hash")
     sets = stage(_sets(docs, wanted, size), "sets")
-    dealt = stage(_celled(near, sets), "dealt")
+    dealt = stage(_celled(near, sets, a_is_hub), "dealt")
     needed = dealt.select("part", "block", F.col("hub").alias("of")).unionAll(dealt.select("part", "block", "other")).distinct()
     sent = needed.join(sets, F.col("of") == F.col("rep"))
     sent = sent.select(F.col("part").alias("s_part"), F.col("block").alias("s_block"), "rep", "shingles")
 
     def meet(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        if not pairs.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         hub, other = pairs["hub"].to_numpy(), pairs["other"].to_numpy()
         sets = sets.sort_by("rep")
         rep, lists = sets["rep"].to_numpy(), sets["shingles"].combine_chunks()
         flat, cuts = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
         at = [np.searchsorted(rep, side) for side in (hub, other)]
+        return found((hub, other), at, flat, cuts)
+
+    cells = dealt.groupBy("part", "block").cogroup(sent.groupBy("s_part", "s_block"))
+    return cells.applyInArrow(meet, schema)
+
+
+def _confirm(near: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links among pairs: percent of the union's shingles at least are shared."""
+
+    def linked(names: tuple, at: list[np.ndarray], flat: np.ndarray, cuts: np.ndarray) -> pa.Table:
         shared = shared_counts(*at, flat, cuts)
         sizes = np.diff(cuts).astype(np.int64)
-        linked = 100 * shared >= percent * (sizes[at[0]] + sizes[at[1]] - shared)
-        return pa.table({"a": pa.array(hub[linked]), "b": pa.array(other[linked])})
+        enough = 100 * shared >= percent * (sizes[at[0]] + sizes[at[1]] - shared)
+        return pa.table({"a": pa.array(names[0][enough]), "b": pa.array(names[1][enough])})
+
+    return stage(_in_cells(near, docs, classes, size, linked, "a long, b long"), "links")
 
-    cells = dealt.groupBy("part", "block").cogroup(sent.groupBy("s_part", "s_block"))
-    return stage(cells.applyInArrow(meet, "a long, b long"), "links")
+
+def _changes(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """pivot, rep, changes and excess of pairs of a pivot `a` and another `b`.
+
+    changes are the shingles that only one of the two sets holds, sorted. Let x and y lack
+    d and add e shingles of a pivot of n, and t be the changes that they share. They share
+    n - d(x) - d(y) + t shingles, so they are linked if
+    (100 + percent) * t >= 100 * (d(x) + d(y)) + percent * (e(x) + e(y)) - (100 - percent) * n,
+    and excess is twice the part that one of them has in this.
+    """
+
+    def run(names: tuple, at: list[np.ndarray], flat: np.ndarray, cuts: np.ndarray) -> pa.Table:
+        lists, excess = [], []
+        for hub, other in zip(at[0].tolist(), at[1].tolist(), strict=True):
+            own, theirs = flat[cuts[hub] : cuts[hub + 1]], flat[cuts[other] : cuts[other + 1]]
+            changed = np.setxor1d(own, theirs, assume_unique=True)
+            lacked = (len(changed) + len(own) - len(theirs)) // 2
+            lists.append(changed.view(np.int64))
+            excess.append(200 * lacked + 2 * percent * (len(changed) - lacked) - (100 - percent) * len(own))
+        columns = [pa.array(names[0]), pa.array(names[1]), pa.array(lists, pa.list_(pa.int64())), pa.array(excess, pa.int64())]
+        return pa.table(columns, names=["pivot", "rep", "changes", "excess"])
+
+    schema = "pivot long, rep long, changes array<long>, excess long"
+    return stage(_in_cells(pairs, docs, classes, size, run, schema, a_is_hub=True), "changes")
 
 
 def _component(of: DataFrame, components: DataFrame | None, name: str, node: Column) -> DataFrame:
@@ -303,25 +346,65 @@ def _main(members: DataFrame) -> DataFrame:
     return picked.select("bucket", (-F.col("most.c")).alias("main"), F.col("most.first").alias("pivot"))
 
 
-def _apart(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of near signatures from different components that share a bucket.
+def shared_with(own: np.ndarray, rows: np.ndarray, flat: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many values of each of some lists in `flat` a sorted list holds."""
+    lengths = cuts[rows + 1] - cuts[rows]
+    if not len(own) or not lengths.sum():
+        return np.zeros(len(rows), np.int64)
+    of = np.repeat(np.arange(len(rows)), lengths)
+    values = flat[np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths - cuts[rows], lengths)]
+    held = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+    return np.bincount(of[held], minlength=len(rows))
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links that join all that these links connect, each joining something new."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (over := up.get(x, x)) != x:
+            up[x] = up.get(over, over)
+            x = over
+        return x
+
+    places = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            up[x] = y
+            places.append(i)
+    return np.array(places, np.int64)
+
+
+def _apart(members: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components that share a bucket, as many as join them.
 
     Members outside the main component of their bucket meet all members of the bucket.
-    A pair leaves only the bucket of the first key that it shares.
+    A pair is looked at only in the bucket of the first key that it shares. The pivot of a
+    bucket is the smallest node of its main component: a member is sent with what changes
+    from that set to its own, and the changes that two members share tell what they share.
     """
+    main = stage(_main(members).select(F.col("bucket").alias("of"), "main"), "mains")
+    full = stage(members.join(main, F.col("bucket") == F.col("of")).drop("of"), "open")
+    changes = _changes(full.select(F.col("main").alias("a"), F.col("rep").alias("b")).distinct(), docs, classes, size, percent)
+    own = changes.select(F.col("pivot").alias("p"), F.col("rep").alias("q"), "changes", "excess")
+    its = (F.col("main") == F.col("p")) & (F.col("rep") == F.col("q"))
+    # Blocks of a bucket and cells of many, by their rows and by what is sent with these.
+    volumes = full.join(own.select("p", "q", F.size("changes").alias("volume")), its)
+    held = stage(volumes.groupBy("bucket").agg(F.sum("volume").alias("volume"), F.count("*").alias("k")), "held")
+    total = held.agg(F.sum("volume").alias("volume"), F.sum("k").alias("k")).first()
+    cells = max(16, -(-total["k"] // CELL_ROWS), -(-total["volume"] // CELL_SHINGLES))
+    blocks = F.ceil(F.greatest(F.col("k") / BLOCK_ROWS, F.col("volume") / CELL_SHINGLES)).cast("int")
+    full = full.join(held.select(F.col("bucket").alias("of"), blocks.alias("blocks")), F.col("bucket") == F.col("of"))
     signature = classes.select(F.col("rep").alias("r"), "signature")
-    full = members.join(signature, F.col("rep") == F.col("r")).drop("r")
-    full = full.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
-    main = _main(members).select(F.col("bucket").alias("of"), "main")
-    cells = max(16, -(-members.count() // CELL_ROWS))
+    full = full.join(own, its).join(signature, F.col("rep") == F.col("r"))
 
     def celled(df: DataFrame) -> DataFrame:
         return df.withColumn("cell", F.pmod(F.xxhash64("bucket", "block"), F.lit(cells)).cast("int"))
 
-    columns = ["cell", "bucket", "block", "pos", "rep", "c", "signature"]
+    columns = ["cell", "bucket", "block", "pos", "rep", "c", "signature", "changes", "excess"]
     right = celled(full.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))).select(*columns)
-    apart = full.join(main, F.col("bucket") == F.col("of")).filter("c <> main")
-    left = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = full.filter("c <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # Under names of its own, as both sides come from the same rows.
     left = celled(left).select(*[F.col(c).alias(f"l_{c}") for c in columns])
     chunk_of = np.repeat(np.arange(CHUNKS), [len(c) for c in np.array_split(np.arange(POSITIONS), CHUNKS)])
@@ -342,21 +425,32 @@ def _apart(members: DataFrame, classes: DataFrame) -> DataFrame:
             lc, rc = code(left), code(right)
             order = np.argsort(rc, kind="stable")
             ls, rs = (_matrix(t["signature"].combine_chunks()) for t in (left, right))
-            l_rep, r_rep = left["rep"].to_numpy(), right["rep"].to_numpy()
             l_c, r_c, pos = left["c"].to_numpy(), right["c"].to_numpy(), left["pos"].to_numpy()
+            l_excess, r_excess = left["excess"].to_numpy(), right["excess"].to_numpy()
+            lists = [t["changes"].combine_chunks() for t in (left, right)]
+            l_flat, flat = (x.values.to_numpy().view(np.uint64) for x in lists)
+            l_cuts, cuts = (x.offsets.to_numpy().astype(np.int64) for x in lists)
             begin, end = (np.searchsorted(rc[order], lc, side) for side in ("left", "right"))
             for i in range(len(lc)):
                 rows = order[begin[i] : end[i]]
                 rows = rows[r_c[rows] != l_c[i]]
+                own = l_flat[l_cuts[i] : l_cuts[i + 1]]
+                needed = l_excess[i] + r_excess[rows]
+                possible = 2 * (100 + percent) * np.minimum(len(own), cuts[rows + 1] - cuts[rows]) >= needed
+                rows, needed = rows[possible], needed[possible]
                 same = rs[rows] == ls[i]
                 near = same.sum(axis=1) >= POSITIONS - CONFIRMED
-                rows, same = rows[near], same[near]
-                rows = rows[first_shared(same) == pos[i]] if len(rows) else rows
-                pair = np.full(len(rows), l_rep[i]), r_rep[rows]
-                out.append((np.minimum(*pair), np.maximum(*pair)))
-        a, b = (np.concatenate([o[i] for o in out]) for i in (0, 1))
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+                rows, needed, same = rows[near], needed[near], same[near]
+                if len(rows):
+                    first = first_shared(same) == pos[i]
+                    rows, needed = rows[first], needed[first]
+                    linked = rows[2 * (100 + percent) * shared_with(own, rows, flat, cuts) >= needed]
+                    out.append((np.full(len(linked), i), linked))
+        l, r = (np.concatenate([o[i] for o in out]) for i in (0, 1))
+        if len(l):
+            kept = spanning(l_c[l], r_c[r])
+            l, r = left["rep"].to_numpy()[l[kept]], right["rep"].to_numpy()[r[kept]]
+        return pa.table({"a": pa.array(np.minimum(l, r)), "b": pa.array(np.maximum(l, r))})
 
     return left.groupBy("l_cell").cogroup(right.groupBy("cell")).applyInArrow(meet, "a long, b long")
 
@@ -409,10 +503,8 @@ def near_duplicates(
         found = _confirm(stage(_close(fresh, classes), "near"), docs, classes, size, percent)
         components = extend(components, found)
         members = _open(members, components)
-    near = stage(_apart(members, classes).distinct().join(tested, ["a", "b"], "left_anti"), "apart")
-    if not near.isEmpty():
-        found = _confirm(near, docs, classes, size, percent)
-        components = extend(components, found)
+    if not members.isEmpty():
+        components = extend(components, stage(_apart(members, docs, classes, size, percent), "links"))
     # A component goes by the smallest id of its classes.
     owner = stage(_component(classes.select("digest", "id", "rep"), components, "c", F.col("rep")), "owners")
     first = owner.groupBy("c").agg(F.min(F.struct("id", "digest")).alias("first"))
