@@ -5,6 +5,7 @@ import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tests.plans import text_plan
@@ -306,3 +307,25 @@ def test_compacted_files_are_near_the_target(spark, tmp_path):
 def test_small_folders_share_a_task():
     rows, tasks = runbook._file_numbers([("p=a", 10), ("p=b", 250), ("p=c", 80), ("p=d", 20)], 100)
     assert rows == [("a", 0, 1), ("b", 1, 3), ("c", 0, 1), ("d", 4, 1)] and tasks == 5
+
+
+def test_many_folders_take_several_tasks():
+    parts = [(f"p={i:03}", 1) for i in range(2 * runbook.FOLDERS_PER_TASK + 1)]
+    rows, tasks = runbook._file_numbers(parts, 1000)
+    firsts = [first for _, first, _ in rows]
+    assert tasks == 3 and max(map(firsts.count, firsts)) == runbook.FOLDERS_PER_TASK
+
+
+def test_compaction_does_not_sort_its_rows(spark, tmp_path, monkeypatch):
+    """A task writes its folders side by side, without a sort; the session's own setting
+    comes back."""
+    base, key = str(tmp_path / "t"), "spark.sql.maxConcurrentOutputFileWriters"
+    rows = spark.range(0, 200_000, 1, 4).select("id", (F.col("id") % 3).alias("p"))
+    rows.write.partitionBy("p").parquet(base)
+    before, seen = spark.conf.get(key), []
+    store = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: seen.append(spark.conf.get(key)) or store(*a, **k))
+    assert len(runbook.compact(spark, base, min_input_files=2)) == 3
+    assert seen == [str(runbook.FOLDERS_PER_TASK)] and spark.conf.get(key) == before
+    assert spark.read.parquet(base).count() == 200_000
+    assert [len(sizes) for sizes in stored_files(spark, base).values()] == [1, 1, 1]

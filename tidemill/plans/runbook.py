@@ -17,6 +17,7 @@ from pyspark.util import inheritable_thread_target
 
 from tidemill.functions.names import col, fresh_name, quoted
 from tidemill.operators import compaction, packing_by_size
+from tidemill.session import setting
 from tidemill.sources import catalog
 
 
@@ -39,6 +40,8 @@ DAILY = Policy(rewrite_all=True, retain_last=1, orphan_age=timedelta(days=1))
 WEEKLY = Policy(min_input_files=2)
 SINGLE_TABLE = Policy()
 WEEKLY_STEPS = ("data", "orphans")
+# Folders that one task of a compaction writes side by side at most.
+FOLDERS_PER_TASK = 32
 ALL_STEPS = ("properties", "data", "manifests", "snapshots", "orphans")
 
 
@@ -191,7 +194,9 @@ def compact(
     are read and replaced, by a dynamic overwrite; all other files keep name and bytes,
     and folder names keep their text. The bytes of a folder say how many files it becomes;
     its rows are dealt to as many tasks, so files come out near the target size however
-    the rows lay before, and small folders share a task. The table must be partitioned.
+    the rows lay before, and small folders share a task. A task writes its folders side by
+    side, so it does not sort its rows, which take many times the bytes of their file. The
+    table must be partitioned.
     """
     found = listing(spark, base)
     plan = compaction.compaction_plan(
@@ -216,14 +221,10 @@ def compact(
         reduce(and_, [col(n).eqNullSafe(col(k)) for n, k in zip(names, keys)]),
     )
     number = col(held[0]) + F.pmod(F.monotonically_increasing_id(), col(held[1]))
-    (
-        numbered.repartitionById(total, number.cast("int"))
-        .select(*map(col, rows.columns))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*names)
-        .parquet(base)
-    )
+    dealt = numbered.repartitionById(total, number.cast("int")).select(*map(col, rows.columns))
+    write = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names)
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(FOLDERS_PER_TASK)):
+        write.parquet(base)
     return [part for part, _ in parts]
 
 
@@ -237,17 +238,18 @@ def _raw_rows(spark: SparkSession, paths: Sequence[str], base: str, names: Seque
 
 def _file_numbers(parts: Sequence[tuple[str, int]], target_bytes: int) -> tuple[list[tuple], int]:
     """(values of the folder, its first file's number, its files) of every folder, and the
-    number of tasks. Folders of one file follow each other in a task up to the target."""
-    rows, next_number, shared, filled = [], 0, -1, 0
+    number of tasks. Folders of one file follow each other in a task up to the target, or
+    up to the number that a task writes side by side."""
+    rows, next_number, shared, filled, held = [], 0, -1, 0, 0
     for part, size in parts:
         values = [unquote(p.partition("=")[2]) for p in part.split("/")]
         values = [None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values]
         n = max(1, (2 * size + target_bytes) // (2 * target_bytes))
-        if n == 1 and shared >= 0 and filled + size <= target_bytes:
-            first, filled = shared, filled + size
+        if n == 1 and shared >= 0 and filled + size <= target_bytes and held < FOLDERS_PER_TASK:
+            first, filled, held = shared, filled + size, held + 1
         else:
             first, next_number = next_number, next_number + n
             if n == 1:
-                shared, filled = first, size
+                shared, filled, held = first, size, 1
         rows.append((*values, first, n))
     return rows, next_number

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -27,3 +31,28 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidemi
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_lock = Lock()
+_held: dict[tuple[int, str], tuple[int, str | None]] = {}  # users, and the value before
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for as long as any thread is inside; then as it was."""
+    of = (id(spark), key)
+    with _lock:
+        users, before = _held.get(of) or (0, spark.conf.get(key, None))
+        _held[of] = (users + 1, before)
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        with _lock:
+            users, before = _held.pop(of)
+            if users > 1:
+                _held[of] = (users - 1, before)
+            elif before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
