@@ -1,6 +1,7 @@
 """Discovery, JSON, and the daily load from end to end."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.plans import text_plan
 from tidemill.operators.upsert import DuplicateKeys
 from tidemill.plans import change, ingest
+from tidemill.registry import loading
 from tidemill.sources import catalog, discovery, documents, jdbc
 from tidemill.streaming.ingest import stream_json, upsert_stream
 
@@ -384,3 +386,20 @@ def test_files_that_were_taken_up_are_moved(spark, tmp_path):
     assert got == [(1, "2"), (10, "0"), (11, "0"), (12, "0")]
     assert len(list((tmp_path / "taken").rglob("*.json"))) >= 1
     assert (tmp_path / "in/d/2.json").exists()
+
+
+def test_listed_files_of_one_folder_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Every file but a folder's last is full, whichever task writes it."""
+    rows = spark.range(20_030).select(
+        F.col("id").alias("event_id"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("id") < 20_000, "hot").when(F.col("id") < 20_020, "cold").alias("event_type"),
+        F.lit("x").alias("props"),
+    )
+    rows.write.parquet(f"{tmp_path}/sf/events.parquet")
+    monkeypatch.setattr(loading.scratch, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    got = {r["folder"]: (r["n_files"], r["bytes"]) for r in loading.path_listing(spark, f"{tmp_path}/sf").collect()}
+    day = "day=2024-01-01"
+    assert got == {f"event_type=hot/{day}": (400, 40_000), f"event_type=cold/{day}": (1, 40), f"event_type=__HIVE_DEFAULT_PARTITION__/{day}": (1, 20)}
+    files = [f.name for f in tmp_path.glob(f"listed-*/event_type=hot/{day}/*.txt")]
+    assert len(files) == 400 and len({name.split("-")[1] for name in files}) > 1

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.latest import dedup_any, dedup_latest
@@ -300,16 +303,47 @@ def stream_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LINES = 50
+# Files of one task, and parts of a folder that are counted side by side.
+_FILES_PER_TASK, _PARTS = 200, 16
+
+
+def _whole_files(rows: DataFrame, key: str, folder: list[str]) -> DataFrame:
+    """`rows` dealt to tasks that hold all _LINES rows of each of their files.
+
+    A row's place in its folder says its file, and files are numbered over all folders;
+    so a folder of any size is written by many tasks, and only its last file is short.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(_PARTS)).cast("int")
+    placed = rows.withColumn("part", part)
+    before = (Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*folder, "part").agg(F.count(F.lit(1)).alias("n"))
+    inside = Window.partitionBy(*folder).orderBy("part").rowsBetween(*before)
+    counts = counts.withColumn("base", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    sizes = counts.groupBy(*folder).agg(F.ceil(F.sum("n") / _LINES).alias("files"))
+    # A row per folder.
+    first = F.coalesce(F.sum("files").over(Window.orderBy(*folder).rowsBetween(*before)), F.lit(0))
+    sizes = sizes.withColumn("first", first).withColumnsRenamed({c: f"s_{c}" for c in folder})
+    same = lambda of, names: reduce(and_, [F.col(c).eqNullSafe(F.col(f"{of}_{c}")) for c in names])
+    found = counts.join(F.broadcast(sizes), same("s", folder)).select(*folder, "part", "base", "first", "files")
+    places, _ = scratch.stage(found.withColumnsRenamed({c: f"p_{c}" for c in (*folder, "part")}), "places")
+    total = places.agg(F.max(F.col("first") + F.col("files"))).first()[0] or 0
+    nth = F.row_number().over(Window.partitionBy(*folder, "part").orderBy(key)) - 1
+    file = F.col("first") + F.floor((F.col("base") + F.col("nth")) / _LINES)
+    dealt = placed.withColumn("nth", nth).join(F.broadcast(places), same("p", [*folder, "part"]))
+    task = F.floor(file / _FILES_PER_TASK).cast("int")
+    return dealt.repartitionById(max(1, -(-total // _FILES_PER_TASK)), task).select(*rows.columns)
 
 
 def path_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Real files, a folder per kind and day of events, listed by the tasks."""
     base = scratch.scratch_path(spark, "listed")
     events = table(spark, sf_dir, "events").select(
-        "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("props").alias("value")
+        "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("props").alias("value")
     )
-    whole = events.repartition("event_type", "day").write.option("maxRecordsPerFile", _LINES)
-    whole.partitionBy("event_type", "day").text(base)
+    whole = _whole_files(events, "event_id", ["event_type", "day"]).drop("event_id")
+    # Files are put in place by their tasks, not one by one by the driver.
+    write = whole.write.option("maxRecordsPerFile", _LINES).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    write.partitionBy("event_type", "day").text(base)
     found = discovery.list_files(spark, base, ".txt")
     below = F.regexp_extract("path", "(event_type=[^/]*/day=[^/]*)/[^/]*$", 1)
     return discovery.group_files(found.select(F.lit("events").alias("target"), below.alias("folder"), "length"))
