@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.plans import text_plan
 from tidemill.operators import certs, quality
 from tidemill.plans import mart
+from tidemill.registry import entries
 from tidemill.sources import catalog, versions
 
 
@@ -87,3 +88,10 @@ def test_one_report_reads_the_rows_once(spark, tmp_path):
     }
     empty = quality.dq_report(df.limit(0), ["id"], ["id"], {"k": ["a"]}).collect()
     assert [r["failures"] for r in empty] == [0, 0, 0]
+
+
+def test_queries_leave_no_tables_behind(spark):
+    before = catalog.list_tables(spark, "spark_catalog")
+    for name in ("catalog_mart", "catalog_tables"):
+        assert entries()[name].run(spark, "/root/testdata/sf0.001").count() > 0
+    assert catalog.list_tables(spark, "spark_catalog") == before

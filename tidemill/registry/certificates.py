@@ -179,6 +179,13 @@ def _raw_catalog(spark: SparkSession, sf_dir: str) -> str:
     return namespace
 
 
+def _stored(spark: SparkSession, rows: DataFrame, namespace: str) -> DataFrame:
+    """`rows` stored outside the namespace, which leaves the session's catalog."""
+    kept, _ = scratch.stage(rows, "from-catalog")
+    spark.sql(f"DROP NAMESPACE {catalog.quoted(namespace)} CASCADE")
+    return kept
+
+
 def catalog_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart from catalog tables to a catalog table, written twice, and read back."""
     namespace = _raw_catalog(spark, sf_dir)
@@ -187,7 +194,7 @@ def catalog_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{namespace}.cert_status"
     for rows in (built.limit(3).drop("first_dc_pos"), built):
         write_mart(rows, name, "parquet")
-    return spark.table(catalog.quoted(name)).drop("dbt_updated_at")
+    return _stored(spark, spark.table(catalog.quoted(name)).drop("dbt_updated_at"), namespace)
 
 
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +217,7 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         for n in names
     ]
     rows = reduce(DataFrame.unionByName, counted)
-    return described.join(rows, F.col("table") == F.col("of")).drop("of")
+    return _stored(spark, described.join(rows, F.col("table") == F.col("of")).drop("of"), namespace)
 
 
 _KIND_TABLES = ", ".join(f"('{k}', '{t}', {i})" for i, (k, t) in enumerate(certs.CERTIFICATE_TABLES.items()))
