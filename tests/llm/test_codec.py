@@ -36,6 +36,55 @@ def test_a_damaged_block_is_found():
         codec.decode(bytes(data))
 
 
+@pytest.mark.parametrize("kinds", [1, 2, 3, 40, 65536])
+def test_runs_follow_each_other(monkeypatch, kinds):
+    monkeypatch.setattr(codec, "LANES", 3)
+    ids = np.random.default_rng(kinds).zipf(1.3, 4000).astype(np.uint64) % kinds
+    for n in (1536, 1537, 4000):
+        assert (codec.decode(codec.encode(ids[:n])) == ids[:n]).all()
+
+
+def _sentences(n: int) -> np.ndarray:
+    """Ids each of which is followed by one of four others, out of 2,000."""
+    rng = np.random.default_rng(3)
+    follow = rng.integers(0, 2000, (2000, 4))
+    ids = [0]
+    for choice in rng.integers(0, 4, n - 1).tolist():
+        ids.append(int(follow[ids[-1], choice]))
+    return np.array(ids, np.uint32)
+
+
+def test_followers_are_counted_over_the_whole_run():
+    ids = _sentences(200_000)
+    data = codec.encode(ids)
+    assert (codec.decode(data) == ids).all()
+    assert len(data) < 0.6 * len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+
+
+def test_a_run_takes_few_steps(monkeypatch):
+    calls = []
+    put = codec._Writer.put
+    monkeypatch.setattr(codec._Writer, "put", lambda *a: calls.append(1) or put(*a))
+    codec.encode(_sentences(50_000))
+    assert len(calls) <= 512
+
+
+def test_damage_is_found_wherever_it_is():
+    ids = _sentences(3000)
+    data = codec.encode(ids)
+    found = 0
+    for at in range(8, len(data), 41):
+        try:
+            got = codec.decode(data[:at] + bytes([data[at] ^ 0x15]) + data[at + 1 :])
+        except ValueError:
+            found += 1
+        else:  # the last digit of a lane has bits that nothing depends on
+            assert (got == ids).all()
+    assert found > 0.9 * len(range(8, len(data), 41))
+    with pytest.raises(ValueError):
+        codec.decode(data[:-4])
+
+
 def test_ids_equal_the_library():
     import pyarrow as pa
 

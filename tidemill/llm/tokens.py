@@ -78,12 +78,12 @@ class Encoder:
             texts = pc.ascii_lower(texts)
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._known) > self._remembered:
             self._known, self._older = {}, self._known
         if unknown := self._unknown(pieces):
             self._learn(unknown)
-        ids = [self._known[p] for p in pieces]
+        ids = list(map(self._known.__getitem__, pieces))
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.int32)
         starts = np.cumsum(lengths) - lengths
