@@ -101,6 +101,16 @@ def test_ids_equal_the_library():
         assert ids.tolist() == sum(want, [])
 
 
+def test_words_may_be_forgotten():
+    import pyarrow as pa
+
+    encoder = tokens.Encoder(tokens.vocabulary_path(), remembered=3)
+    library = Tokenizer.from_file(tokens.vocabulary_path())
+    for text in ("one, two three", "four four, one", "two: (5) x", "", "one. three four!", "two (5)") * 2:
+        ids, _ = encoder.encode(pa.array([text], pa.string()))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_files_give_back_all_documents(spark, odd_docs, tmp_path):
     path = str(tmp_path / "ids")
     token_files.write_tokens(odd_docs, path, parts=3)

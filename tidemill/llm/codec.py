@@ -202,8 +202,9 @@ def _encode_run(ids: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
     pairs = (order >> 32).astype(np.uint32)
     begin = _starts(pairs)
     keys = pairs[begin]
-    pair = np.zeros(len(pairs), np.int64)
-    pair[order.view(np.int64) & 0xFFFFFFFF] = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(pairs)))
+    pair = np.empty(len(pairs), np.int32)
+    order &= 0xFFFFFFFF
+    pair[order.view(np.int64)] = np.repeat(np.arange(len(begin), dtype=np.int32), np.diff(begin, append=len(pairs)))
     pair = pair.reshape(length, n)
     del filled, order, pairs
 

@@ -1,10 +1,10 @@
-"""Token ids of whole documents in files of compressed blocks, and back.
+"""Token ids of whole documents in files of compressed runs, and back.
 
 Documents are dealt out by ranges of their id and sorted, so a file holds documents that
 follow each other and the files follow each other too. A row of a file is a run: whole
 documents in order, their ids and lengths, and the ids of all their tokens as one run of
 `codec`. Runs are closed at a number of tokens, so one is decoded in bounded memory
-however large the file is; a longer document is a run of its own. The rows are kept in
+however large the file is; a longer document is a row of its own, of several runs. The rows are kept in
 Parquet, whose writer commits whole files when tasks are repeated.
 """
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -45,30 +46,43 @@ class Encoder:
         self._known: dict[str, bytes] = {}  # ids as 32-bit integers
         self._older: dict[str, bytes] = {}
 
-    def _unknown(self, pieces: list[str]) -> list[str]:
-        """Pieces that neither generation holds; those of the older one become known."""
-        known, older = self._known, self._older
-        missing = [p for p in pieces if p not in known]
-        known.update({p: older[p] for p in missing if p in older})
-        return [p for p in missing if p not in older]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of pieces, by way of their plain parts where they have some."""
-        known = self._known
-        parts = {p: m.groups() for p in pieces if (m := _PLAIN.fullmatch(p))}
-        words = self._unknown(list({w for w, _ in parts.values()}))
+    def _look_up(self, pieces: list[str], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The ids of each piece; those of the older generation and new ones become known."""
+        ids = list(map(self._known.get, pieces))
+        places = [i for i, known in enumerate(ids) if known is None]
+        missing = [pieces[i] for i in places]
+        found = list(map(self._older.get, missing))
+        learned = iter(learn([p for p, older in zip(missing, found, strict=True) if older is None]))
+        found = [next(learned) if older is None else older for older in found]
+        self._known.update(zip(missing, found, strict=True))
+        for i, known in zip(places, found, strict=True):
+            ids[i] = known
+        return ids
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of new pieces, by way of their plain parts where they have some."""
+        matches = list(map(_PLAIN.fullmatch, pieces))
+        words = list({m[1] for m in matches if m})
+        words = dict(zip(words, self._look_up(words, self._learn_words), strict=True))
+        whole = [p for p, m in zip(pieces, matches, strict=True) if not m]
+        whole += {m[2] for m in matches if m and m[2]}
+        found = dict(zip(whole, self._look_up(whole, self._learn_whole), strict=True))
+        found[""] = b""
+        return [words[m[1]] + found[m[2]] if m else found[p] for p, m in zip(pieces, matches, strict=True)]
+
+    def _learn_words(self, words: list[str]) -> list[bytes]:
+        known: list[bytes] = []
         for i in range(0, len(words), _WORDS_PER_CALL):
-            some = words[i : i + _WORDS_PER_CALL]
-            found = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
+            found = self._tokenizer.encode(" ".join(words[i : i + _WORDS_PER_CALL]), add_special_tokens=False)
             ids = np.array(found.ids, np.int32).tobytes()
             of = np.array(found.word_ids, np.int64)
             cuts = [*(4 * np.flatnonzero(np.diff(of, prepend=-1))).tolist(), len(ids)]
-            known.update({w: ids[a:b] for w, a, b in zip(some, cuts[:-1], cuts[1:], strict=True)})
-        whole = [p for p in pieces if p not in parts]
-        whole += self._unknown(list({s for _, s in parts.values()}))
-        found = self._tokenizer.encode_batch_fast(whole, add_special_tokens=False)
-        known.update({p: np.array(e.ids, np.int32).tobytes() for p, e in zip(whole, found, strict=True)})
-        known.update({p: known[w] + known[s] for p, (w, s) in parts.items() if s})
+            known += [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return known
+
+    def _learn_whole(self, pieces: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(e.ids, np.int32).tobytes() for e in found]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as int32, and how many belong to each text; null counts as empty."""
@@ -81,9 +95,7 @@ class Encoder:
         pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._known) > self._remembered:
             self._known, self._older = {}, self._known
-        if unknown := self._unknown(pieces):
-            self._learn(unknown)
-        ids = list(map(self._known.__getitem__, pieces))
+        ids = self._look_up(pieces, self._learn)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.int32)
         starts = np.cumsum(lengths) - lengths
